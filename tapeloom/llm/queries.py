@@ -7,17 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeloom.llm.decontamination import contaminations
 from tapeloom.llm.near_dedup import near_duplicates
+from tapeloom.llm.toxicity import scored, train
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return scored(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -40,5 +51,12 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.root, d.doc_
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.v = d.doc_id
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_minhash_near_dedup": op8_minhash_near_dedup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op6_benchmark_decontamination,
+        op8_minhash_near_dedup,
+        op10_toxicity,
+    )
+}
 ORACLE_SQL: dict[str, str] = {"op8_minhash_near_dedup": OP8_SQL}
