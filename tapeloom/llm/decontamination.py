@@ -35,7 +35,7 @@ _BITS = 22
 class Walks:
     """Parameters of the LSH: the number of tables, the steps of a walk, the steps sampled and how many of them a first look takes."""
 
-    tables: int = 2
+    tables: int = 4
     steps: int = 44
     sampled: int = 18
     first: int = 9

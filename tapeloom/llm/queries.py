@@ -7,23 +7,58 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapeloom.llm import license_scan, packing, quality_rules, secret_scan, sharding, token_counts, url_filter
 from tapeloom.llm.decontamination import contaminations
 from tapeloom.llm.near_dedup import near_duplicates
 from tapeloom.llm.toxicity import scored, train
 
+#: A public vocabulary file on every machine; a parameter of op4.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = quality_rules.judged(quality_rules.ledger(_table(spark, sf_dir, "documents")), "v1")
+    base_failed = F.col("fail_bits").bitwiseAND(F.lit(quality_rules.mask(quality_rules.POLICIES["base"])).cast("long")) != 0
+    return entries.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept", "fail_bits")
+
+
+def op2_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), packing.word_count(F.col("text")))
+
+
+def op3_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(_table(spark, sf_dir, "documents"), shards=24)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), token_counts.sentencepiece_pieces(VOCABULARY))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judged(_table(spark, sf_dir, "pages"), model)
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.findings(_table(spark, sf_dir, "documents")))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return scored(docs, train(docs, _table(spark, sf_dir, "labels")))
@@ -51,12 +86,102 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.root, d.doc_
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.v = d.doc_id
 """
 
+OP1_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format(text="text")} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents
+), g AS (
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS p, w FROM w WHERE len(w) >= 5
+), k AS (SELECT doc_id, p, array_to_string(w[p:p+4], ' ') AS k FROM g
+), r AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, k) AS n FROM k) WHERE n > 1
+), c AS (
+  SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest(range(p, p + 5)) AS i FROM r) GROUP BY 1
+), m AS (
+  SELECT w.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, len(l) AS n_lines,
+         coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '\p{{L}}')) AS n_letters
+  FROM w LEFT JOIN c ON c.doc_id = w.doc_id
+), b AS (
+  SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
+    + CASE WHEN 100 * n_dup_lines > 40 * n_lines THEN 8 ELSE 0 END + CASE WHEN 2 * n_upper > n_letters THEN 16 ELSE 0 END
+    + CASE WHEN 2 * word_chars < 5 * n_words OR word_chars > 15 * n_words THEN 32 ELSE 0 END)::BIGINT AS fail_bits FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
+"""
+
+
+def _sql_pattern(pattern: str) -> str:
+    """The patterns of secret_scan for RE2: letters in either case spelt out where the pattern asks for it."""
+    if pattern.startswith("(?i)"):
+        names, rest = pattern[4:].split(")", 1)
+        pattern = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in names) + ")" + rest
+    return pattern.replace("'", "''")
+
+
+def _secret_sql() -> str:
+    kinds, unions = [], []
+    for i, (_, pattern, group, least) in enumerate(secret_scan.RULES):
+        p = _sql_pattern(pattern if pattern != "[0-9a-f]+" else f"[0-9a-f]{{{least},}}")
+        kinds.append(
+            f"k{i} AS (SELECT doc_id, regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}', {group}) AS g, string_split_regex(t, '{p}') AS s FROM d WHERE regexp_matches(t, '{p}')), "
+            f"s{i} AS (SELECT doc_id, {i} AS kind, m[j] AS m, coalesce(list_sum(list_transform(s[1:j], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:j-1], lambda x: length(x))), 0) AS a "
+            f"FROM (SELECT *, unnest(range(1, len(m) + 1)) AS j FROM k{i}) WHERE length(g[j]) >= {least})"
+        )
+        unions.append(f"SELECT * FROM s{i}")
+    names = "[" + ", ".join(f"'{r[0]}'" for r in secret_scan.RULES) + "]"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {", ".join(kinds)},
+a AS ({" UNION ALL ".join(unions)}),
+x AS (SELECT doc_id, kind, a, {names}[kind + 1] || ':' || a::BIGINT || ':' || (a + length(m))::BIGINT AS span FROM a),
+y AS (SELECT doc_id, sum((kind = 0)::INT)::BIGINT AS n_assign, sum((kind = 1)::INT)::BIGINT AS n_access, sum((kind = 2)::INT)::BIGINT AS n_hex,
+      coalesce(string_agg(span, ',' ORDER BY a, kind) FILTER (kind < 3), '') AS base, string_agg(span, ',' ORDER BY a, kind) AS spans FROM x GROUP BY 1)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN y ON y.doc_id = d.doc_id
+"""
+
+
+def _license_sql(threshold: float = 0.8) -> str:
+    phrases = ", ".join(f"('{p}', '{x}')" for p, x in license_scan.PHRASES)
+    templates = ", ".join(f"({i}, '{label}', {sorted(set(t.split()))})" for i, (label, t) in enumerate(license_scan.TEMPLATES))
+    return f"""
+WITH w AS (
+  SELECT doc_id, {_LOWER.format(text="coalesce(text, '')")} AS t, regexp_extract_all({_LOWER.format(text="coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), p(phrase, label) AS (VALUES {phrases}), q AS (SELECT string_split(phrase, ' ') AS q, label FROM p
+), b AS (
+  SELECT doc_id, label, i - 1 AS place FROM (SELECT doc_id, w, q, label, unnest(range(1, len(w) + 1)) AS i FROM w, q) WHERE w[i:i+len(q)-1] = q
+), m(id, label, tokens) AS (VALUES {templates}), l AS (
+  SELECT DISTINCT doc_id, list_distinct(regexp_extract_all(x, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS x FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM w)
+), c AS (
+  SELECT doc_id, label, len(list_intersect(x, tokens)) AS o, len(tokens) AS n FROM l, m
+), f AS (SELECT doc_id, label, o / n AS score FROM c WHERE o >= ceil({threshold} * n - 1e-9)
+), y AS (SELECT doc_id, count(*)::BIGINT AS n_base, min(place)::BIGINT AS first_word, max(place)::BIGINT AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY 1
+), z AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM f) GROUP BY 1
+), s AS (SELECT doc_id, max(score) AS score FROM f GROUP BY 1)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0)::DOUBLE END AS score
+FROM w LEFT JOIN y USING (doc_id) LEFT JOIN z USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality_rules,
+        op2_length_buckets,
+        op3_bounded_ring,
+        op4_token_counts,
+        op5_url_filter,
         op6_benchmark_decontamination,
+        op7_secret_scan,
         op8_minhash_near_dedup,
+        op9_license_scan,
         op10_toxicity,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op8_minhash_near_dedup": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": OP1_SQL,
+    "op7_secret_scan": _secret_sql(),
+    "op8_minhash_near_dedup": OP8_SQL,
+    "op9_license_scan": _license_sql(),
+}

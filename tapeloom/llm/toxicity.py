@@ -264,7 +264,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, least_support:
             evidence = [found.evidence(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(evidence, pa.list_(pa.float64())), batch.column(1)], ["evidence", "toxic"])
 
-    kept = rows.filter("fold = 0").select("text", "toxic").mapInArrow(weighed, "evidence array<double>, toxic int").orderBy("evidence", "toxic").collect()  # bounded by `most`
+    kept = rows.filter("fold = 0").select("text", "toxic").mapInArrow(weighed, "evidence array<double>, toxic int").collect()  # bounded by `most`
+    kept = sorted((tuple(r[0]), r[1]) for r in kept)
     if kept:
         found.coefficients = calibrated(np.array([r[0] for r in kept]), np.array([float(r[1] == 1) for r in kept]), prior)
     return found
