@@ -130,7 +130,7 @@ def restore(seen: str, model: np.ndarray) -> str:
 
 def readings(token: str, model: np.ndarray) -> list[str]:
     """The words of a token between white space, restored where it is suspicious."""
-    core = token.lower().strip(_EDGE)
+    core = token.lower().strip(_EDGE).rstrip(_EDGE + "!")  # at the end an exclamation mark is one
     if _LETTER.search(core) and (_LEET.search(core) or _RUN.search(core)):
         core = restore(core, model)
     return _WORD.findall(core)
