@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.common import written
+
 #: The kinds in order, with their patterns, the group that must be long enough and its least length.
 BASE_RULES: tuple[tuple[str, str, int, int], ...] = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -75,11 +77,14 @@ def extend_ledger(docs: DataFrame, ledger: DataFrame | None = None, version: str
 def findings(docs: DataFrame, ledger: DataFrame | None = None, version: str = RULE_VERSION, rules=RULES) -> DataFrame:
     """doc_id and spans of every row of docs, from the ledger and a scan of what it lacks.
 
+    The new entries are written before they are joined back: a scan is not repeated for a lost task, and the
+    join stands between two exchanges, so that the rows of one much-copied text can be split over tasks.
+
     docs needs doc_id and text; other columns are not read. Defined results: a null or empty text has no
     spans; a null doc_id and repeated rows are returned as they are; an empty table gives none; spans of
     different kinds may overlap and all stay.
     """
-    entries = extend_ledger(docs, ledger, version, rules).select("blob", "spans")
+    entries = written(extend_ledger(docs, ledger, version, rules), "secret-ledger").select("blob", "spans")
     if ledger is not None:
         entries = entries.unionByName(ledger.filter(F.col("rule_version") == version).select("blob", "spans"))
     # Blobs without findings, nearly all, need no join.
