@@ -90,7 +90,7 @@ merged AS (SELECT k, min(a) AS a, max(b) AS b FROM r2 GROUP BY k, island)"""
 def _contracts() -> str:
     out = []
     for n, (run, part, at) in enumerate((("o1", 2, "2024-01-02"), ("o2", 3, "2024-01-03"))):
-        out.append(f"""o{n} AS (SELECT 'US.' || upper(regexp_extract(p_brand, '^([A-Za-z]+)', 1)) || '240119' || CASE WHEN p_partkey % 2 = 0 THEN 'C' ELSE 'P' END || (p_partkey % 500) AS option_code, p_name AS option_name,
+        out.append(f"""o{n} AS (SELECT 'US.' || upper(regexp_extract(p_brand, '^([A-Za-z]+)', 1)) || '240119' || CASE WHEN p_partkey % 2 = 0 THEN 'C' ELSE 'P' END || lpad((p_partkey % 500 * 1000)::VARCHAR, 6, '0') AS option_code, p_name AS option_name,
   CASE WHEN p_partkey % 7 = 0 THEN 'US.' || upper(regexp_extract(p_brand, '^([A-Za-z]+)', 1)) WHEN p_partkey % 11 = 0 THEN 'US.OTHER' ELSE 'US.BRAND' END AS underlying_code,
   CASE WHEN p_partkey % 3 = 0 THEN 'CALL' WHEN p_partkey % 3 = 1 THEN 'PUT' WHEN p_partkey % 2 = 0 THEN 'CALL' ELSE 'PUT' END AS option_type, CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE (p_partkey % 500)::DOUBLE END AS strike_price,
   CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE DATE '2024-01-19' END AS expiry_date, p_size::DOUBLE AS lot_size, CASE WHEN p_partkey % 5 = 0 THEN true WHEN p_partkey % 5 = 1 THEN false END AS suspension,

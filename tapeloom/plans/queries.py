@@ -170,7 +170,7 @@ def _contracts(spark, sf_dir):
     p = derived.table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     raw = p.select(
-        F.concat(F.lit("US."), F.upper(F.regexp_extract("p_brand", "^([A-Za-z]+)", 1)), F.lit("240119"), F.when(key % 2 == 0, "C").otherwise("P"), (key % 500).cast("string")).alias("code"),
+        F.concat(F.lit("US."), F.upper(F.regexp_extract("p_brand", "^([A-Za-z]+)", 1)), F.lit("240119"), F.when(key % 2 == 0, "C").otherwise("P"), F.lpad((key % 500 * 1000).cast("string"), 6, "0")).alias("code"),
         F.col("p_name").alias("name"),
         F.when(key % 7 == 0, F.lit(None)).when(key % 11 == 0, "US.OTHER").otherwise("US.BRAND").alias("owner_stock_code"),
         F.when(key % 3 == 0, "Call").when(key % 3 == 1, "2").alias("option_type"),
