@@ -22,7 +22,7 @@ _TO_LOWER = np.arange(256, dtype=np.uint8)
 _TO_LOWER[65:91] += 32
 
 #: Bytes of text that one numpy pass takes; bounds the memory of a task.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:
