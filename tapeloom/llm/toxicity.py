@@ -33,7 +33,9 @@ _CLASS[48:58] = 27
 _CLASS[128:192] = 30 + (np.arange(128, 192) & 31)
 
 #: What a sign may stand for, besides itself.
-STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "€": "e"}
+STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "€": "e", "*": "aeiou"}
+#: What may stand between the letters of a word.
+GAPS = " .-_*"
 #: Costs of the channel, as negative logarithms.
 SWAP, DROP_GAP, SQUEEZE, KEEP_RUN = 1.5, 0.5, 0.7, 3.0
 
@@ -100,12 +102,8 @@ def lattice(seen: str) -> list[list[tuple[str, float]]]:
             out.append([(c, SQUEEZE), (c * 2, SQUEEZE), (c * n, KEEP_RUN)])
         elif n == 2:
             out.append([(c * 2, 0.0), (c, KEEP_RUN)])
-        elif c in STANDS_FOR:
-            out.append([(c, 0.0), *((x, SWAP) for x in STANDS_FOR[c])])
-        elif c in " .-_*":
-            out.append([(c, 0.0), ("", DROP_GAP)])
         else:
-            out.append([(c, 0.0)])
+            out.append([(c, 0.0), *((x, SWAP) for x in STANDS_FOR.get(c, "")), *([("", DROP_GAP)] if c in GAPS else [])])
         i = j
     return out
 

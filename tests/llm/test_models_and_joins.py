@@ -240,6 +240,7 @@ def test_toxicity(spark, labelled):
 
 def test_restore_reads_what_was_meant(labelled):
     model = toxicity.language_model(labelled[0])
+    assert toxicity.readings("id*ot", model) == ["idiot"] and toxicity.readings("w*rd***", model) != []
     assert toxicity.readings("1d10t!!", model) == ["idiot"] and toxicity.readings("MoooRON", model) == ["moron"]
     # Without anything to decode, the only path is the text.
     assert toxicity.restore("wath", model) == "wath" and all(len(o) == 1 for o in toxicity.lattice("wath"))
@@ -270,7 +271,8 @@ def test_trigrams_do_not_cross_texts(spark):
 
 
 def test_pipeline_keeps_clean_documents(spark, tmp_path, labelled):
-    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline
+
     rng = random.Random(5)
     item = prose(rng, 30)
     clean = [(5000 + i, prose(rng, 50)) for i in range(20)]
