@@ -103,6 +103,12 @@ def item_states(symbols: DataFrame, dates: DataFrame, complete: DataFrame, prese
     return expected.join(c, ["code", "trade_date"], "left").join(p, ["code", "trade_date"], "left").select("code", "trade_date", state.alias("state"))
 
 
+def coverage_state(bars: DataFrame, runs: DataFrame, quality: DataFrame, key: RequestKey, symbols: DataFrame, dates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(item_states, incomplete_reasons) of a request: what the audits start from."""
+    complete, present = completed_items(bars, runs, quality, key, dates), present_items(bars, key, dates)
+    return item_states(symbols, dates, complete, present), incomplete_reasons(bars, runs, quality, key)
+
+
 def coverage_audit(states: DataFrame, reasons: DataFrame) -> DataFrame:
     """Per code: numbers, dates and reasons of its items, coverage in per cent and status (PASS if all is complete, else WARN)."""
     r = reasons.select("code", F.col("requested_trade_date").alias("trade_date"), "reasons")

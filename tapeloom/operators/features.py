@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.functions.codes import finite
+from tapeloom.guards import require_empty
+
 BAR = ["event_time", "open", "high", "low", "close", "volume"]
 
 
@@ -70,6 +73,21 @@ def with_bars(assoc: DataFrame, bars: DataFrame) -> DataFrame:
     return assoc.join(bars.select("canonical_row_version_id", *BAR[1:]), "canonical_row_version_id")
 
 
+def require_row_contract(resolved: DataFrame, reqs: DataFrame) -> None:
+    """Every feature row lies in its sample's code and window and was known to the market at the close; positions run from 0."""
+    rows = resolved.filter("role = 'FEATURE'").select("sample_key", "position", F.col("code").alias("_code"), "event_time", "market_available_at")
+    r = rows.join(reqs.select("sample_key", "code", "feature_window_start", F.col("feature_window_close").alias("_close")), "sample_key", "left")
+    bad = (
+        F.col("code").isNull()
+        | (F.col("code") != F.col("_code"))
+        | (F.col("event_time") < F.col("feature_window_start"))
+        | (F.col("event_time") >= F.col("_close"))
+        | (F.col("market_available_at") > F.col("_close"))
+    )
+    require_empty(r.filter(bad).select("sample_key", "event_time"), "a feature row breaks its sample's contract")
+    require_empty(rows.groupBy("sample_key").agg((F.max("position") + 1 - F.count_distinct("position")).alias("n")).filter("n <> 0"), "positions of a sample have gaps")
+
+
 def gathered(resolved: DataFrame) -> DataFrame:
     """sample_key, anchor date, close of the window, and the sample's bars by role in the order of position. Both arrays are bounded by the windows of the request."""
     bar = F.struct("position", *BAR, "market_calendar_date", "market_available_at", "canonical_row_version_id")
@@ -93,7 +111,7 @@ def execute(samples: DataFrame, specs: list[FeatureSpec], seconds: int) -> DataF
     """One row for each sample and spec: sample_key, name, status, reason_code, value, consumed (bar versions).
 
     samples comes from gathered(). Too few bars, then a bar off the anchor's date, then a distance that is not the
-    interval exclude a sample; a value that arithmetic forbids raises. -0.0 is returned as 0.0.
+    interval exclude a sample; a value that arithmetic forbids, or that is not finite, raises. -0.0 is returned as 0.0.
     """
     rows = []
     for s in specs:
@@ -107,7 +125,8 @@ def execute(samples: DataFrame, specs: list[FeatureSpec], seconds: int) -> DataF
             .when(F.exists(w, lambda x: ~x["market_calendar_date"].eqNullSafe(F.col("anchor"))), "CROSS_MARKET_DATE")
             .when(apart(w, seconds), "NON_CONTIGUOUS_ROWS")
         )
-        value = F.when(t.fault(w), F.raise_error(F.lit(f"{s.name}: no value for this window")).cast("double")).otherwise(positive_zero(t.build(w)))
+        own = t.build(w)
+        value = F.when(t.fault(w) | ~finite(own), F.raise_error(F.lit(f"{s.name}: no value for this window")).cast("double")).otherwise(positive_zero(own))
         rows.append(
             F.struct(
                 F.lit(s.name).alias("name"), F.when(reason.isNull(), "COMPLETE").otherwise("EXCLUDED").alias("status"), reason.alias("reason_code"), F.when(reason.isNull(), value).alias("value"),

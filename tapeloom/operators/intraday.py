@@ -116,3 +116,10 @@ def summary(states: DataFrame, check_rows: DataFrame, segment_rows: DataFrame) -
     out = out.withColumn("coverage_percentage", F.when(F.col("expected_items") > 0, F.bround(F.col("complete_items") / F.col("expected_items") * 100, 2)).otherwise(100.0))
     warn = (F.col("warn_items") > 0) | (F.col("incomplete_items") > 0) | (F.col("missing_items") > 0)
     return out.withColumn("status", F.when(F.col("fail_items") > 0, "FAILED").when(warn, "WARN").otherwise("PASS"))
+
+
+def audit(bars: DataFrame, chosen: DataFrame, states: DataFrame, expected: dict[str, str], seconds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(checks, segments, summary) of all chosen snapshots, with the items that have none."""
+    rows = snapshot_rows(bars, chosen)
+    found, parts = checks(rows, expected, seconds), segments(rows, seconds)
+    return found, parts, summary(states, found, parts)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.guards import require_empty
 from tapeloom.operators.features import positive_zero
 
 FORWARD = ("forward_return", "forward_direction")
@@ -32,6 +33,14 @@ def _value(kind: str, anchor: Column, target: Column, window: Column) -> Column:
     return F.least(F.lit(0.0), F.array_min(F.transform(window, lambda x: x["low"])) / anchor["close"] - 1)
 
 
+def require_row_contract(resolved: DataFrame, reqs: DataFrame) -> None:
+    """Every label row lies in its sample's code, label window and anchor date."""
+    rows = resolved.filter("role = 'LABEL'").select("sample_key", F.col("code").alias("_code"), "event_time", "market_calendar_date")
+    r = rows.join(reqs.select("sample_key", "code", "label_window_start", "label_window_close", F.col("anchor_market_calendar_date").alias("_anchor")), "sample_key", "left")
+    good = (F.col("code") == F.col("_code")) & (F.col("event_time") >= F.col("label_window_start")) & (F.col("event_time") < F.col("label_window_close")) & (F.col("market_calendar_date") == F.col("_anchor"))
+    require_empty(r.filter(~F.coalesce(good, F.lit(False))).select("sample_key", "event_time"), "a label row breaks its sample's contract")
+
+
 def execute(samples: DataFrame, specs: list[LabelSpec], seconds: int) -> DataFrame:
     """One row for each sample and spec: sample_key, name, status, reason_code, value, end_time (availability of the last bar consumed).
 

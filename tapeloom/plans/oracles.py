@@ -205,6 +205,9 @@ ORACLES: dict[str, str] = {
     "snapshot_hash_groups": f"WITH {CAP} SELECT code, count(DISTINCT (day, run, file)) AS n_snapshots, count(DISTINCT h) AS n_hashes FROM (SELECT code, day, run, file, string_agg(concat_ws('|', t, open, high, low, close, volume), ';' ORDER BY t) AS h FROM cap GROUP BY 1, 2, 3, 4) GROUP BY 1".replace("count(DISTINCT (day, run, file))", "count(*)"),
     "content_ids": f"""WITH {RANKED}, d AS (SELECT {DIGEST_ROW} AS d, count(*) AS n FROM bars GROUP BY 1), n AS (SELECT substr(d, 1, 4) AS p, sha256(string_agg(d || ':' || n, '' ORDER BY d)) AS h FROM d GROUP BY 1)
       SELECT sha256(string_agg(p || h, '' ORDER BY p)) AS content_id FROM n""",
+    "scope_bars": f"WITH {RANKED} SELECT code, t AS event_time, close FROM bars WHERE code IN ('click', 'view') AND dayofweek(day) BETWEEN 1 AND 5",
+    "merged_builds": f"WITH {RANKED} SELECT code, t AS event_time, close, version AS canonical_row_version_id, CASE WHEN hour(t) < 8 THEN 'b1' WHEN hour(t) < 16 THEN 'b1,b2' ELSE 'b2' END AS build_ids FROM bars",
+    "calendar_gaps": f"""WITH {CAL}, r AS (SELECT DISTINCT a, b FROM cal WHERE run = 'cal-2') SELECT DATE '1995-01-01' AS start, a - 1 AS "end" FROM r UNION ALL SELECT b + 1, DATE '2001-12-31' FROM r""",
     "sample_segments": f"WITH {SEGMENTS} SELECT code, day AS market_calendar_date, session, t AS first_event_time, n AS segment_bars FROM c3 WHERE pos = 0",
     "sample_requests": f"""WITH {REQUESTS} SELECT sample_key, code, '60m' AS interval, 'NONE' AS adjustment, 'ALL' AS requested_session, day AS anchor_market_calendar_date, f0 AS feature_window_start, f1 AS feature_window_close, l0 AS label_window_start, l1 AS label_window_close FROM reqs""",
     "sample_shortfalls": f"WITH {SEGMENTS} SELECT code, count(*) FILTER (pos = 0) AS n_segments, count(*) FILTER (pos = 0 AND n < 3) AS n_short_segments, count(*) FILTER (pos >= 2 AND pos + 2 >= n) AS n_unlabelled_anchors FROM c3 GROUP BY 1",
@@ -274,6 +277,7 @@ DATES: dict[str, tuple[str, ...]] = {
     "canonical_provenance": ("requested_trade_date",),
     "canonical_gaps": ("market_calendar_date",),
     "sample_segments": ("market_calendar_date",),
+    "calendar_gaps": ("start", "end"),
     "sample_requests": ("anchor_market_calendar_date",),
     "split_assignments": ("feature_window_close_date",),
     "dataset_completion": ("trade_date",),

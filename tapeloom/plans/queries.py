@@ -281,8 +281,7 @@ def latest_completed_dates(spark, sf_dir):
 
 def _items(spark, sf_dir):
     bars, runs, q, days = _state(spark, sf_dir)
-    complete, present = coverage.completed_items(bars, runs, q, KEY, days), coverage.present_items(bars, KEY, days)
-    return coverage.item_states(bars.select("code"), days, complete, present), coverage.incomplete_reasons(bars, runs, q, KEY)
+    return coverage.coverage_state(bars, runs, q, KEY, bars.select("code"), days)
 
 
 @query
@@ -340,9 +339,10 @@ def intraday_sessions(spark, sf_dir):
 
 @query
 def intraday_summary(spark, sf_dir):
-    rows = _audited(spark, sf_dir)
+    bars, runs, q, _ = _state(spark, sf_dir)
     expected = {"interval": "60m", "adjustment": "NONE", "requested_session": "ALL", "source_schema_version": "1"}
-    return intraday.summary(_items(spark, sf_dir)[0], intraday.checks(rows, expected, HOUR), intraday.segments(rows, HOUR))
+    chosen = coverage.latest_complete_snapshots(bars, runs, q, KEY)
+    return intraday.audit(bars, chosen, _items(spark, sf_dir)[0], expected, HOUR)[2]
 
 
 # Canonical reconciliation
@@ -423,6 +423,29 @@ def _build(spark, sf_dir):
     return build(_canonical(spark, sf_dir), SPEC)
 
 
+@query
+def scope_bars(spark, sf_dir):
+    bars = _canonical(spark, sf_dir)
+    days = derived.trading_days(derived.captures(spark, sf_dir))
+    codes_ = spark.createDataFrame([("click",), ("view",), ("click",)], "code string")
+    return samples.in_scope(bars, interval="60m", adjustment="NONE", session="ALL", symbols=codes_, dates=days).select("code", "event_time", "close")
+
+
+@query
+def merged_builds(spark, sf_dir):
+    bars = _canonical(spark, sf_dir).select("code", "event_time", "close", "canonical_row_version_id")
+    first, second = bars.filter(F.hour("event_time") < 16).withColumn("build_id", F.lit("b1")), bars.filter(F.hour("event_time") >= 8).withColumn("build_id", F.lit("b2"))
+    return samples.merged_builds(first.unionByName(second)).withColumn("build_ids", F.array_join("build_ids", ","))
+
+
+@query
+def calendar_gaps(spark, sf_dir):
+    rows = derived.calendar(spark, sf_dir).filter("ingestion_run_id = 'cal-2'")
+    requested = latest.requested_ranges(rows, "MARKET", "US", "1995-01-01", "2002-01-01")
+    wanted = spark.sql("SELECT DATE'1995-01-01' AS start, DATE'2001-12-31' AS end")
+    return coverage.calendar_gaps(wanted, requested)
+
+
 @query
 def sample_segments(spark, sf_dir):
     rows = samples.contiguous(_canonical(spark, sf_dir), HOUR)

@@ -146,6 +146,13 @@ def test_chain_on_ten_bars(spark, tmp_path):
     assert dataset.materialize(b.rows, str(tmp_path)) == (own, path)
     assert dataset.verified(spark, path, own, SPEC.split, b.rows.schema).count() == 6
     assert len(values(dataset.page(b.rows, 1, 2))) == 2
+    resolved = features.with_bars(b.association, minute_bars(spark))
+    features.require_row_contract(resolved, b.requests)
+    labels.require_row_contract(resolved, b.requests)
+    with pytest.raises(GuardError):
+        features.require_row_contract(resolved.withColumn("market_available_at", F.col("market_available_at") + F.expr("interval 1 day")), b.requests)
+    with pytest.raises(GuardError):
+        labels.require_row_contract(resolved.withColumn("code", F.lit("X")), b.requests)
     pit.require_pins(b.association, b.association.select("canonical_row_version_id"))
     with pytest.raises(GuardError):
         pit.require_pins(b.association, b.association.select("canonical_row_version_id").limit(1))
