@@ -38,7 +38,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of written() tables that nothing will read any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(c: Column) -> Column:

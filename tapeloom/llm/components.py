@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import written
+from tapeloom.llm.common import discard, written
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def components(links: DataFrame) -> DataFrame:
     now = written(links.filter("a <> b").select("a", "b").distinct(), "links")
     mark = None
     while True:
-        now = written(_small_star(_large_star(now)).filter("a <> b").distinct(), "links")
+        before, now = now, written(_small_star(_large_star(now)).filter("a <> b").distinct(), "links")
+        discard(before)
         seen = now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
         if seen == mark:
             return now.select(F.col("a").alias("vertex"), F.col("b").alias("root"))

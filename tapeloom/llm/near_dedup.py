@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import chunks, mix, utf8, word_hashes, word_spans, written
+from tapeloom.llm.common import chunks, discard, mix, utf8, word_hashes, word_spans, written
 from tapeloom.llm.components import components
 
 _ODD = np.random.default_rng(7).integers(1, 2**62, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -192,6 +192,7 @@ def near_duplicates(
     proven = proven.filter(100 * F.col("both") >= percent * (F.size("ma") + F.size("mb") - F.col("both"))).select("a", "b")
     forest = dealt.join(sets, "vertex").groupBy("v", "i", "j").applyInArrow(_forest(percent), "a long, b long")
     roots = components(proven.unionByName(forest))
+    discard(shared, near, heavy, sets)  # the links are written
 
     place = nodes.select("digest", "vertex").join(roots, "vertex", "left").select("digest", F.coalesce("root", "vertex").alias("root"))
     out = base.select("doc_id", "n_shingles", "digest").join(place, "digest", "left")
