@@ -1,6 +1,7 @@
 """License notices in documents: exact set containment of templates in text blocks.
 
-A block is a line of a text, as the set of its tokens. Tokens are ordered by how many documents have
+A block is a line of a text, or any stretch of as many tokens as a template has, across line breaks, so
+that notices in their usual wrapped layout are blocks as well. It counts as the set of its tokens. Tokens are ordered by how many documents have
 them, rarest first. To contain a share of a template's tokens a block must hold one of the first few
 of them in that order (prefix filter), must be long enough (length filter), and what is left of both
 behind a shared token must suffice (positional filter); then the overlap is counted exactly. Tokens
@@ -44,11 +45,12 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 
 @dataclass(frozen=True)
 class Template:
-    """A template's tokens, rarest first; least is how many of them a block must hold."""
+    """A template's tokens, rarest first; least is how many of them a block must hold, span its length with repeated tokens."""
 
     label: str
     tokens: tuple[str, ...]
     least: int
+    span: int
 
     @property
     def prefix(self) -> tuple[str, ...]:
@@ -70,7 +72,7 @@ def ordered(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> lis
     """Templates with their tokens by document frequency, rarest first, ties by the token."""
     words = sorted({w for _, t in templates for w in t.split()})
     n = frequencies(docs, words)
-    return [Template(label, tuple(sorted(set(t.split()), key=lambda w: (n.get(w, 0), w))), math.ceil(threshold * len(set(t.split())) - 1e-9)) for label, t in templates]
+    return [Template(label, tuple(sorted(set(t.split()), key=lambda w: (n.get(w, 0), w))), math.ceil(threshold * len(set(t.split())) - 1e-9), len(t.split())) for label, t in templates]
 
 
 def _containment(block: Column, t: Template) -> Column:
@@ -88,8 +90,8 @@ def licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> Da
 
     docs needs doc_id and text; other columns are not read. n_base counts the places of PHRASES, first_word and
     last_word are their least and greatest start in words (null: none), base_labels names them; labels
-    adds those of the templates that some line contains to the threshold; score is 1 where a phrase
-    stands, else the greatest such containment, else 0.
+    adds those of the templates that some line, or some stretch of a template's length across lines, contains
+    to the threshold; score is 1 where a phrase stands, else the greatest such containment, else 0.
 
     Defined results: a null or empty text has no words and no labels; a null doc_id and repeated rows are
     returned as they are; an empty table gives none. A text of one long line is one block.
@@ -113,7 +115,17 @@ def licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> Da
         lambda x: F.arrays_overlap(x, prefixes),
     )
     rows = rows.withColumn("blocks", F.when(F.arrays_overlap("w", prefixes), lines).otherwise(F.array().cast("array<array<string>>")))
-    best = [F.coalesce(F.array_max(_each_block(t)), F.lit(0.0)) for t in known]
+
+    # Stretches across lines: the places of each template's tokens, where a text of several lines has enough of them at all.
+    rows = rows.withColumn("have", F.when((F.size("blocks") > 0) & F.contains("t", F.lit("\n")), F.array_intersect("w", vocabulary)).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("enough", F.array(*(F.size(F.array_intersect("have", F.array(*map(F.lit, t.tokens)))) >= t.least for t in known)))
+    own = sorted({w for t in known for w in t.tokens})
+    hits = F.filter(F.transform("w", lambda x, i: F.when(x.isin(own), F.struct(i.alias("at"), x.alias("token")))), lambda x: x.isNotNull())
+    rows = rows.withColumn("hits", F.when(F.array_contains("enough", True), hits).otherwise(F.array().cast("array<struct<at:int,token:string>>")))
+    rows = rows.withColumn("runs", F.when(F.size("hits") > 0, F.array(*(_hits_of(t, i) for i, t in enumerate(known)))))
+    rows = rows.withColumn("across", F.transform("runs", _best_stretch))
+
+    best = [F.greatest(F.coalesce(F.array_max(_each_block(t)), F.lit(0.0)), F.coalesce(F.get("across", F.lit(i)), F.lit(0.0))) for i, t in enumerate(known)]
     rows = rows.withColumn("best", F.when(F.size("blocks") > 0, F.array(*best)).otherwise(F.array().cast("array<double>")))
     names = F.array(*(F.lit(t.label) for t in known))
     added = F.filter(F.transform("best", lambda x, i: F.when(x > 0, F.get(names, i))), lambda x: x.isNotNull())
@@ -135,6 +147,25 @@ def _each_block(t: Template) -> Column:
     return F.transform("blocks", lambda x: _containment(x, t))
 
 
+def _hits_of(t: Template, i: int) -> Column:
+    """The places of t's tokens with its sizes; no places where the text has too few of them."""
+    hits = F.when(F.get("enough", F.lit(i)), F.filter("hits", lambda x: x["token"].isin(list(t.tokens)))).otherwise(F.array().cast("array<struct<at:int,token:string>>"))
+    return F.struct(hits.alias("hits"), F.lit(t.span).alias("span"), F.lit(t.least).alias("least"), F.lit(len(t.tokens)).alias("size"))
+
+
+def _best_stretch(run: Column) -> Column:
+    """The greatest containment in a stretch of span tokens that meets the threshold, else 0. A best stretch begins at a token of the template."""
+    hits = run["hits"]
+
+    def overlap(x, k):
+        inside = F.filter(F.slice(hits, k + 1, run["span"]), lambda y: y["at"] < x["at"] + run["span"])
+        n = F.size(F.array_distinct(F.transform(inside, lambda y: y["token"])))
+        last = F.get(hits, k + run["least"] - 1)["at"]  # that many places must lie in the stretch at least
+        return F.when((last < x["at"] + run["span"]) & (n >= run["least"]), n / run["size"].cast("double")).otherwise(F.lit(0.0))
+
+    return F.coalesce(F.array_max(F.transform(hits, overlap)), F.lit(0.0))
+
+
 def _phrase_places(parts: list[str], kind: int) -> Column:
     """Structs (at, kind) where the words of parts stand consecutively."""
     back = len(parts) - 1

@@ -1,6 +1,7 @@
 """Operators of the training-data subpackage against plain Python on small texts."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -160,6 +161,45 @@ def test_licenses(spark):
     assert license_scan.licenses(df.limit(0)).count() == 0
 
 
+WRAPPED = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software."),
+    ("bsd", " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:"),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE"),
+    ("apache", "# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#     http://www.apache.org/licenses/LICENSE-2.0"),
+    ("mpl", "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file"),
+]
+
+
+def stretches(text):
+    """Labels and score by brute force over the lines and all stretches of a template's length."""
+    token = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    w, best, labels = token.findall(text.lower()), 0.0, set()
+    for label, t in license_scan.TEMPLATES:
+        own, n = set(t.split()), len(t.split())
+        blocks = [token.findall(x) for x in text.lower().split("\n")] + [w[i : i + n] for i in range(len(w))]
+        share = max(len(own & set(x)) for x in blocks) / len(own)
+        if share >= 0.8 - 1e-9:
+            best, _ = max(best, share), labels.add(label)
+    return ",".join(sorted(labels)), best
+
+
+def test_wrapped_licenses(spark):
+    rng = random.Random(3)
+    words = sorted({w for _, t in license_scan.TEMPLATES for w in t.split()})
+    texts = [f"{before}{t}{after}" for _, t in WRAPPED for before, after in (("", ""), ("int main;\n\n", "\nrest of the file\n"))]
+    for _, t in license_scan.TEMPLATES * 4:  # with words lost, swapped and put in, and the line breaks anywhere
+        w = [x for x in t.split() for x in ([x] * (rng.random() > 0.1) + [rng.choice(words)] * (rng.random() < 0.1))]
+        texts.append("a\n" + "".join(x + rng.choice("  \n") for x in w))
+    texts.append("permission is hereby granted\n" + "other words\n" * 40 + "free of charge to any person obtaining a copy\n" + "more\n" * 40 + "of this software and associated documentation files")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_base, r.labels, r.score) for r in license_scan.licenses(df).collect()}
+    assert [got[2 * i][1] for i in range(len(WRAPPED))] == [got[2 * i + 1][1] for i in range(len(WRAPPED))] == [label for label, _ in WRAPPED]
+    assert got[len(texts) - 1] == (0, "", 0.0)
+    plain = {i: stretches(t) for i, t in enumerate(texts)}
+    assert {i: g[1:] for i, g in got.items() if not g[0]} == {i: p for i, p in plain.items() if not got[i][0]}
+
+
 URLS = [
     (1, "http://Example.COM/en/1"), (2, "https://www.example.com/en/2?x"), (3, "http://a.b.net/es/"), (4, "http://net/fr/x#y"), (5, "http://a.com"), (6, None), (7, "no scheme/en/"),
     (8, "http://x.example.com:80/en/"), (9, "http://cheap-pills.example.org/en/1"), (10, "http://thander.example.org/en/1"), (11, "http://www.example.com?/en/"), (None, "http://badexample.com/en/"),
