@@ -10,6 +10,10 @@ exactly. A walk is short, so that one embedding of a place serves the windows of
 Windows are anchored at word starts. Each item enters every table once for each of its own word
 starts, so a window is found if any stretch of a few words of it survives unedited (or with edits
 that no sampled step sees) in any table; the window then begins that much earlier.
+
+A walk that leaves its item says nothing of it. Items too short for a walk are in no table: they are
+searched for exactly, at every place. Of most + 1 pieces of such an item one stands unedited in any
+window within `most` edits, and where one stands the distance is measured, many places at a time.
 """
 
 from __future__ import annotations
@@ -29,6 +33,10 @@ _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
+#: Code points that one column of the exact search takes: more than a short item and its edits.
+_STRIDE = 128
+#: What stands between texts in the exact search; no code point.
+_NONE = 0x110000
 
 
 @dataclass(frozen=True)
@@ -77,6 +85,48 @@ def edit_distance_within(item: str, window: str, most: int) -> tuple[int, int] |
     return best if best[0] <= most else None
 
 
+def _ends_within(item: str, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, edits) of all parts of codes at most `most` edits from item (63 code points at most), by the end.
+
+    codes must begin with a stride of _NONE and be whole strides long.
+    """
+    m = len(item)
+    own = np.frombuffer(item.encode("utf-32-le"), dtype=np.uint32)
+    wanted = np.zeros(len(codes) // _STRIDE, dtype=bool)
+    cuts = [m * i // (most + 1) for i in range(most + 2)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a == b:
+            wanted[1:] = True
+            break
+        at = np.flatnonzero(codes[: len(codes) - (b - a) + 1] == own[a])
+        for j in range(1, b - a):
+            at = at[codes[at + j] == own[a + j]]
+        wanted[at // _STRIDE] = True
+        wanted[np.minimum((at + m + most) // _STRIDE, len(wanted) - 1)] = True
+    wanted[0] = False  # nothing but _NONE stands there
+    masks = np.zeros(_NONE + 1, dtype=np.uint64)
+    for i, c in enumerate(own):
+        masks[c] |= np.uint64(1 << i)
+    one, top, lead, ends, edits = np.uint64(1), np.uint64(m - 1), m + most, [], []
+    columns = np.flatnonzero(wanted) * _STRIDE - lead
+    for k in range(0, len(columns), 4096):
+        first = columns[k : k + 4096]
+        up, down = np.full(len(first), 2**64 - 1, dtype=np.uint64), np.zeros(len(first), dtype=np.uint64)
+        score = np.full(len(first), m, dtype=np.int64)
+        for t in range(lead + _STRIDE):
+            eq = masks[codes[first + t]]
+            diagonal = ((eq & up) + up ^ up) | eq | down
+            plus, minus = down | ~(diagonal | up), up & diagonal
+            score += (plus >> top & one).astype(np.int64) - (minus >> top & one).astype(np.int64)
+            plus, minus = plus << one, minus << one
+            up, down = minus | ~(diagonal | plus), plus & diagonal
+            if t >= lead and (near := np.flatnonzero(score <= most)).size:
+                ends.append(first[near] + t + 1)
+                edits.append(score[near])
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *ends]), np.concatenate([none, *edits])
+
+
 def _embed(data: np.ndarray, places: np.ndarray, bits: np.ndarray, sampled: list[int], first: int, look: np.ndarray | None):
     """Hashes of the sampled steps of the walks from places, and the places that pass the first look."""
     at, key, taken = places.copy(), np.zeros(len(places), dtype=np.uint64), 0
@@ -104,6 +154,9 @@ class Index:
         cuts = np.cumsum([0, *(len(x) + pad for x in raw)])
         data = np.frombuffer(b"".join(x + b"\0" * pad for x in raw), dtype=np.uint8)
         starts = [word_spans(np.frombuffer(x, dtype=np.uint8), np.array([0, len(x)]))[0] if x else np.zeros(0, np.int64) for x in raw]
+        self.short = [i for i, (x, s) in enumerate(zip(self.texts, starts, strict=True)) if len(s) and len(x) - s[0] < walks.steps]
+        for i in self.short:
+            starts[i] = starts[i][:0]
         item = np.repeat(np.arange(len(raw)), [len(s) for s in starts])
         offset = np.concatenate([*starts, np.zeros(0, np.int64)])
         self.tables = []
@@ -138,10 +191,8 @@ class Index:
             part = np.concatenate([_FOLD[data[offsets[a] : offsets[b]]], np.zeros(self.walks.steps + 1, np.uint8)])
             places = word_spans(part[: cuts[-1]], cuts)[0] if cuts[-1] else np.zeros(0, np.int64)
             hits = self.candidates(part, places)
-            if not len(hits):
-                continue
+            best = self._short_matches(part[: cuts[-1]], cuts, share)
             rows = np.searchsorted(cuts, hits[:, 0], "right") - 1
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
             tried: dict[tuple[int, int], list[tuple[int, int]]] = {}
             folded: dict[int, str] = {}
             for row, (place, item, offset) in zip(rows.tolist(), hits.tolist(), strict=True):
@@ -169,6 +220,36 @@ class Index:
                 yield a + row, self.ids[item], start, end, edits
 
 
+    def _short_matches(self, data: np.ndarray, cuts: np.ndarray, share: float) -> dict[tuple[int, int], tuple[int, int, int]]:
+        """(edits, start, end) of the nearest window of each text and short item, by (row, item)."""
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        if not self.short or not len(data):
+            return best
+        # Code points with more of _NONE between texts than any short item may have edits.
+        chars = np.r_[0, np.cumsum(data & 0xC0 != 0x80)][cuts]
+        gap = 1 + max(int(share * len(self.texts[i])) for i in self.short)
+        origin = _STRIDE + chars[:-1] + gap * np.arange(len(chars) - 1)
+        codes = np.full(-(-(origin[-1] + chars[-1] - chars[-2] + 1) // _STRIDE) * _STRIDE, _NONE, dtype=np.uint32)
+        codes[np.arange(chars[-1]) + np.repeat(origin - chars[:-1], np.diff(chars))] = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
+        whole = lambda row: data[cuts[row] : cuts[row + 1]].tobytes().decode()
+        for i in self.short:
+            item = self.texts[i]
+            most = int(share * len(item))
+            nearest: dict[int, tuple[int, int]] = {}
+            if len(item) > 63 or len(item) + most >= _STRIDE:  # much white space before a short word, or a share near 1
+                nearest = {row: got for row in range(len(origin)) if (got := edit_distance_within(item, whole(row), most))}
+            else:
+                ends, edits = _ends_within(item, codes, most)
+                rows = np.searchsorted(origin, ends - 1, "right") - 1
+                for k in np.lexsort((ends, edits, rows)).tolist():
+                    row = int(rows[k])
+                    nearest.setdefault(row, (int(edits[k]), int(min(ends[k] - origin[row], chars[row + 1] - chars[row]))))
+            for row, (edits_, end) in nearest.items():
+                back = edit_distance_within(item[::-1], whole(row)[max(0, end - len(item) - most) : end][::-1], most)
+                best[row, i] = (edits_, end - back[1] if back else max(0, end - len(item)), end)
+        return best
+
+
 def _indexes(items: DataFrame, walks: Walks, block: int) -> list[Index]:
     """The items in blocks of about `block`, so that what travels to the tasks at once is bounded."""
     rows = items.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and trim(text) <> ''").distinct()
@@ -182,7 +263,8 @@ def contaminations(docs: DataFrame, items: DataFrame, share: float = 0.2, walks:
     docs needs doc_id and text, items needs item_id and text; other columns are not read. Items are taken
     in blocks of about `block`, each block over all documents. Returns doc_id, item_id, start and end
     (code points of the text, end exclusive), n_edits and item_length: for each row of docs and item the
-    nearest window. Case of A-Z and kind of white space do not count as edits.
+    nearest window. Case of A-Z and kind of white space do not count as edits. Items shorter than a walk
+    are found exactly and at every place, inside words too.
 
     Defined results: null and empty texts, and items of no text or id, match nothing; a null doc_id is
     returned as it is; repeated rows are returned as often as they occur; ties go to the first window.

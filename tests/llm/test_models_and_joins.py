@@ -139,6 +139,40 @@ def test_decontamination_recall_and_precision(spark):
     assert sorted(map(repr, split.collect())) == sorted(map(repr, got))
 
 
+def test_short_items_are_found_exactly(spark):
+    rng = random.Random(4)
+    alphabet = "abcdefghijklmnopqrst é"
+    items = [(n * 10 + k, ("q" + "".join(rng.choice(alphabet) for _ in range(n - 2)) + "z")) for n in (5, 6, 8, 10, 12, 14, 16, 18, 20, 22, 25, 30, 40, 43) for k in range(3)]
+    items += [(900, "tiny"), (901, " " * 70 + "hi")]
+    texts = []
+    for _, t in items:
+        texts += [t, "so " + t.upper() + " it", prose(rng, 9) + "\n" + typos(rng, t, 0.1) + " " + prose(rng, 9), "x" + typos(rng, t, 0.2)]
+    texts += [t[: len(t) // 2] for _, t in items] + ["", None, "漢字" * 90 + items[20][1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    bench = spark.createDataFrame([*items, (902, "\n"), (903, "")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontamination.contaminations(docs, bench).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        for i, item in items:
+            n = edit_distance(decontamination.fold(item), decontamination.fold(t))
+            if n <= int(0.2 * len(item)) and t:
+                want[d, i] = n
+    assert {k: r.n_edits for k, r in got.items()} == want and all((4 * k + j, i) in want for k, (i, _) in enumerate(items) for j in (0, 1))
+    for (d, i), r in got.items():
+        assert edit_distance_whole(decontamination.fold(dict(items)[i]), decontamination.fold(texts[d])[r.start : r.end]) == r.n_edits
+    assert {r.doc_id for r in decontamination.decontaminated(docs, bench).collect()} == set(range(len(texts))) - {d for d, _ in want}
+
+
+def edit_distance_whole(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return row[-1]
+
+
 def test_best_boundaries_against_all_choices():
     rng = np.random.default_rng(1)
     for k in (1, 2, 3, 9):
