@@ -41,10 +41,16 @@ SWAP, DROP_GAP, SQUEEZE, KEEP_RUN = 1.5, 0.5, 0.7, 3.0
 
 _EDGE = ".,;:?\"'()[]{}#%&*~`<>/\\=_-"
 _LEET = re.compile("[" + re.escape("".join(STANDS_FOR)) + "]")
+_LEET_SIGN = re.compile(r"[@$!|+€*]")
 _LETTER = re.compile(r"[^\W\d_]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
+#: What else gives the lattice of a token more than one path: a doubled letter, a sign that may be a gap.
+_DOUBT = re.compile(r"([^\W\d_])\1|[.\-_*]")
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"(?<![^\s.,;:\-_*])[^\W_](?:[ .\-_*]{1,2}[^\W_]){2,}(?![^\s.,;:!?\-_*])")
+#: The same with signs of STANDS_FOR among the letters; an asterisk is one where it stands alone, else a gap.
+_SIGN = r"(?:[^\W_]|[@$!|+€]|(?<!\S)\*(?!\S))"
+_SIGNED = re.compile(rf"(?<![^\s.,;:\-_*]){_SIGN}(?:[ .\-_*]{{1,2}}{_SIGN}){{2,}}(?![^\s.,;:!?\-_*])")
 
 
 def class_of(c: str) -> int:
@@ -127,16 +133,26 @@ def restore(seen: str, model: np.ndarray) -> str:
 
 
 def readings(token: str, model: np.ndarray) -> list[str]:
-    """The words of a token between white space, restored where it is suspicious."""
+    """The words of a token between white space, restored where it is suspicious.
+
+    A doubled letter or a gap is common in clean words as well, so there the words as they stand count too.
+    """
     core = token.lower().strip(_EDGE).rstrip(_EDGE + "!")  # at the end an exclamation mark is one
     if _LETTER.search(core) and (_LEET.search(core) or _RUN.search(core)):
         core = restore(core, model)
+    elif _DOUBT.search(core) and _LETTER.search(core):
+        plain = _WORD.findall(core)
+        return [*plain, *(w for w in _WORD.findall(restore(core, model)) if w not in plain)]
     return _WORD.findall(core)
 
 
 def spaced(text: str, model: np.ndarray) -> list[str]:
     """Words that single letters with gaps between them spell."""
-    return [w for m in _SPACED.finditer(text) for w in _WORD.findall(restore(m.group().lower(), model)) if len(w) > 2]
+    found = [m.group() for m in _SPACED.finditer(text)]
+    # A sign at either end may be one, so what stands without signs counts too.
+    signed = (m.group().rstrip(" !") for m in _SIGNED.finditer(text))
+    found += [x for x in signed if _LEET_SIGN.search(x) and _LETTER.search(x)]
+    return list(dict.fromkeys(w for x in found for w in _WORD.findall(restore(x.lower(), model)) if len(w) > 2))
 
 
 def features(word: str) -> list[str]:

@@ -280,6 +280,29 @@ def test_restore_reads_what_was_meant(labelled):
     assert toxicity.restore("wath", model) == "wath" and all(len(o) == 1 for o in toxicity.lattice("wath"))
 
 
+def test_doubled_letters_gaps_and_signs_are_decoded(labelled):
+    docs, labels = labelled
+    scorer = toxicity.train(docs, labels)
+    model = scorer.model
+    for token, word in (("iddiot", "idiot"), ("id-iot", "idiot"), ("mor_on", "moron"), ("scum.bag", "scumbag"), ("lloser", "loser")):
+        assert word in toxicity.readings(token, model), token
+    for text, word in (("i d ! o t", "idiot"), ("you m 0 r 0 n", "moron"), ("! d ! o t", "idiot"), ("$-c-u-m-b-@-g", "scumbag"), ("i d * o t now", "idiot"), ("so! i d i o t !", "idiot"), ("oh ! i d i o t", "idiot")):
+        assert word in toxicity.spaced(text, model), text
+    rng = random.Random(6)
+    body = " ".join(prose(rng, 1).rstrip("0123456789") for _ in range(9))
+    for form in ("iddiot", "id-iot mor_on", "mor_on lloser", "i d ! o t and scum.bag"):
+        assert scorer.score(f"{body} {form} {body}") >= 0.3, form
+    for form in ("well-known", "letter by letter", "e.g. 3.5", "a | b | c", "x + y + z", "* a\n* b\n", "*" * 5000 + "x", "| | | | |" * 500):
+        assert scorer.score(f"{body} {form} {body}") < 0.3, form
+    # Words as they stand are kept, and all tokens with more than one path are decoded.
+    assert {"you", "idiot"} <= set(toxicity.readings("you-idiot", model)) and "letter" in toxicity.readings("letter", model)
+    for _ in range(2000):
+        token = "".join(rng.choice("abbé.-_x") for _ in range(rng.randrange(1, 7)))
+        core = token.strip(toxicity._EDGE)
+        several = any(len(o) > 1 for o in toxicity.lattice(core))
+        assert several == bool(toxicity._LEET.search(core) or toxicity._RUN.search(core) or toxicity._DOUBT.search(core))
+
+
 def test_viterbi_finds_the_cheapest_path(labelled):
     model = toxicity.language_model(labelled[0])
 
