@@ -1,88 +1,104 @@
-"""License notices in documents: exact set containment of templates in text blocks.
-
-A block is a line of a text, or any stretch of as many tokens as a template has, across line breaks, so
-that notices in their usual wrapped layout are blocks as well. It counts as the set of its tokens. Tokens are ordered by how many documents have
-them, rarest first. To contain a share of a template's tokens a block must hold one of the first few
-of them in that order (prefix filter), must be long enough (length filter), and what is left of both
-behind a shared token must suffice (positional filter); then the overlap is counted exactly. Tokens
-outside all templates can be in no overlap, so a block is reduced to the others at once, which
-leaves every containment as it is. All of it is built-in expressions over scans of the texts.
+"""License notices in documents: an exact set-similarity join of templates and text blocks.
+
+A block of a template is any stretch of so many tokens of a text that the template's share of it may be
+missing or foreign, across line breaks; it counts as the set of its tokens. Tokens are ordered by how
+many documents have them, rarest first. To contain a share of a template's tokens a block must hold one
+of the first few of them in that order: these prefixes are an inverted list (token, template), and the
+words of all texts are joined to it (prefix filter). Around such a place there must be enough of the
+template's tokens at all (length filter), as many as are still possible behind the shared one in the order
+(positional filter); then the overlap of every block at the place is counted exactly. The work on a text
+grows with the rare tokens in it, not with the number of templates. All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.llm.common import ascii_lower
+from tapeloom.llm.license_texts import TEMPLATES
 
-#: What separates tokens: ASCII that is neither digit nor letter.
-_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What separates tokens of a lower-cased text: ASCII that is neither digit nor letter.
 _GAP_LOWER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
 #: Phrases whose words stand consecutively, with their labels.
 PHRASES: tuple[tuple[str, str], ...] = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: Opening and closing lines of public license notices, with the labels that this scan adds.
-TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by", "licensed under cc by 4 0 international"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied warranties"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
-)
+#: Templates of fewer different tokens must be there whole: else the words that tell them apart could be the missing ones.
+WHOLE_BELOW = 10
+#: Template tokens up to which the inverted list is sent to all tasks; a longer list is joined by a shuffle of the prefix tokens found.
+BROADCAST_TOKENS = 200_000
 
 
 @dataclass(frozen=True)
 class Template:
-    """A template's tokens, rarest first; least is how many of them a block must hold, span its length with repeated tokens."""
+    """A template's different tokens, rarest first; least is how many of them a block must hold, block its length in tokens."""
 
     label: str
     tokens: tuple[str, ...]
     least: int
-    span: int
+    block: int
 
     @property
     def prefix(self) -> tuple[str, ...]:
         return self.tokens[: len(self.tokens) - self.least + 1]
 
 
-def tokens_of(text: Column) -> Column:
-    """Tokens of a text as they stand; null: none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), _GAP), lambda x: x != "")
+def parsed(text: str, threshold: float) -> tuple[list[str], int, int]:
+    """Different tokens of a template in the order of their text, how many a block must hold, and the length of its blocks."""
+    words = [w for w in re.split(_GAP_LOWER, text.lower()) if w]
+    own = sorted(set(words))
+    share = 1.0 if len(own) < WHOLE_BELOW else threshold
+    return own, math.ceil(share * len(own) - 1e-9), math.ceil(len(words) / share - 1e-9)
+
+
+def words_of_text(text: Column) -> Column:
+    """The lower-cased tokens of a text; null: none."""
+    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), _GAP_LOWER), lambda x: x != "")
 
 
 def frequencies(docs: DataFrame, words: list[str]) -> dict[str, int]:
     """How many documents have each of words; the words of the templates, so a bounded result."""
-    own = F.array_intersect(F.split(ascii_lower(F.coalesce("text", F.lit(""))), _GAP_LOWER), F.array(*map(F.lit, words)))
+    own = F.array_distinct(F.filter(words_of_text(F.col("text")), lambda x: x.isin(words)))
     return dict(docs.select(F.explode(own).alias("token")).groupBy("token").count().collect())
 
 
 def ordered(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> list[Template]:
     """Templates with their tokens by document frequency, rarest first, ties by the token."""
-    words = sorted({w for _, t in templates for w in t.split()})
-    n = frequencies(docs, words)
-    return [Template(label, tuple(sorted(set(t.split()), key=lambda w: (n.get(w, 0), w))), math.ceil(threshold * len(set(t.split())) - 1e-9), len(t.split())) for label, t in templates]
+    plain = [(label, *parsed(t, threshold)) for label, t in templates]
+    n = frequencies(docs, sorted({w for _, own, _, _ in plain for w in own}))
+    return [Template(label, tuple(sorted(own, key=lambda w: (n.get(w, 0), w))), least, block) for label, own, least, block in plain]
+
+
+def _address(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
+def matches(docs: DataFrame, templates: list[Template]) -> DataFrame:
+    """blob, label and containment: the greatest of each template in a block of each text of docs, named by its SHA-256, where it meets the threshold."""
+    spark = docs.sparkSession
+    listed = [(token, rank, list(t.tokens), t.least, t.block, t.label) for t in templates for rank, token in enumerate(t.prefix)]
+    index = spark.createDataFrame(listed, "token string, rank int, tokens array<string>, least int, block int, label string")
+    if sum(len(t.tokens) for t in templates) <= BROADCAST_TOKENS:
+        index = F.broadcast(index)
+    rare = sorted({token for t in templates for token in t.prefix})
+    at = F.filter(F.transform("w", lambda x, i: F.when(x.isin(rare), F.struct(i.alias("at"), x.alias("token")))), lambda x: x.isNotNull())
+    some = docs.select("text", words_of_text(F.col("text")).alias("w")).withColumn("hits", at).filter(F.size("hits") > 0)
+    met = some.select(_address(F.col("text")).alias("blob"), "w", F.explode("hits").alias("hit")).select("blob", "w", "hit.at", "hit.token").join(index, "token")
+    begin = F.greatest(F.col("at") - F.col("block") + 1, F.lit(0))
+    around = met.select("blob", "label", "rank", "tokens", "least", "block", F.slice("w", begin + 1, F.col("at") + F.col("block") - begin).alias("part"))
+    enough = (F.size(F.array_intersect("part", "tokens")) >= F.col("least")) & (F.size("tokens") - F.col("rank") >= F.col("least"))
+    hits = F.filter(F.transform("part", lambda x, i: F.when(F.array_contains("tokens", x), F.struct(i.alias("at"), x.alias("token")))), lambda x: x.isNotNull())
+    placed = around.filter(enough).select("blob", "label", "least", "block", F.size("tokens").alias("n"), hits.alias("hits"))
 
+    def overlap(x, k):
+        inside = F.filter(F.slice("hits", k + 1, F.col("block")), lambda y: y["at"] < x["at"] + F.col("block"))
+        return F.size(F.array_distinct(F.transform(inside, lambda y: y["token"])))
 
-def _containment(block: Column, t: Template) -> Column:
-    """Containment of t in a block (its tokens that some template has), where it meets the threshold; else 0."""
-    tokens = F.array(*map(F.lit, t.tokens))
-    size = len(t.tokens)
-    first = F.array_position(F.transform(tokens, lambda x: F.array_contains(block, x)), True)  # rank of the first shared token, from 1
-    possible = (F.size(block) >= t.least) & (first > 0) & (size - first + 1 >= t.least)
-    overlap = F.size(F.array_intersect(block, tokens))
-    return F.when(F.arrays_overlap(block, F.array(*map(F.lit, t.prefix))) & possible & (overlap >= t.least), overlap / F.lit(float(size))).otherwise(F.lit(0.0))
+    best = placed.withColumn("o", F.array_max(F.transform("hits", overlap)))
+    return best.filter(F.col("o") >= F.col("least")).select("blob", "label", (F.col("o") / F.col("n")).alias("containment")).groupBy("blob", "label").agg(F.max("containment").alias("containment"))
 
 
 def licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
@@ -90,80 +106,33 @@ def licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> Da
 
     docs needs doc_id and text; other columns are not read. n_base counts the places of PHRASES, first_word and
     last_word are their least and greatest start in words (null: none), base_labels names them; labels
-    adds those of the templates that some line, or some stretch of a template's length across lines, contains
-    to the threshold; score is 1 where a phrase stands, else the greatest such containment, else 0.
+    adds those of the templates that some block contains to the threshold (all of it, for templates of fewer than
+    WHOLE_BELOW tokens); score is 1 where a phrase stands, else the greatest such containment, else 0.
+
+    Findings belong to texts, by their SHA-256, and are joined back to all rows that have the text.
 
     Defined results: a null or empty text has no words and no labels; a null doc_id and repeated rows are
-    returned as they are; an empty table gives none. A text of one long line is one block.
+    returned as they are; an empty table gives none. Texts of any length are searched whole; of a place that
+    several templates meet each adds its label.
     """
     known = ordered(docs, templates, threshold)
-    vocabulary = F.array(*(F.lit(w) for w in sorted({w for t in known for w in t.tokens})))
-    prefixes = F.array(*(F.lit(w) for w in sorted({w for t in known for w in t.prefix})))
-    text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.select(F.col("doc_id").cast("long"), text.alias("t"))
-    rows = rows.withColumn("w", F.filter(F.split("t", _GAP_LOWER), lambda x: x != ""))
+    rows = docs.select(F.col("doc_id").cast("long"), _address(F.col("text")).alias("blob"), words_of_text(F.col("text")).alias("w"))
+    found = matches(docs, known).groupBy("blob").agg(F.collect_set("label").alias("added"), F.max("containment").alias("best"))  # at most as many labels as templates
 
     # Places of the phrases, looked for only where the last word of one occurs.
     lasts = sorted({p.split()[-1] for p, _ in PHRASES})
     kinds = [_phrase_places(phrase.split(), i) for i, (phrase, _) in enumerate(PHRASES)]
     empty = F.array().cast("array<struct<at:int,kind:int>>")
     rows = rows.withColumn("places", F.when(F.arrays_overlap("w", F.array(*map(F.lit, lasts))), F.concat(*kinds)).otherwise(empty))
-
-    # Blocks: the lines, where the text has a prefix token at all; each reduced to the tokens of templates.
-    lines = F.filter(
-        F.transform(F.split("t", "\n"), lambda x: F.array_intersect(F.split(x, _GAP_LOWER), vocabulary)),
-        lambda x: F.arrays_overlap(x, prefixes),
-    )
-    rows = rows.withColumn("blocks", F.when(F.arrays_overlap("w", prefixes), lines).otherwise(F.array().cast("array<array<string>>")))
-
-    # Stretches across lines: the places of each template's tokens, where a text of several lines has enough of them at all.
-    rows = rows.withColumn("have", F.when((F.size("blocks") > 0) & F.contains("t", F.lit("\n")), F.array_intersect("w", vocabulary)).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("enough", F.array(*(F.size(F.array_intersect("have", F.array(*map(F.lit, t.tokens)))) >= t.least for t in known)))
-    own = sorted({w for t in known for w in t.tokens})
-    hits = F.filter(F.transform("w", lambda x, i: F.when(x.isin(own), F.struct(i.alias("at"), x.alias("token")))), lambda x: x.isNotNull())
-    rows = rows.withColumn("hits", F.when(F.array_contains("enough", True), hits).otherwise(F.array().cast("array<struct<at:int,token:string>>")))
-    rows = rows.withColumn("runs", F.when(F.size("hits") > 0, F.array(*(_hits_of(t, i) for i, t in enumerate(known)))))
-    rows = rows.withColumn("across", F.transform("runs", _best_stretch))
-
-    best = [F.greatest(F.coalesce(F.array_max(_each_block(t)), F.lit(0.0)), F.coalesce(F.get("across", F.lit(i)), F.lit(0.0))) for i, t in enumerate(known)]
-    rows = rows.withColumn("best", F.when(F.size("blocks") > 0, F.array(*best)).otherwise(F.array().cast("array<double>")))
-    names = F.array(*(F.lit(t.label) for t in known))
-    added = F.filter(F.transform("best", lambda x, i: F.when(x > 0, F.get(names, i))), lambda x: x.isNotNull())
     base = F.array_sort(F.array_distinct(F.transform("places", lambda x: F.get(F.array(*(F.lit(x) for _, x in PHRASES)), x["kind"]))))
     starts = F.transform("places", lambda x: x["at"])
-    return rows.select(
-        "doc_id",
-        F.size("w").cast("long").alias("n_words"),
-        F.size("places").cast("long").alias("n_base"),
-        F.array_min(starts).cast("long").alias("first_word"),
-        F.array_max(starts).cast("long").alias("last_word"),
-        F.array_join(base, ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union(base, added)), ",").alias("labels"),
-        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("best"), F.lit(0.0))).alias("score"),
-    )
-
-
-def _each_block(t: Template) -> Column:
-    return F.transform("blocks", lambda x: _containment(x, t))
-
-
-def _hits_of(t: Template, i: int) -> Column:
-    """The places of t's tokens with its sizes; no places where the text has too few of them."""
-    hits = F.when(F.get("enough", F.lit(i)), F.filter("hits", lambda x: x["token"].isin(list(t.tokens)))).otherwise(F.array().cast("array<struct<at:int,token:string>>"))
-    return F.struct(hits.alias("hits"), F.lit(t.span).alias("span"), F.lit(t.least).alias("least"), F.lit(len(t.tokens)).alias("size"))
-
-
-def _best_stretch(run: Column) -> Column:
-    """The greatest containment in a stretch of span tokens that meets the threshold, else 0. A best stretch begins at a token of the template."""
-    hits = run["hits"]
-
-    def overlap(x, k):
-        inside = F.filter(F.slice(hits, k + 1, run["span"]), lambda y: y["at"] < x["at"] + run["span"])
-        n = F.size(F.array_distinct(F.transform(inside, lambda y: y["token"])))
-        last = F.get(hits, k + run["least"] - 1)["at"]  # that many places must lie in the stretch at least
-        return F.when((last < x["at"] + run["span"]) & (n >= run["least"]), n / run["size"].cast("double")).otherwise(F.lit(0.0))
-
-    return F.coalesce(F.array_max(F.transform(hits, overlap)), F.lit(0.0))
+    rows = rows.select("doc_id", "blob", F.size("w").cast("long").alias("n_words"), F.size("places").cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"), F.array_max(starts).cast("long").alias("last_word"), base.alias("base"))
+    out = rows.join(found, "blob", "left")
+    labels = F.array_sort(F.array_union("base", F.coalesce("added", F.array().cast("array<string>"))))
+    return out.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
+        F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
+    )
 
 
 def _phrase_places(parts: list[str], kind: int) -> Column:

@@ -48,7 +48,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.report(secret_scan.findings(_table(spark, sf_dir, "documents")))
+    docs = _table(spark, sf_dir, "documents")
+    ledger = secret_scan.new_ledger(spark)
+    # Two deliveries: the blobs whose address begins with a digit below 8, then all documents, of which the ledger has half by then.
+    secret_scan.scan(docs.filter(secret_scan.address_of(F.col("text")) < "8"), ledger)
+    return secret_scan.report(secret_scan.findings(docs, ledger))
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,18 +147,20 @@ FROM d LEFT JOIN y ON y.doc_id = d.doc_id
 
 def _license_sql(threshold: float = 0.8) -> str:
     phrases = ", ".join(f"('{p}', '{x}')" for p, x in license_scan.PHRASES)
-    templates = ", ".join(f"({i}, '{label}', {sorted(set(t.split()))})" for i, (label, t) in enumerate(license_scan.TEMPLATES))
+    plain = [(i, label, *license_scan.parsed(t, threshold)) for i, (label, t) in enumerate(license_scan.TEMPLATES)]
+    templates = ", ".join(f"({i}, '{label}', {own}, {least}, {block})" for i, label, own, least, block in plain)
     return f"""
 WITH w AS (
-  SELECT doc_id, {_LOWER.format(text="coalesce(text, '')")} AS t, regexp_extract_all({_LOWER.format(text="coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+  SELECT doc_id, regexp_extract_all({_LOWER.format(text="coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
 ), p(phrase, label) AS (VALUES {phrases}), q AS (SELECT string_split(phrase, ' ') AS q, label FROM p
 ), b AS (
   SELECT doc_id, label, i - 1 AS place FROM (SELECT doc_id, w, q, label, unnest(range(1, len(w) + 1)) AS i FROM w, q) WHERE w[i:i+len(q)-1] = q
-), m(id, label, tokens) AS (VALUES {templates}), l AS (
-  SELECT DISTINCT doc_id, list_distinct(regexp_extract_all(x, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS x FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM w)
+), m(id, label, tokens, least, block) AS (VALUES {templates}), d AS (SELECT doc_id, w, list_distinct(w) AS u FROM w
+), g AS (SELECT doc_id, w, id, label, tokens, least, block FROM d, m WHERE len(list_intersect(u, tokens)) >= least
 ), c AS (
-  SELECT doc_id, label, len(list_intersect(x, tokens)) AS o, len(tokens) AS n FROM l, m
-), f AS (SELECT doc_id, label, o / n AS score FROM c WHERE o >= ceil({threshold} * n - 1e-9)
+  SELECT doc_id, id, any_value(label) AS label, max(len(list_intersect(w[i:i+block-1], tokens))) AS o, any_value(least) AS least, any_value(len(tokens)) AS n
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM g) GROUP BY doc_id, id
+), f AS (SELECT doc_id, label, o / n AS score FROM c WHERE o >= least
 ), y AS (SELECT doc_id, count(*)::BIGINT AS n_base, min(place)::BIGINT AS first_word, max(place)::BIGINT AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY 1
 ), z AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM f) GROUP BY 1
 ), s AS (SELECT doc_id, max(score) AS score FROM f GROUP BY 1)

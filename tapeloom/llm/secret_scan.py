@@ -2,15 +2,18 @@
 
 Every version of every text is a blob, named by its SHA-256. A scan looks only at blobs that the
 ledger does not yet hold under the rule version, and findings go back to all rows that have the blob.
-All of it is built-in expressions.
+The ledger is a Parquet table at a path of the user's, partitioned by rule version, to which each scan
+appends. All of it is built-in expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import written
+from tapeloom.llm.common import shared_dir
 
 #: The kinds in order, with their patterns, the group that must be long enough and its least length.
 BASE_RULES: tuple[tuple[str, str, int, int], ...] = (
@@ -28,8 +31,8 @@ MORE_RULES: tuple[tuple[str, str, int, int], ...] = (
 RULES = BASE_RULES + MORE_RULES
 RULE_VERSION = "2024-1"
 
-_TEMPORARY = "__secret_spans"
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
+_LEDGER = f"blob string, spans {_SPANS}, rule_version string"
 
 
 def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
@@ -56,17 +59,22 @@ def scanned(blobs: DataFrame, rules=RULES) -> DataFrame:
     return blobs.select("blob", F.array_sort(F.concat(*found)).alias("spans"))
 
 
+def address_of(text: Column) -> Column:
+    """The SHA-256 of a text's UTF-8 bytes; a null text is the empty blob."""
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
 def address(docs: DataFrame) -> DataFrame:
-    """doc_id, blob and text of every row of docs; a null text is the empty blob."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long"), F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text"))
+    """doc_id, blob and text of every row of docs."""
+    return docs.select(F.col("doc_id").cast("long"), address_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def extend_ledger(docs: DataFrame, ledger: DataFrame | None = None, version: str = RULE_VERSION, rules=RULES) -> DataFrame:
     """The new entries (blob, rule_version, spans) that docs need: each unseen pair of blob and rule version once.
 
     Copies of a text meet inside each task before the shuffle, so a text that many rows share travels
-    once per task. Without a ledger every blob is unseen.
+    once per task. Texts do travel: to look at a text costs more than ten times what moving it does, and without
+    the exchange every copy would be looked at. Without a ledger every blob is unseen.
     """
     blobs = address(docs).select("blob", "text").dropDuplicates(["blob"])
     if ledger is not None:
@@ -74,23 +82,45 @@ def extend_ledger(docs: DataFrame, ledger: DataFrame | None = None, version: str
     return scanned(blobs, rules).select("blob", F.lit(version).alias("rule_version"), "spans")
 
 
-def findings(docs: DataFrame, ledger: DataFrame | None = None, version: str = RULE_VERSION, rules=RULES) -> DataFrame:
-    """doc_id and spans of every row of docs, from the ledger and a scan of what it lacks.
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The entries of the ledger at path; a pair of blob and rule version may stand twice, if two scans ran at a time."""
+    return spark.read.schema(_LEDGER).parquet(path)
+
+
+def new_ledger(spark: SparkSession, path: str | None = None) -> str:
+    """Make an empty ledger at path, or at a new place in the shared folder; returns the path. What lies at path is kept."""
+    path = path or f"{shared_dir(spark)}/secret-ledger-{uuid.uuid4().hex}"
+    spark.createDataFrame([], _LEDGER).write.mode("append").partitionBy("rule_version").parquet(path)
+    return path
+
+
+def scan(docs: DataFrame, path: str, version: str = RULE_VERSION, rules=RULES) -> None:
+    """Append to the ledger at path what docs need and it lacks."""
+    spark = docs.sparkSession
+    extend_ledger(docs, read_ledger(spark, path), version, rules).write.mode("append").partitionBy("rule_version").parquet(path)
+
+
+def found_blobs(spark: SparkSession, path: str, version: str = RULE_VERSION) -> DataFrame:
+    """blob and spans of the blobs with findings, each once."""
+    entries = read_ledger(spark, path).filter((F.col("rule_version") == version) & (F.size("spans") > 0))
+    return entries.groupBy("blob").agg(F.first("spans").alias("spans"))
+
+
+def findings(docs: DataFrame, path: str | None = None, version: str = RULE_VERSION, rules=RULES) -> DataFrame:
+    """doc_id and spans of every row of docs, from the ledger at path (a new one, if null) and a scan of what it lacks.
 
     The new entries are written before they are joined back: a scan is not repeated for a lost task, and the
     join stands between two exchanges, so that the rows of one much-copied text can be split over tasks.
+    Blobs without findings, nearly all, need no join.
 
     docs needs doc_id and text; other columns are not read. Defined results: a null or empty text has no
     spans; a null doc_id and repeated rows are returned as they are; an empty table gives none; spans of
-    different kinds may overlap and all stay.
+    different kinds may overlap and all stay; a text of any length is one blob and scanned whole.
     """
-    entries = written(extend_ledger(docs, ledger, version, rules), "secret-ledger").select("blob", "spans")
-    if ledger is not None:
-        entries = entries.unionByName(ledger.filter(F.col("rule_version") == version).select("blob", "spans"))
-    # Blobs without findings, nearly all, need no join.
-    entries = entries.filter(F.size("spans") > 0)
+    path = path or new_ledger(docs.sparkSession)
+    scan(docs, path, version, rules)
     paths = address(docs).select("doc_id", "blob")
-    return paths.join(entries, "blob", "left").select("doc_id", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"))
+    return paths.join(found_blobs(docs.sparkSession, path, version), "blob", "left").select("doc_id", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"))
 
 
 def span_text(spans: Column, rules=RULES) -> Column:
@@ -108,14 +138,19 @@ def report(found: DataFrame) -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, mark: str = "[SECRET]", rules=RULES) -> DataFrame:
+def redacted(docs: DataFrame, path: str | None = None, mark: str = "[SECRET]", version: str = RULE_VERSION, rules=RULES) -> DataFrame:
     """docs with every span of its texts replaced by mark (overlapping spans by one), all columns and rows kept.
 
-    n_chars, where docs has it, follows the new text. A null text stays null. Works on the rows as they are, so
-    ids may be null or repeat; other columns may have any names.
+    The spans come from the ledger at path (a new one, if null), by the address of the text, so ids may be null or
+    repeat. n_chars, where docs has it, follows the new text. A null text stays null. Other columns may have any names.
     """
+    path = path or new_ledger(docs.sparkSession)
+    scan(docs, path, version, rules)
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = [_spans(text, i, pattern, group, least) for i, (_, pattern, group, least) in enumerate(rules)]
+    taken = set(docs.columns)
+    blob, spans = (next(x for x in (name + "_" * n for n in range(len(taken) + 1)) if x not in taken) for name in ("blob", "spans"))
+    known = found_blobs(docs.sparkSession, path, version).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    rows = docs.withColumn(blob, address_of(F.col("text"))).join(known, blob, "left")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, x):
@@ -125,7 +160,6 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", rules=RULES) -> DataFrame:
         return F.when((x["start"] < acc["at"]) & (acc["at"] > 0), longer).otherwise(apart)
 
     rest = lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text)))
-    spans = F.col(_TEMPORARY)
-    clean = F.when(F.col("text").isNotNull() & (F.size(spans) > 0), F.aggregate(spans, zero, step, rest)).otherwise(F.col("text"))
-    out = docs.withColumn(_TEMPORARY, F.array_sort(F.concat(*found))).withColumn("text", clean).drop(_TEMPORARY)
+    clean = F.when(F.col("text").isNotNull() & F.col(spans).isNotNull(), F.aggregate(spans, zero, step, rest)).otherwise(F.col("text"))
+    out = rows.withColumn("text", clean).select(*(F.col(f"`{c}`") for c in docs.columns))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
