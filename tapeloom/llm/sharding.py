@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELLS = 1 << 16
+#: Parts in which a cell is numbered, so that no task numbers a whole one.
+PARTS = 64
 
 
 def virtual_nodes(shards: int, copies: int, seed: int = 17) -> list[tuple[int, int]]:
@@ -66,9 +68,14 @@ def sharded(docs: DataFrame, shards: int = 24, copies: int = 64) -> DataFrame:
     size is the text's UTF-8 bytes and 8; slot counts from 0 in each shard without gaps; home is the shard of
     the unbounded ring. grown_shard is null, as the law does not speak of it.
 
+    A cell's rows are numbered in PARTS parts, by a hash of doc_id, size and checksum, and rows that are equal in these are
+    counted before they are shuffled: a doc_id that repeats a million times is neither one task nor one cell's.
+    Which shard a row has depends on its rank in its cell only where the shard fills inside that cell; see README
+    for the share of rows that one more shard moves.
+
     docs needs doc_id and text; other columns are not read. Defined results: a null text has no bytes; a null
-    doc_id and repeated rows are keys like others (their ranks follow size and checksum, equal rows take
-    any order); an empty table gives none.
+    doc_id and repeated rows are keys like others (equal rows take any order); an empty table gives none; of a
+    text of any length only size and checksum are kept.
     """
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     # The key is doc_id; rows without one are spread by their text.
@@ -81,7 +88,12 @@ def sharded(docs: DataFrame, shards: int = 24, copies: int = 64) -> DataFrame:
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
     found = ranges(counts, virtual_nodes(shards, copies), capacity)
     plan = docs.sparkSession.createDataFrame(found, "cell int, from_rank long, to_rank long, shard int, first_slot long, home int")
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("cell").orderBy("doc_id", "size", "text_crc32")).cast("long") - 1)
+    equal = rows.groupBy("cell", "doc_id", "size", "text_crc32").agg(F.count("*").alias("n")).withColumn("part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(PARTS)))
+    sizes = equal.groupBy("cell", "part").agg(F.sum("n").alias("size"))
+    begins = sizes.select("cell", "part", (F.sum("size").over(Window.partitionBy("cell").orderBy("part")) - F.col("size")).alias("begin"))
+    inside = F.sum("n").over(Window.partitionBy("cell", "part").orderBy("doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    firsts = equal.withColumn("inside", inside).join(begins, ["cell", "part"])
+    ranked = firsts.select("doc_id", "size", "text_crc32", "cell", F.explode(F.sequence(F.col("begin") + F.col("inside"), F.col("begin") + F.col("inside") + F.col("n") - 1)).alias("rank"))
     # The plan has a row for each cell and for each shard that fills inside one: bounded by the ring, not by the rows.
     placed = ranked.join(F.broadcast(plan), "cell").filter((F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("first_slot") + F.col("rank") - F.col("from_rank")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "home")
