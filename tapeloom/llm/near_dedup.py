@@ -6,10 +6,13 @@ estimates their similarity and filters; the Jaccard index of the whole sets deci
 
 Documents with equal sets are one vertex from the start, so copies never make pairs. A value that
 more than ``list_limit`` vertices retain is hot. Below that, each list gives its pairs. A vertex
-whose sketch is mostly hot (the large groups of near copies, and short texts made of common
-passages) also goes to the lists of its least hot values; those lists are dealt out in blocks of
-bounded size and every pair of blocks is compared on the whole sets in one task, which returns
-only a spanning forest of the links that it found. No list is cut and no pair is skipped.
+with a quarter of its sketch hot (the large groups of near copies, and texts with common passages)
+also goes to the lists of its least hot values. Those lists are dealt out in blocks of bounded size,
+and blocks are compared on the whole sets in one task a pair, which returns only a spanning forest of
+the links that it found. First each block meets the leaders, the first block of its list: that
+connects a group of near copies, and what is connected need not be compared again. Then only what
+is not yet connected with the list's largest part meets the rest. So the work on a group of copies
+grows with its size, not its square; no list is cut and no pair that could be a new link is skipped.
 """
 
 from __future__ import annotations
@@ -131,7 +134,7 @@ def near_duplicates(
     percent: int = 80,
     k: int = 32,
     list_limit: int = 48,
-    hot_lists: int = 8,
+    hot_lists: int | None = 8,
     block_shingles: int = 500_000,
 ) -> DataFrame:
     """Group documents whose shingle sets have a Jaccard index of at least percent / 100.
@@ -143,10 +146,14 @@ def near_duplicates(
     Defined results: a null, empty or blank text has no shingles and is linked with nothing; a null
     doc_id is linked with nothing, its component_id is null and it is kept; of rows that repeat a
     doc_id each takes the component of its own text, and texts with the same least doc_id are one
-    vertex; an empty table gives an empty result.
-
-    A pair at the threshold shares none of its retained values with a chance below 1e-6 (0.6 ** 16
-    for a half-hot sketch, 0.2 ** hot_lists among the hot lists).
+    vertex; an empty table gives an empty result. A text of any length is hashed whole, half a megabyte at a time.
+
+    A pair at the threshold is missed if it has no list in common. A retained value of one is retained by the
+    other with a chance of 0.8 about. Of two vertices in the hot lists, none of 8 values agrees with a chance of
+    0.2 ** 8 = 3e-6; if one of them is not there, three quarters of its sketch are cold, 24 of 32 values, and the other holds
+    none of them cold with a chance of 0.2 ** 24 if those are values of both, or if it holds none of them because it has only
+    hot values, 0.25 of its set would have to be its own against the 0.2 that the threshold allows. hot_lists = None sends every
+    vertex with a hot value to all lists of its hot values, which leaves only the chance that sketches share nothing.
     """
     base = written(sketches(docs, width, k), "sketches")
     nodes = written(
@@ -167,22 +174,16 @@ def near_duplicates(
     met = met.withColumn("u", union).withColumn("both", F.size(F.array_intersect(F.array_intersect("sa", "sb"), "u")))
     near = written(met.filter(F.col("both") >= percent / 200 * F.size("u")).select("a", "b"), "pairs")
 
-    # Vertices with mostly hot values: the lists of their least hot values, in blocks.
-    heavy = (
-        shared.filter(F.col("size") > list_limit)
-        .groupBy("vertex")
-        .agg(F.max("n").alias("n"), F.array_sort(F.collect_set("v")).alias("hot"))  # at most k values
-        .filter(2 * F.size("hot") > F.least("n", F.lit(k)))
-        .select("vertex", "n", F.explode(F.slice("hot", 1, hot_lists)).alias("v"))
-    )
-    heavy = written(heavy, "heavy")
-    blocks = heavy.groupBy("v").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"), F.count("*").alias("size")).filter("size > 1")
-    dealt = (
-        heavy.join(blocks, "v")
-        .withColumn("own", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("vertex", "v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    )
+    # Vertices with many hot values: the lists of their least hot values, in blocks.
+    heavy = shared.filter(F.col("size") > list_limit).groupBy("vertex").agg(F.max("n").alias("n"), F.array_sort(F.collect_set("v")).alias("hot"))  # at most k values
+    if hot_lists is not None:
+        heavy = heavy.filter(4 * F.size("hot") >= F.least("n", F.lit(k))).withColumn("hot", F.slice("hot", 1, hot_lists))
+    heavy = written(heavy.select("vertex", "n", F.explode("hot").alias("v")), "heavy")
+    lists = heavy.groupBy("v").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"), F.count("*").alias("size")).filter("size > 1")
+    listed = written(heavy.join(lists, "v").select("vertex", "n", "v", "blocks", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int").alias("own")), "listed")
+    # The first block of a list meets every other, and itself if it is the only one.
+    partners = F.when((F.col("own") == 0) & (F.col("blocks") > 1), F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array("own"))
+    dealt = listed.select("vertex", "v", F.lit("first").alias("kind"), F.lit(0).alias("i"), F.explode(partners).alias("j"))
 
     ends = near.select(F.col("a").alias("vertex")).union(near.select("b")).union(heavy.select("vertex")).distinct()
     wanted = nodes.select("vertex", "digest").join(ends, "vertex", "left_semi")
@@ -190,11 +191,30 @@ def near_duplicates(
     side = lambda x: sets.select(F.col("vertex").alias(x), F.col("members").alias(f"m{x}"))
     proven = near.join(side("a"), "a").join(side("b"), "b").withColumn("both", F.size(F.array_intersect("ma", "mb")))
     proven = proven.filter(100 * F.col("both") >= percent * (F.size("ma") + F.size("mb") - F.col("both"))).select("a", "b")
-    forest = dealt.join(sets, "vertex").groupBy("v", "i", "j").applyInArrow(_forest(percent), "a long, b long")
-    roots = components(proven.unionByName(forest))
-    discard(shared, near, heavy, sets)  # the links are written
+    compared = lambda pairs: pairs.join(sets, "vertex").groupBy("v", "kind", "i", "j").applyInArrow(_forest(percent), "a long, b long")
+    roots = components(proven.unionByName(compared(dealt)))
+
+    # Lists of several blocks: what is not connected with the largest part of its list meets all of it.
+    several = listed.filter("blocks > 1").join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
+    parts = several.groupBy("v", "root").agg(F.sum("n").alias("n")).groupBy("v").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts"))
+    apart = several.join(parts.filter("parts > 1"), "v").withColumn("open", F.col("root") != F.col("main"))
+    apart = written(apart.select("vertex", "v", "n", "open"), "apart")
+    if not apart.isEmpty():
+        sizes = apart.groupBy("v").agg(*(F.ceil(F.sum(F.when(c, F.col("n")).otherwise(0)) / block_shingles).cast("int").alias(name) for name, c in (("n_open", F.col("open")), ("n_main", ~F.col("open")))))
+        own = F.pmod(F.xxhash64("vertex"), F.when(F.col("open"), F.col("n_open")).otherwise(F.col("n_main"))).cast("int")
+        spread = apart.join(sizes, "v").withColumn("own", own)
+        every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        mutual = spread.filter("open").select("vertex", "v", F.lit("open").alias("kind"), "own", F.explode(every("n_open")).alias("other"))
+        mutual = mutual.select("vertex", "v", "kind", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        ahead = spread.filter("open").select("vertex", "v", F.lit("main").alias("kind"), F.col("own").alias("i"), F.explode(every("n_main")).alias("j"))
+        behind = spread.filter("not open").select("vertex", "v", F.lit("main").alias("kind"), F.explode(every("n_open")).alias("i"), F.col("own").alias("j"))
+        known = roots.select(F.col("vertex").alias("a"), F.col("root").alias("b"))
+        roots = components(known.unionByName(compared(mutual.unionByName(ahead).unionByName(behind))))
+    discard(shared, near, heavy, listed, apart, sets)  # the links are written
 
     place = nodes.select("digest", "vertex").join(roots, "vertex", "left").select("digest", F.coalesce("root", "vertex").alias("root"))
-    out = base.select("doc_id", "n_shingles", "digest").join(place, "digest", "left")
+    # Empty sets, which have no digest, are linked with nothing and need no join.
+    plain = base.select("doc_id", "n_shingles", "digest")
+    out = plain.filter("digest is not null").join(place, "digest", "left").unionByName(plain.filter("digest is null").withColumn("root", F.lit(None).cast("long")))
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("root", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
