@@ -18,14 +18,16 @@ window within `most` edits, and where one stands the distance is measured, many
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import chunks, utf8, word_spans
+from tapeloom.llm.common import chunks, utf8, word_spans, written
 
 #: A-Z as a-z, and every white-space byte as a space: edits of case and line breaks do not count.
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -219,7 +221,6 @@ class Index:
             for (row, item), (edits, start, end) in sorted(best.items()):
                 yield a + row, self.ids[item], start, end, edits
 
-
     def _short_matches(self, data: np.ndarray, cuts: np.ndarray, share: float) -> dict[tuple[int, int], tuple[int, int, int]]:
         """(edits, start, end) of the nearest window of each text and short item, by (row, item)."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -250,27 +251,74 @@ class Index:
         return best
 
 
-def _indexes(items: DataFrame, walks: Walks, block: int) -> list[Index]:
-    """The items in blocks of about `block`, so that what travels to the tasks at once is bounded."""
+def _blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about block_bytes of text, one at a time on the driver."""
     rows = items.select(F.col("item_id").cast("long"), "text").filter("item_id is not null and trim(text) <> ''").distinct()
-    n = max(1, -(-rows.count() // block))
-    return [Index(sorted(map(tuple, rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect())), walks) for k in range(n)]
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n = max(1, -(-size // block_bytes))
+    for k in range(n):
+        yield sorted(map(tuple, rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()))
+
+
+def _edited(rng: np.random.Generator, text: str, share: float) -> str:
+    """text with int(share * length) random edits: characters taken out, put in or replaced by others of the text."""
+    out = list(text)
+    for _ in range(int(share * len(text))):
+        at, kind = int(rng.integers(len(out))), rng.integers(3)
+        other = text[rng.integers(len(text))]
+        if kind == 0 and len(out) > 1:
+            del out[at]
+        elif kind == 1:
+            out.insert(at, other)
+        else:
+            out[at] = other
+    return "".join(out)
+
+
+def measured_recall(items: list[tuple[int, str]], walks: Walks, share: float, edits: float, copies: int = 2) -> float:
+    """The share of randomly edited copies of items, between other words, in which contaminations() would find the item."""
+    rng = np.random.default_rng(5)
+    texts = [f"other words before {_edited(rng, t, edits)} other words behind" for _, t in items for _ in range(copies)]
+    own = [i for i, _ in items for _ in range(copies)]
+    found = {(row, item) for row, item, *_ in Index(items, walks).matches(pa.array(texts, pa.string()), share)}
+    return sum((row, i) in found for row, i in enumerate(own)) / max(1, len(own))
+
+
+def walks_for(items: DataFrame, share: float = 0.2, target_recall: float = 0.9, sample: int = 200, walks: Walks = Walks()) -> Walks:
+    """walks with as few tables as reach target_recall on items edited in as many places as share allows, the worst that must be found.
+
+    Measured on at most `sample` items, those with the least hash, long enough for a walk; the number of tables doubles from 2
+    until the target is met, 32 at most. Without such items walks is returned as it is.
+    """
+    rows = items.select(F.col("item_id").cast("long"), "text").filter("item_id is not null").filter(F.length("text") > 2 * walks.steps).distinct()
+    some = [tuple(r) for r in rows.orderBy(F.xxhash64("item_id", "text"), "item_id", "text").limit(sample).collect()]
+    if not some:
+        return walks
+    for tables in (2, 4, 8, 16, 32):
+        walks = replace(walks, tables=tables)
+        if measured_recall(some, walks, share, share) >= target_recall:
+            break
+    return walks
 
 
-def contaminations(docs: DataFrame, items: DataFrame, share: float = 0.2, walks: Walks = Walks(), block: int = 5_000) -> DataFrame:
+def contaminations(docs: DataFrame, items: DataFrame, share: float = 0.2, walks: Walks | None = None, target_recall: float = 0.9, block_bytes: int = 4 << 20) -> DataFrame:
     """All (document, item) pairs where a window of the document lies within share * length edits of the item.
 
-    docs needs doc_id and text, items needs item_id and text; other columns are not read. Items are taken
-    in blocks of about `block`, each block over all documents. Returns doc_id, item_id, start and end
-    (code points of the text, end exclusive), n_edits and item_length: for each row of docs and item the
-    nearest window. Case of A-Z and kind of white space do not count as edits. Items shorter than a walk
-    are found exactly and at every place, inside words too.
+    docs needs doc_id and text, items needs item_id and text; other columns are not read. Without walks, walks_for() takes
+    as many tables as target_recall asks for. Items are taken in blocks of about block_bytes, each over all documents; the
+    matches of a block are written before the next one's index is built, so neither driver nor tasks hold more than
+    one block. Returns doc_id, item_id, start and end (code points of the text, end exclusive), n_edits and
+    item_length: for each row of docs and item the nearest window. Case of A-Z and kind of white space do not count as edits.
+    Items shorter than a walk are found exactly and at every place, inside words too.
 
     Defined results: null and empty texts, and items of no text or id, match nothing; a null doc_id is
-    returned as it is; repeated rows are returned as often as they occur; ties go to the first window.
+    returned as it is; repeated rows are returned as often as they occur; ties go to the first window; a text of any
+    length is searched whole, half a megabyte at a time or at once if it is longer.
     """
-    out = None
-    for index in _indexes(items, walks, block):
+    walks = walks or walks_for(items, share, target_recall)
+    parts: list[DataFrame] = []
+    for block in _blocks(items, block_bytes):
+        index = Index(block, walks)
         sizes = {i: len(t) for i, t in zip(index.ids, index.texts, strict=True)}
 
         def run(batches, index=index, sizes=sizes):
@@ -283,15 +331,18 @@ def contaminations(docs: DataFrame, items: DataFrame, share: float = 0.2, walks:
                         ["doc_id", "item_id", "start", "end", "n_edits", "item_length"],
                     )
 
-        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, item_id long, start long, end long, n_edits long, item_length long")
-        out = part if out is None else out.unionByName(part)
-    return out
+        if parts:
+            parts[-1] = written(parts[-1], "contaminations")
+        parts.append(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, item_id long, start long, end long, n_edits long, item_length long"))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, share: float = 0.2, walks: Walks = Walks(), block: int = 5_000) -> DataFrame:
-    """The rows of docs in which contaminations() finds nothing, with all their columns, whatever their names and ids; no shuffle."""
+def decontaminated(docs: DataFrame, items: DataFrame, share: float = 0.2, walks: Walks | None = None, target_recall: float = 0.9, block_bytes: int = 4 << 20) -> DataFrame:
+    """The rows of docs in which contaminations() finds nothing, with all their columns, whatever their names and ids; no shuffle. What a block of items leaves is written before the next one's index is built."""
     text = docs.columns.index("text")
-    for index in _indexes(items, walks, block):
+    walks = walks or walks_for(items, share, target_recall)
+    for k, block in enumerate(_blocks(items, block_bytes)):
+        index = Index(block, walks)
 
         def run(batches, index=index):
             for batch in batches:
@@ -299,5 +350,5 @@ def decontaminated(docs: DataFrame, items: DataFrame, share: float = 0.2, walks:
                 keep[[row for row, *_ in index.matches(batch.column(text), share)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = (written(docs, "decontaminated") if k else docs).mapInArrow(run, docs.schema)
     return docs
