@@ -3,7 +3,7 @@
 A character trigram model of the whole corpus is the source; the channel swaps letters for digits and
 signs, repeats letters and spaces words out. Each suspicious stretch of a text becomes a lattice of
 what each of its characters may stand for, and Viterbi decoding under both models restores it. Only
-stretches with something to decode get a lattice: elsewhere the lattice has one path, the text itself.
+stretches whose lattice has more than one path are decoded; elsewhere the one path is the text itself.
 
 The restored words are then scored with weights learnt from labelled documents: words and word
 beginnings that occur in toxic documents, in enough different contexts, far more than elsewhere.
@@ -15,14 +15,14 @@ import math
 import re
 import zlib
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import chunks, utf8, written
+from tapeloom.llm.common import chunks, discard, utf8, written
 
 #: Character classes of the model: 0 white space, 1-26 letters, 27 digits, 28 other ASCII, 29 unused, 30-61 by the last byte of other characters.
 CLASSES = 62
@@ -34,14 +34,20 @@ _CLASS[128:192] = 30 + (np.arange(128, 192) & 31)
 
 #: What a sign may stand for, besides itself.
 STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "€": "e", "*": "aeiou"}
+#: Letters of other scripts that look like Latin ones; where a token mixes them with ASCII letters they stand for those.
+LOOK_ALIKES = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "α": "a", "ο": "o", "ι": "i", "ν": "v", "ρ": "p", "ɡ": "g", "ı": "i", "ｏ": "o", "ｉ": "i"}
 #: What may stand between the letters of a word.
 GAPS = " .-_*"
 #: Costs of the channel, as negative logarithms.
 SWAP, DROP_GAP, SQUEEZE, KEEP_RUN = 1.5, 0.5, 0.7, 3.0
 
+_TO_LATIN = str.maketrans(LOOK_ALIKES)
+
 _EDGE = ".,;:?\"'()[]{}#%&*~`<>/\\=_-"
 _LEET = re.compile("[" + re.escape("".join(STANDS_FOR)) + "]")
 _LEET_SIGN = re.compile(r"[@$!|+€*]")
+_LOOKS = re.compile("[" + "".join(LOOK_ALIKES) + "]")
+_ASCII = re.compile("[a-z]")
 _LETTER = re.compile(r"[^\W\d_]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 #: What else gives the lattice of a token more than one path: a doubled letter, a sign that may be a gap.
@@ -52,6 +58,11 @@ _SPACED = re.compile(r"(?<![^\s.,;:\-_*])[^\W_](?:[ .\-_*]{1,2}[^\W_]){2,}(?![^\
 _SIGN = r"(?:[^\W_]|[@$!|+€]|(?<!\S)\*(?!\S))"
 _SIGNED = re.compile(rf"(?<![^\s.,;:\-_*]){_SIGN}(?:[ .\-_*]{{1,2}}{_SIGN}){{2,}}(?![^\s.,;:!?\-_*])")
 
+#: What both begin with, in a text with a space at either end: three single characters with gaps between them. Most texts have none, so this is asked first.
+_SINGLES = re.compile(r"[\s.,;:\-_*][^\s.,;:\-_](?:[ .\-_*]{1,2}[^\s.,;:\-_]){2}[\s.,;:!?\-_*]")
+#: Tokens that a task holds, or a lexicon may have, at once; beyond it tokens are decoded again, which changes no result.
+MOST_TOKENS = 400_000
+
 
 def class_of(c: str) -> int:
     return int(_CLASS[c.encode()[-1]])
@@ -138,6 +149,8 @@ def readings(token: str, model: np.ndarray) -> list[str]:
     A doubled letter or a gap is common in clean words as well, so there the words as they stand count too.
     """
     core = token.lower().strip(_EDGE).rstrip(_EDGE + "!")  # at the end an exclamation mark is one
+    if not core.isascii() and _LOOKS.search(core) and _ASCII.search(core):
+        core = core.translate(_TO_LATIN)
     if _LETTER.search(core) and (_LEET.search(core) or _RUN.search(core)):
         core = restore(core, model)
     elif _DOUBT.search(core) and _LETTER.search(core):
@@ -148,6 +161,8 @@ def readings(token: str, model: np.ndarray) -> list[str]:
 
 def spaced(text: str, model: np.ndarray) -> list[str]:
     """Words that single letters with gaps between them spell."""
+    if not _SINGLES.search(f" {text} "):
+        return []
     found = [m.group() for m in _SPACED.finditer(text)]
     # A sign at either end may be one, so what stands without signs counts too.
     signed = (m.group().rstrip(" !") for m in _SIGNED.finditer(text))
@@ -160,33 +175,59 @@ def features(word: str) -> list[str]:
     return [f"={word}", *(f"^{word[:n]}" for n in range(3, 9) if len(word) >= n)]
 
 
+class Readings:
+    """readings() of the tokens that a task meets, each decoded once; MOST_TOKENS bounds the memory."""
+
+    def __init__(self, model: np.ndarray):
+        self.model, self.known = model, {}
+
+    def __call__(self, token: str) -> list[str]:
+        got = self.known.get(token)
+        if got is None:
+            if len(self.known) >= MOST_TOKENS:
+                self.known.clear()
+            got = self.known[token] = readings(token, self.model)
+        return got
+
+
 @dataclass
 class Scorer:
-    """A learnt model; score() is a pure function of the text. cache bounds the memory of a task, not the result."""
+    """A learnt model; score() is a pure function of the text.
+
+    lexicon, where it is given, holds the evidence of all tokens that have any (see with_lexicon); without it each
+    task decodes the tokens that it meets.
+    """
 
     model: np.ndarray
     weights: dict[str, float]
     coefficients: tuple[float, ...]
-    cache: int = 400_000
+    lexicon: dict[str, tuple[tuple[str, float], ...]] | None = None
     known: dict[str, tuple[tuple[str, float], ...]] = field(default_factory=dict)
 
-    def _of_words(self, words: list[str]) -> tuple[tuple[str, float], ...]:
+    def weighed(self, words: list[str]) -> tuple[tuple[str, float], ...]:
+        """The words that speak for toxicity, with their log odds."""
         found = ((w, max((self.weights.get(f, 0.0) for f in features(w)), default=0.0)) for w in words)
         return tuple((w, p) for w, p in found if p > 0)
 
+    def of_token(self, token: str) -> tuple[tuple[str, float], ...]:
+        got = self.known.get(token)
+        if got is None:
+            if len(self.known) >= MOST_TOKENS:
+                self.known.clear()
+            got = self.known[token] = self.weighed(readings(token, self.model))
+        return got
+
     def evidence(self, text: str | None) -> tuple[float, ...]:
         """1, the summed and the greatest log odds of the toxic words, their number, and the logarithm of the number of different words."""
         hits: dict[str, float] = {}
         tokens = set((text or "").split())
-        for token in tokens:
-            got = self.known.get(token)
-            if got is None:
-                if len(self.known) >= self.cache:
-                    self.known.clear()
-                got = self.known[token] = self._of_words(readings(token, self.model))
-            if got:
-                hits.update(got)
-        hits.update(self._of_words(spaced(text or "", self.model)))
+        if self.lexicon is None:
+            for token in tokens:
+                hits.update(self.of_token(token))
+        else:
+            for token in self.lexicon.keys() & tokens:
+                hits.update(self.lexicon[token])
+        hits.update(self.weighed(spaced(text or "", self.model)))
         return 1.0, math.fsum(hits.values()), max(hits.values(), default=0.0), float(len(hits)), math.log1p(len(tokens)) if hits else 0.0
 
     def score(self, text: str | None) -> float:
@@ -194,6 +235,43 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def with_lexicon(docs: DataFrame, scorer: Scorer, most_bytes: int = 16 << 20) -> Scorer:
+    """scorer with the evidence of every token of docs: each different token of the table is decoded once, not once in each task.
+
+    The tokens that speak for toxicity are few, but nothing bounds them. Where they, and the bytes they take, are
+    within MOST_TOKENS and most_bytes they travel with the tasks; beyond that scorer is returned as it is and decodes the
+    tokens where they lie, with equal scores.
+    """
+
+    def distinct(batches):
+        met: set[str] = set()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                met.update((t or "").split())
+                if len(met) >= MOST_TOKENS:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(met), pa.string())], ["token"])
+                    met.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(met), pa.string())], ["token"])
+
+    def decoded(batches):
+        for batch in batches:
+            found = [(t, h) for t in batch.column(0).to_pylist() if (h := scorer.weighed(readings(t, scorer.model)))]
+            columns = [[t for t, _ in found], [[w for w, _ in h] for _, h in found], [[p for _, p in h] for _, h in found]]
+            kinds = pa.string(), pa.list_(pa.string()), pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["token", "words", "odds"])
+
+    if not scorer.weights:
+        return replace(scorer, lexicon={}, known={})
+    tokens = docs.select("text").mapInArrow(distinct, "token string").distinct()
+    table = written(tokens.mapInArrow(decoded, "token string, words array<string>, odds array<double>"), "lexicon")
+    n, size = table.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("token")), F.lit(0))).first()
+    found = None
+    if n <= MOST_TOKENS and size <= most_bytes:
+        found = {r.token: tuple(zip(r.words, r.odds, strict=True)) for r in table.collect()}
+    discard(table)
+    return replace(scorer, lexicon=found, known={})
+
+
 def calibrated(evidence: np.ndarray, toxic: np.ndarray, prior: np.ndarray, strength: float = 0.5) -> tuple[float, ...]:
     """Logistic regression by Newton steps, drawn towards prior."""
     beta = prior.copy()
@@ -217,14 +295,14 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return written(texts.join(F.broadcast(rows), "id").select("text", F.col("label").alias("toxic"), F.pmod(F.xxhash64("text"), F.lit(5)).alias("fold")), "labelled")  # at most `most` rows are broadcast
 
 
-def _first_contexts(text: str, model: np.ndarray) -> dict[str, tuple[str, str]]:
+def _first_contexts(text: str, read: Readings) -> dict[str, tuple[str, str]]:
     """Each feature of a text with the words before and after the first place that has it."""
-    words = [w for token in (text or "").split() for w in readings(token, model)]
+    words = [w for token in (text or "").split() for w in read(token)]
     out: dict[str, tuple[str, str]] = {}
     for i, w in enumerate(words):
         for f in features(w):
             out.setdefault(f, (words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
-    for w in spaced(text or "", model):
+    for w in spaced(text or "", read.model):
         for f in features(w):
             out.setdefault(f, ("", w))
     return out
@@ -249,8 +327,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, least_support:
         return Scorer(model, {}, (-2.2, 0.0, 0.0, 0.0, 0.0))
 
     def contexts(batches):
+        read = Readings(model)
         for batch in batches:
-            out = Counter((f, hash_text("\x1f".join(c))) for t in batch.column(0).to_pylist() for f, c in _first_contexts(t, model).items())
+            out = Counter((f, hash_text("\x1f".join(c))) for t in batch.column(0).to_pylist() for f, c in _first_contexts(t, read).items())
             yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in out], pa.string()), pa.array([c for _, c in out], pa.int64())], ["feature", "context"])
 
     support = taught.filter("toxic = 1").select("text").mapInArrow(contexts, "feature string, context long").groupBy("feature").agg(F.countDistinct("context").alias("n"))
@@ -258,9 +337,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, least_support:
 
     def elsewhere(batches):
         out: Counter = Counter()
+        read = Readings(model)
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                out.update(f for f in _first_contexts(t, model) if f in wanted)
+                out.update(f for f in _first_contexts(t, read) if f in wanted)
         yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], ["feature", "n"])
 
     seen = dict(taught.filter("toxic <> 1").select("text").mapInArrow(elsewhere, "feature string, n long").groupBy("feature").agg(F.sum("n")).collect())
@@ -296,7 +376,9 @@ def scored(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame
 
     docs needs doc_id and text; other columns are not read. Defined results: null, empty and blank texts get
     the score of a text without toxic words; a null doc_id is returned with held_out false; repeated rows get equal scores; an empty table gives none.
+    A text of any length is scored whole: its different tokens, and the words spelled out in it.
     """
+    scorer = with_lexicon(docs, scorer)
 
     def run(batches):
         for batch in batches:
@@ -308,8 +390,9 @@ def scored(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame
 
 
 def without_toxic(docs: DataFrame, scorer: Scorer, threshold: float = 0.3) -> DataFrame:
-    """The rows of docs that score below threshold, with all their columns, whatever their names; no shuffle."""
+    """The rows of docs that score below threshold, with all their columns, whatever their names; no row is shuffled."""
     text = docs.columns.index("text")
+    scorer = with_lexicon(docs, scorer)
 
     def run(batches):
         for batch in batches:
