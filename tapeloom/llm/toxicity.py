@@ -337,10 +337,19 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, least_support:
 
     def elsewhere(batches):
         out: Counter = Counter()
-        read = Readings(model)
+        known: dict[str, set[str]] = {}
+        of_words = lambda words: {f for w in words for f in features(w) if f in wanted}
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                out.update(f for f in _first_contexts(t, read) if f in wanted)
+                found = of_words(spaced(t or "", model))
+                for token in set((t or "").split()):
+                    own = known.get(token)
+                    if own is None:
+                        if len(known) >= MOST_TOKENS:
+                            known.clear()
+                        own = known[token] = of_words(readings(token, model))
+                    found |= own
+                out.update(found)
         yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.int64())], ["feature", "n"])
 
     seen = dict(taught.filter("toxic <> 1").select("text").mapInArrow(elsewhere, "feature string, n long").groupBy("feature").agg(F.sum("n")).collect())

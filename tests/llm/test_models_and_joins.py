@@ -61,6 +61,35 @@ def test_near_duplicates(spark, limit):
     assert got == want
 
 
+def test_large_groups_in_many_blocks(spark):
+    """Groups over many blocks, some of whose members reach the others only through one that is no leader."""
+    rng = random.Random(11)
+    rows, base = [], prose(rng, 120)
+    for _ in range(90):
+        rows.append(changed(rng, base, rng.choice([0, 0.01, 0.02])))
+    other = " ".join(base.split(" ")[:60]) + " " + prose(rng, 60)  # shares half of the first group's values
+    rows += [changed(rng, other, 0.01) for _ in range(40)]
+    step = base.split(" ")
+    for i in range(12):  # a chain away from the group
+        step = [*step[:100], *prose(rng, 3).split(" "), *step[100 + 3 :]] if i % 2 else [*prose(rng, 3).split(" "), *step[3:]]
+        rows.append(" ".join(step))
+    rows = list(enumerate(rows + [prose(rng, 120) for _ in range(40)] + [None] * 30))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df, width=4, percent=80, list_limit=8, hot_lists=None, block_shingles=3000).collect()}
+    assert got == brute_components(rows, 4, 80)
+
+
+def test_text_over_a_chunk(spark):
+    """Texts longer than what one pass hashes, among short ones."""
+    rng = random.Random(12)
+    long = " ".join(str(rng.randrange(10**6)) for _ in range(90_000))
+    rows = [(1, long), (2, "short text of five words"), (3, long + " and a little more"), (4, "short text of five words"), (5, long[: len(long) // 2])]
+    assert len(long) > near_dedup.chunks.__globals__["CHUNK_BYTES"]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()}
+    assert got == brute_components(rows, 4, 80)
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -135,10 +164,26 @@ def test_decontamination_recall_and_precision(spark):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in texts} - {d for d, _ in found} | {900, 901}
     assert decontamination.contaminations(docs, bench.limit(0)).count() == 0 and decontamination.contaminations(docs.limit(0), bench).count() == 0
-    split = decontamination.contaminations(docs, bench, block=7)
+    split = decontamination.contaminations(docs, bench, block_bytes=2000)
     assert sorted(map(repr, split.collect())) == sorted(map(repr, got))
 
 
+def test_tables_follow_the_target_recall(spark):
+    """Recall at all edit rates against exact distances of every document and item, for the tables that the target asks for."""
+    rng = random.Random(3)
+    items = [(i, prose(rng, rng.choice([10, 16, 25]))) for i in range(20)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    few, many = (decontamination.walks_for(bench, target_recall=t) for t in (0.2, 0.97))
+    assert few.tables < many.tables
+    texts = [prose(rng, 8) + " " + decontamination._edited(np.random.default_rng(d), items[d % 20][1], (0, 0.05, 0.1, 0.15, 0.2)[d // 20 % 5]) + " " + prose(rng, 8) for d in range(100)]
+    truth = {(d, i) for d, t in enumerate(texts) for i, item in items if edit_distance(decontamination.fold(item), decontamination.fold(t)) <= int(0.2 * len(item))}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.contaminations(docs, bench, walks=many).collect()}
+    assert found <= truth and len(found) >= 0.95 * len(truth)
+    default = {(r.doc_id, r.item_id) for r in decontamination.contaminations(docs, bench).collect()}
+    assert len(default) >= 0.9 * len(truth)
+
+
 def test_short_items_are_found_exactly(spark):
     rng = random.Random(4)
     alphabet = "abcdefghijklmnopqrst é"
@@ -185,6 +230,17 @@ def test_best_boundaries_against_all_choices():
     assert packing.best_boundaries(np.array([]), np.array([]), 3) == []
 
 
+def test_best_boundaries_of_many_lengths():
+    rng = np.random.default_rng(2)
+    lengths, counts = np.sort(rng.choice(np.arange(1, 3000), 150, replace=False)), rng.integers(1, 99, 150)
+    pad = lambda b: sum(c * (min(x for x in b if x >= n) - n) for n, c in zip(lengths, counts))
+    cost = np.full(151, np.inf)
+    cost[0] = 0
+    for _ in range(6):  # all cuts of every layer
+        cost = np.array([np.inf] + [min(cost[i] + sum(counts[i:j] * (lengths[j - 1] - lengths[i:j])) for i in range(j)) for j in range(1, 151)])
+    assert pad(packing.best_boundaries(lengths, counts, 6)) == cost[150]
+
+
 def test_packing_places_every_piece(spark):
     rng = random.Random(3)
     rows = [(i, rng.choice([0, 1, 5, 17, 100, 3000])) for i in range(500)] + [(None, 4), (3, 4), (3, 4), (9, None)]
@@ -204,6 +260,7 @@ def test_packing_places_every_piece(spark):
         size = max(1, 2048 // max(b, 1))
         assert sorted(places) == list(range(len(places))) and len(places) <= size and (len(places) == size or k == last[b])
     assert packing.pack(df.limit(0), F.col("n")).count() == 0
+    assert {r.piece for r in packing.pack(df, F.col("n")).collect()} == {0}  # nothing is longer than a batch
 
 
 def test_word_count(spark):
@@ -212,23 +269,33 @@ def test_word_count(spark):
 
 
 def best_by_force(token, costs):
-    ways = [(0.0, 0)]
+    """(cost, pieces, pieces used) of the best segmentation, over all of them."""
+    ways = [(0.0, 0, [])]
     for j in range(1, len(token) + 1):
         raw = len(token[j - 1].encode())
-        own = [(ways[j - 1][0] + token_counts.BYTE_COST * raw, ways[j - 1][1] + raw)]
-        own += [(ways[i][0] + costs[token[i:j]], ways[i][1] + 1) for i in range(j) if token[i:j] in costs]
-        ways.append(min(own))
-    return ways[-1][1]
+        own = [(ways[j - 1][0] + token_counts.BYTE_COST * raw, ways[j - 1][1] + raw, ways[j - 1][2])]
+        own += [(ways[i][0] + costs[token[i:j]], ways[i][1] + 1, [*ways[i][2], token[i:j]]) for i in range(j - 1, -1, -1) if token[i:j] in costs]
+        ways.append(min(own, key=lambda x: x[:2]))
+    return ways[-1]
 
 
-def test_token_counts(spark):
+@pytest.mark.parametrize("head", [3, 200_000])
+def test_token_counts(spark, head):
     pieces = ["▁", "a", "b", "ab", "aba", "▁ab", "bb", "é", ",", "▁,", "abab", "ba"]
-    costs = token_counts.piece_costs(pieces)
     rng = random.Random(6)
     texts = ["".join(rng.choice("abéz, ,12_\n") for _ in range(rng.randrange(0, 60))) for _ in range(200)] + [None, "", " \n", "ab" * 3000]
+    cut = [[p for w in (t or "").split() for p in token_counts.pretokens(w)] for t in texts]
+    costs = token_counts.piece_costs(pieces)
+    for _ in range(2):
+        used = Counter()
+        for token, n in Counter(x for c in cut for x in c).items():
+            for piece in best_by_force(token, costs)[2]:
+                used[piece] += n
+        total = sum(used.values()) + 0.5 * len(pieces)
+        costs = {p: np.log(total) - np.log(used[p] + 0.5) for p in costs}
     df = spark.createDataFrame([(i if i % 50 else None, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int").coalesce(1)
-    got = [r.n_tokens for r in token_counts.token_counts(df, pieces).collect()]
-    assert got == [sum(best_by_force(p, costs) for w in (t or "").split() for p in token_counts.pretokens(w)) for t in texts]
+    got = [(r.n_words, r.n_tokens) for r in token_counts.token_counts(df, pieces, head=head).collect()]
+    assert got == [(len((t or "").split()), sum(best_by_force(p, costs)[1] for p in c)) for t, c in zip(texts, cut)]
     assert token_counts.token_counts(df.limit(0), pieces).count() == 0
 
 
@@ -265,6 +332,11 @@ def test_toxicity(spark, labelled):
     score = {r.doc_id: r for r in out}
     assert all(score[i].predicted == 1 for i in (2000, 2001, 2002)) and all(score[i].predicted == 0 for i in (3000, 3001, 3002))
     assert not score[None].held_out
+    long = "word " * 200_000 + "idiot moron"
+    assert toxicity.scored(spark.createDataFrame([(1, long)], "doc_id long, text string"), scorer).first().score == scorer.score(long)
+    # Decoded once for the table or in each task: the same scores.
+    assert all(r.score == scorer.score(t) for r, t in zip(sorted(out, key=repr), (t for _, t in sorted(((r, x.text) for r, x in zip(out, docs.collect(), strict=True)), key=repr)), strict=True))
+    assert toxicity.with_lexicon(docs, scorer, most_bytes=1).lexicon is None
     kept = toxicity.without_toxic(docs, scorer)
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in out)
     none = toxicity.train(docs, labels.filter("toxic = 0"))
@@ -275,6 +347,7 @@ def test_toxicity(spark, labelled):
 def test_restore_reads_what_was_meant(labelled):
     model = toxicity.language_model(labelled[0])
     assert toxicity.readings("id*ot", model) == ["idiot"] and toxicity.readings("w*rd***", model) != []
+    assert toxicity.readings("іdіоt", model) == ["idiot"] and toxicity.readings("идиот", model) == ["идиот"]  # mixed scripts only
     assert toxicity.readings("1d10t!!", model) == ["idiot"] and toxicity.readings("MoooRON", model) == ["moron"]
     # Without anything to decode, the only path is the text.
     assert toxicity.restore("wath", model) == "wath" and all(len(o) == 1 for o in toxicity.lattice("wath"))
