@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEPARATOR = "\x1f"
-#: Hexadecimal digits of a digest that group it; part of the version of a content id.
+#: Hexadecimal digits of a digest that group it; part of the version of a content id. More digits for tables of more than 10^10 rows keep a group small.
 PREFIX = 4
 
 
 def digest(*values: Column | str) -> Column:
-    """SHA-256 of the values' texts between separators; null has a text of its own, so that it differs from every value."""
-    return F.sha2(F.concat_ws(SEPARATOR, *(F.coalesce(F.concat(F.lit("="), (F.col(v) if isinstance(v, str) else v).cast("string")), F.lit("~")) for v in values)), 256)
+    """SHA-256 of the values' texts, each with its length in front, so that no two lists of values have one text; null has a text of its own."""
+    texts = ((F.col(v) if isinstance(v, str) else v).cast("string") for v in values)
+    return F.sha2(F.concat_ws(SEPARATOR, *(F.coalesce(F.concat(F.length(t).cast("string"), F.lit("="), t), F.lit("~")) for t in texts)), 256)
+
+
+def text_digest(*values: str) -> str:
+    """digest() of a few texts on the driver."""
+    return hashlib.sha256(SEPARATOR.join(f"{len(v)}={v}" for v in values).encode()).hexdigest()
 
 
 def row_digest(df: DataFrame, columns: list[str] | None = None) -> Column:
@@ -28,14 +36,18 @@ def row_digest(df: DataFrame, columns: list[str] | None = None) -> Column:
     return digest(*parts)
 
 
-def content_id(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def content_id(df: DataFrame, columns: list[str] | None = None, prefix: int = PREFIX) -> DataFrame:
     """One row with content_id: the same for the same rows in any order and partitioning, with repeated rows counted.
 
-    Digests are counted, then hashed per prefix, then hashed once more, so no task sees more than its prefix.
+    Digests are counted, then hashed per prefix, and the prefixes' hashes by shorter and shorter prefixes (PREFIX digits less
+    each time), so no task sees more than one prefix. Ids of different prefix lengths are different ids.
     """
     rows = df.select(row_digest(df, columns).alias("d")).groupBy("d").agg(F.count("*").alias("n"))
-    leaves = rows.select(F.substring("d", 1, PREFIX).alias("prefix"), F.concat_ws(":", "d", F.col("n").cast("string")).alias("leaf"))
+    leaves = rows.select(F.substring("d", 1, prefix).alias("prefix"), F.concat_ws(":", "d", F.col("n").cast("string")).alias("leaf"))
     nodes = leaves.groupBy("prefix").agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("leaf"))), 256).alias("node"))
+    for n in range(prefix - PREFIX, PREFIX - 1, -PREFIX):
+        inner = nodes.select(F.substring("prefix", 1, n).alias("up"), F.concat("prefix", "node").alias("leaf"))
+        nodes = inner.groupBy(F.col("up").alias("prefix")).agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("leaf"))), 256).alias("node"))
     return nodes.agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat("prefix", "node")))), 256).alias("content_id"))  # at most 16 ** PREFIX nodes
 
 
@@ -49,9 +61,9 @@ def bar_key(code: Column, interval: Column, adjustment: Column, event_time: Colu
     return digest(F.lit(kind), code, interval, adjustment, instant_text(event_time))
 
 
-def bar_version(key: Column, run: Column, snapshot: Column, schema: Column, builder: str = "1") -> Column:
-    """Id of one capture of a bar."""
-    return digest(key, run, snapshot, schema, F.lit(builder))
+def bar_version(key: Column, run: Column, content_hash: Column, schema: Column, builder: str = "1") -> Column:
+    """Id of one capture of a bar. content_hash is the hash of the snapshot's bytes or rows: a snapshot that is moved keeps its versions."""
+    return digest(key, run, content_hash, schema, F.lit(builder))
 
 
 def gap_id(code: Column, interval: Column, adjustment: Column, day: Column, session: Column, before: Column, after: Column, kind: str = "MARKET_BARS") -> Column:

@@ -49,12 +49,20 @@ def violations(rows: DataFrame, interval: str, adjustment: str) -> DataFrame:
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """rows with canonical_bar_key, canonical_row_version_id and rank (1: the source that wins)."""
+    """rows with canonical_bar_key, canonical_row_version_id and rank (1: the source that wins).
+
+    Newest ingestion wins, then the latest end of the run, the greater run id, the greater hash of the snapshot. That hash is
+    physical_snapshot_hash (of the bytes) where rows have it, else the logical hash of the snapshot's rows: where a
+    snapshot lies says nothing of what it is, so its path is provenance only.
+    """
+    if "physical_snapshot_hash" not in rows.columns:
+        keys = ["code", "requested_trade_date", *SOURCE]
+        rows = rows.join(snapshot_hashes(rows).withColumnRenamed("logical_source_rows_hash", "physical_snapshot_hash"), keys)
     key = ids.bar_key(F.col("code"), F.col("interval"), F.col("adjustment"), F.col("time_utc"))
     rows = rows.withColumn("canonical_bar_key", key)
-    version = ids.bar_version(F.col("canonical_bar_key"), F.col("ingestion_run_id"), F.col("snapshot_file"), F.col("source_schema_version"))
+    version = ids.bar_version(F.col("canonical_bar_key"), F.col("ingestion_run_id"), F.col("physical_snapshot_hash"), F.col("source_schema_version"))
     finished = [F.desc_nulls_last("run_finished_at")] if "run_finished_at" in rows.columns else []
-    w = Window.partitionBy("canonical_bar_key").orderBy(F.desc_nulls_last("ingested_at"), *finished, F.desc("ingestion_run_id"), F.desc("snapshot_file"))
+    w = Window.partitionBy("canonical_bar_key").orderBy(F.desc_nulls_last("ingested_at"), *finished, F.desc("ingestion_run_id"), F.desc("physical_snapshot_hash"))
     return rows.withColumn("canonical_row_version_id", version).withColumn("rank", F.row_number().over(w))
 
 
@@ -128,31 +136,54 @@ def gap_boundaries(bars: DataFrame, gaps: DataFrame) -> DataFrame:
     return gaps.join(side("previous"), [*GROUP, "previous_event_time"]).join(side("next"), [*GROUP, "next_event_time"])
 
 
-def materialize(spark: SparkSession, bars: DataFrame, gaps: DataFrame, root: str) -> tuple[str, str]:
-    """Write bars and gaps under the id of their content; an existing build of that id is verified and used again. Returns (id, path)."""
+def materialize(spark: SparkSession, bars: DataFrame, gaps: DataFrame, root: str, ranked: DataFrame | None = None) -> tuple[str, str]:
+    """Write bars, gaps and (from ranked candidates) the resolution under the id of their content; returns (id, path).
+
+    The manifest, one row with the content ids and row counts of all tables, is written last: a build without it is
+    unfinished and written again, a finished one is verified and used again.
+    """
     from tapeloom.sources import tables
 
-    build = ids.content_id(bars).first()[0]
+    gap_columns = [c for c in gaps.columns if c != "gap_id"]
+    parts = {"bars": ids.content_id(bars).first()[0], "gaps": ids.content_id(gaps, ["gap_id", *gap_columns]).first()[0]}
+    chosen = resolution(ranked) if ranked is not None else None
+    if chosen is not None:
+        parts["resolution"] = ids.content_id(chosen).first()[0]
+    build = ids.text_digest(*(f"{k}={v}" for k, v in sorted(parts.items())))
     path = f"{root}/build_id={build}"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if tables.read_manifest(spark, path) is not None:
         verified_build(spark, path, bars.schema, build)
-    else:
-        tables.write_canonical(bars, f"{path}/bars")
-        tables.write_gaps(gaps, f"{path}/gaps")
+        return build, path
+    tables.write_canonical(bars, f"{path}/bars", mode="overwrite")
+    tables.write_gaps(gaps, f"{path}/gaps", mode="overwrite")
+    if chosen is not None:
+        tables.write_resolution(chosen, f"{path}/resolution", mode="overwrite")
+    tables.write_manifest(spark, path, {f"{k}_id": v for k, v in parts.items()} | {"build_id": build, "n_bars": str(bars.count()), "n_gaps": str(gaps.count())})
     return build, path
 
 
-def verified_build(spark: SparkSession, path: str, schema, build: str, seconds: int | None = None) -> DataFrame:
-    """Bars of a build; raises unless their content id, keys, and (with seconds) gaps are those that were stored."""
+def verified_build(spark: SparkSession, path: str, schema, build: str, seconds: int | None = None, builder: str = "1") -> DataFrame:
+    """Bars of a build; raises unless the manifest, the bars' content id and count, their keys and versions, and (with seconds) the gaps, content and spans, are those derived again."""
+    from tapeloom.sources import tables
+
+    facts = tables.read_manifest(spark, path)
+    if facts is None:
+        raise ValueError(f"{path} has no manifest: the build was not finished")
+    if build != facts["build_id"] or build != ids.text_digest(*(f"{k[:-3]}={v}" for k, v in sorted(facts.items()) if k.endswith("_id") and k != "build_id")):
+        raise ValueError(f"{path} is not the build {build}")
     bars = spark.read.schema(schema).parquet(f"{path}/bars").select(*schema.names)
     found = ids.content_id(bars).first()[0]
-    if found != build:
-        raise ValueError(f"content id {found} of {path} is not {build}")
+    if found != facts["bars_id"] or bars.count() != int(facts["n_bars"]):
+        raise ValueError(f"content id {found} of {path} is not that of its manifest")
     key = ids.bar_key(F.col("code"), F.col("interval"), F.col("adjustment"), F.col("event_time"))
     require_empty(bars.filter(~F.col("canonical_bar_key").eqNullSafe(key)), "stored key is not the recomputed one")
     require_empty(bars.groupBy("canonical_bar_key").count().filter("count > 1"), "a key has two rows")
+    if {"ingestion_run_id", "physical_snapshot_hash", "source_schema_version"} <= set(bars.columns):
+        version = ids.bar_version(F.col("canonical_bar_key"), F.col("ingestion_run_id"), F.col("physical_snapshot_hash"), F.col("source_schema_version"), builder)
+        require_empty(bars.filter(~F.col("canonical_row_version_id").eqNullSafe(version)), "stored version is not the recomputed one")
     if seconds is not None:
-        stored, own = spark.read.parquet(f"{path}/gaps").select("gap_id"), gap_ranges(bars, seconds).select("gap_id")
-        require_empty(stored.exceptAll(own).union(own.exceptAll(stored)), "stored gaps are not the recomputed ones")
+        own = gap_ranges(bars, seconds)
+        stored = spark.read.schema(own.schema).parquet(f"{path}/gaps").select(*own.columns)
+        if "gap_id" not in schema.names and ids.content_id(stored).first()[0] != ids.content_id(own).first()[0]:
+            raise ValueError(f"stored gaps of {path} are not the recomputed ones")
     return bars

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tapeloom.functions.identity import content_id
 from tapeloom.guards import require_empty
@@ -35,6 +36,30 @@ def snapshot_id(catalog: DataFrame) -> DataFrame:
     return content_id(catalog)
 
 
+def materialize(catalog: DataFrame, root: str) -> tuple[str, str]:
+    """Write a snapshot of a catalog under the id of its content, its manifest last; a finished one is used again. Returns (id, path)."""
+    from tapeloom.sources import tables
+
+    spark = catalog.sparkSession
+    own = snapshot_id(catalog).first()[0]
+    path = f"{root}/catalog_id={own}"
+    if tables.read_manifest(spark, path) is None:
+        catalog.write.mode("overwrite").parquet(f"{path}/entries")
+        tables.write_manifest(spark, path, {"catalog_id": own, "n_entries": str(catalog.count())})
+    return own, path
+
+
+def verified(spark: SparkSession, path: str, own: str, schema: StructType) -> DataFrame:
+    """The entries of a catalog snapshot; raises unless manifest, content id and number of entries agree and each dataset comes once."""
+    from tapeloom.sources import tables
+
+    facts = tables.read_manifest(spark, path)
+    df = spark.read.schema(schema).parquet(f"{path}/entries")
+    if facts is None or facts["catalog_id"] != own or int(facts["n_entries"]) != df.count() or snapshot_id(df).first()[0] != own:
+        raise ValueError(f"{path} is not a finished catalog {own}")
+    return built([df])
+
+
 def search(catalog: DataFrame, *, symbol: str | None = None, date: str | None = None, equal: dict[str, object] | None = None, offset: int = 0, limit: int = 50) -> DataFrame:
     """A page of the entries that meet all filters, by dataset_id, with the number of all matches."""
     df = catalog

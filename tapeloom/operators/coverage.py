@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeloom.guards import require_empty
+
 #: Why a snapshot is not complete, in the order of priority.
 REASONS = ("RUN_STATUS_UNKNOWN", "ORPHANED_RUN", "QUALITY_FAIL", "RUN_FAILED", "RUN_RUNNING", "RUN_METADATA_MISMATCH")
 
@@ -96,7 +98,7 @@ def percentage(part, whole):
 
 def item_states(symbols: DataFrame, dates: DataFrame, complete: DataFrame, present: DataFrame) -> DataFrame:
     """code, trade_date, state (COMPLETE, INCOMPLETE, MISSING) of every expected item. The product of symbols and dates is the result itself, not a join to be filtered."""
-    expected = symbols.select("code").distinct().crossJoin(F.broadcast(dates.select("trade_date").distinct()))  # a calendar: hundreds of days a year at most
+    expected = symbols.select("code").distinct().crossJoin(dates.select("trade_date").distinct())
     c = complete.select("code", F.col("requested_trade_date").alias("trade_date"), F.lit(True).alias("_c"))
     p = present.select("code", F.col("requested_trade_date").alias("trade_date"), F.lit(True).alias("_p"))
     state = F.when(F.col("_c"), "COMPLETE").when(F.col("_p"), "INCOMPLETE").otherwise("MISSING")
@@ -130,6 +132,22 @@ def coverage_audit(states: DataFrame, reasons: DataFrame) -> DataFrame:
     )
 
 
+def audit_totals(states: DataFrame, gaps: DataFrame) -> DataFrame:
+    """One row: numbers of items by state, coverage in per cent and status. gaps (from calendar_gaps) leaves the expected items undetermined: any gives FAILED and no numbers."""
+    n = lambda s: F.count_if(F.col("state") == s)
+    counts = states.agg(F.count("*").alias("expected_count"), n("COMPLETE").alias("complete_count"), n("INCOMPLETE").alias("incomplete_count"), n("MISSING").alias("missing_count"))
+    counts = counts.withColumn("coverage_percentage", percentage(F.col("complete_count"), F.col("expected_count")))
+    both = counts.join(gaps.agg(F.count("*").alias("calendar_gap_count")))  # one row each
+    status = F.when(F.col("calendar_gap_count") > 0, "FAILED").when(F.col("complete_count") == F.col("expected_count"), "PASS").otherwise("WARN")
+    known = [F.when(F.col("calendar_gap_count") == 0, F.col(c)).alias(c) for c in counts.columns]
+    return both.select(*known, "calendar_gap_count", status.alias("status"))
+
+
+def require_calendar(gaps: DataFrame) -> None:
+    """A plan needs a calendar that covers its whole range."""
+    require_empty(gaps, "the calendar does not cover the range")
+
+
 def calendar_gaps(wanted: DataFrame, requested: DataFrame) -> DataFrame:
     """Parts of a wanted range (one row: start, end) that no requested calendar range covers; any row fails an audit."""
     from tapeloom.operators.coverage_ranges import merge_ranges, missing_ranges
@@ -138,8 +156,16 @@ def calendar_gaps(wanted: DataFrame, requested: DataFrame) -> DataFrame:
     return missing_ranges(one(wanted), merge_ranges(one(requested), ["k"]), ["k"]).drop("k")
 
 
+def completed_by_request(bars: DataFrame, runs: DataFrame, quality: DataFrame) -> DataFrame:
+    """Distinct complete (code, requested_trade_date) of every request key at once: completed_items for all keys in one pass."""
+    return _good(bars, runs, quality).select("code", "interval", "requested_session", "adjustment", "source_schema_version", "requested_trade_date").distinct()
+
+
 def inventory(bars: DataFrame, complete: DataFrame) -> DataFrame:
-    """Per (code, interval, session, adjustment, version): dates, runs, rows, newest capture, legacy rows (without a version), complete dates."""
+    """Per (code, interval, session, adjustment, version): dates, runs, rows, newest capture, legacy rows (without a version), complete dates.
+
+    complete comes from completed_by_request(): an item is complete for the request that captured it and no other.
+    """
     keys = ["code", "interval", "requested_session", "adjustment", "source_schema_version"]
     rows = bars.groupBy(*keys).agg(
         F.min("requested_trade_date").alias("first_date"),
@@ -150,13 +176,27 @@ def inventory(bars: DataFrame, complete: DataFrame) -> DataFrame:
         F.max("ingested_at").alias("newest"),
         F.count_if(F.col("source_schema_version").isNull()).alias("n_legacy"),
     )
-    done = complete.groupBy("code").agg(F.count("*").alias("n_complete"))
-    return rows.join(done, "code", "left").withColumn("n_complete", F.coalesce("n_complete", F.lit(0)))
+    done = complete.groupBy(*(F.col(c).alias(f"_{c}") for c in keys)).agg(F.count("*").alias("n_complete"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return rows.join(done, same, "left").drop(*(f"_{c}" for c in keys)).withColumn("n_complete", F.coalesce("n_complete", F.lit(0)))
+
+
+def inventory_totals(bars: DataFrame) -> DataFrame:
+    """One row over all bars: rows, symbols, dates, runs, request keys, rows without a version."""
+    return bars.agg(
+        F.count("*").alias("n_rows"), F.count_distinct("code").alias("n_symbols"), F.count_distinct("requested_trade_date").alias("n_dates"), F.count_distinct("ingestion_run_id").alias("n_runs"),
+        F.count_distinct(F.struct("interval", "requested_session", "adjustment", "source_schema_version")).alias("n_keys"), F.count_if(F.col("source_schema_version").isNull()).alias("n_legacy"),
+    )
+
 
+def backfill_plan(symbols: DataFrame, dates: DataFrame, complete: DataFrame, gaps: DataFrame | None = None) -> DataFrame:
+    """code, trade_date, action (SKIP what is complete, else FETCH) of every calendar date from each symbol's start (symbols: code, start) on.
 
-def backfill_plan(symbols: DataFrame, dates: DataFrame, complete: DataFrame) -> DataFrame:
-    """code, trade_date, action (SKIP what is complete, else FETCH) of every calendar date from each symbol's start (symbols: code, start) on."""
-    wanted = symbols.select("code", "start").join(F.broadcast(dates.select("trade_date").distinct()), F.col("trade_date") >= F.col("start")).select("code", "trade_date")
+    gaps, where given, are the parts of the range that the calendar does not cover; any raises.
+    """
+    if gaps is not None:
+        require_calendar(gaps)
+    wanted = symbols.select("code", "start").join(dates.select("trade_date").distinct(), F.col("trade_date") >= F.col("start")).select("code", "trade_date")
     done = complete.select("code", F.col("requested_trade_date").alias("trade_date"), F.lit("SKIP").alias("_done"))
     return wanted.join(done, ["code", "trade_date"], "left").select("code", "trade_date", F.coalesce("_done", F.lit("FETCH")).alias("action"))
 

@@ -21,20 +21,21 @@ def _wide(values: DataFrame, names: list[str]) -> DataFrame:
     return values.groupBy("sample_key").agg(*(F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names))
 
 
-def rows(assigned: DataFrame, features: DataFrame, labels: DataFrame, feature_names: list[str], label_names: list[str]) -> DataFrame:
-    """The dataset: a row for each sample with complete features; labels of an incomplete sample are null."""
+def rows(assigned: DataFrame, features: DataFrame, labels: DataFrame, feature_names: list[str], label_names: list[str], kinds: dict[str, str] | None = None) -> DataFrame:
+    """The dataset: a row for each sample with complete features; labels of an incomplete sample are null. kinds gives the type of a label that is not a double."""
+    kinds = kinds or {}
     f, y = _wide(features, feature_names), _wide(labels, label_names)
     out = assigned.join(f, "sample_key").join(y, "sample_key", "left")
     complete = F.col("label_status") == "COMPLETE"
     return out.select(
-        "code", "sample_key", "feature_window_close", "actual_label_end_time", "label_status", *feature_names, *(F.when(complete, F.col(n)).alias(n) for n in label_names),
+        "code", "sample_key", "feature_window_close", "actual_label_end_time", "label_status", *feature_names, *(F.when(complete, F.col(n)).cast(kinds.get(n, "double")).alias(n) for n in label_names),
         "feature_window_close_date", "nominal_split", "final_split", "assignment_status", "reason_code", "purge_boundary",
     )
 
 
 def completion(symbols: DataFrame, dates: DataFrame, reqs: DataFrame, feature_status: DataFrame, label_status: DataFrame) -> DataFrame:
     """code, trade_date, status, reason of the whole product of symbols and dates, which is the result: MISSING without a request, COMPLETE with a complete sample, else INCOMPLETE."""
-    product = symbols.select("code").distinct().crossJoin(F.broadcast(dates.select("trade_date").distinct()))  # a calendar
+    product = symbols.select("code").distinct().crossJoin(dates.select("trade_date").distinct())
     own = reqs.select("sample_key", "code", F.col("anchor_market_calendar_date").alias("trade_date")).join(feature_status, "sample_key", "left").join(label_status, "sample_key", "left")
     found = own.groupBy("code", "trade_date").agg(
         F.count("*").alias("n_samples"),
@@ -67,25 +68,40 @@ def require_bound(reqs: DataFrame, symbols: DataFrame, dates: DataFrame, *sample
 
 
 def materialize(df: DataFrame, root: str) -> tuple[str, str]:
-    """Write a dataset once under the id of its content; the same content is verified and used again. Returns (id, path)."""
+    """Write a dataset once under the id of its content; a finished one of the same content is verified and used again. Returns (id, path).
+
+    The manifest (id, rows, assigned and purged rows) is written last; without it a dataset is unfinished and written again.
+    """
     from tapeloom.sources import tables
 
     spark = df.sparkSession
     own = content_id(df).first()[0]
     path = f"{root}/dataset_id={own}"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
-        tables.verified_dataset(spark, path, own, df.schema)
-    else:
-        tables.write_dataset(df, path)
+    if tables.read_manifest(spark, path) is not None:
+        tables.verified_dataset(spark, f"{path}/rows", own, df.schema)
+        return own, path
+    tables.write_dataset(df, f"{path}/rows", mode="overwrite")
+    tables.write_manifest(spark, path, {"dataset_id": own} | _balances(df))
     return own, path
 
 
+def _balances(df: DataFrame) -> dict[str, str]:
+    """Rows of a dataset in all and by assignment status."""
+    n = df.agg(F.count("*").alias("n_rows"), *(F.count_if(F.col("assignment_status") == s).alias(f"n_{s.lower()}") for s in ("ASSIGNED", "PURGED", "EXCLUDED"))).first()
+    return {k: str(v) for k, v in n.asDict().items()}
+
+
 def verified(spark: SparkSession, path: str, own: str, spec: splits.SplitSpec, schema=None) -> DataFrame:
-    """A dataset whose content id and split columns are those derived again; else raises."""
+    """A dataset whose manifest, content id, row counts by status and split columns are those derived again; else raises."""
     from tapeloom.sources import tables
 
-    df = tables.verified_dataset(spark, path, own, schema)
+    facts = tables.read_manifest(spark, path)
+    if facts is None or facts["dataset_id"] != own:
+        raise ValueError(f"{path} is not a finished dataset {own}")
+    df = tables.verified_dataset(spark, f"{path}/rows", own, schema)
+    found = _balances(df)
+    if {k: facts.get(k) for k in found} != found or int(found["n_rows"]) != sum(int(v) for k, v in found.items() if k != "n_rows"):
+        raise ValueError(f"row counts of {path} are not those of its manifest: {found}")
     require_empty(splits.mismatches(df, spec), "stored split columns are not the derived ones")
     return df
 

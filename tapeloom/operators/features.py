@@ -69,7 +69,9 @@ TRANSFORMS: dict[str, Transform] = {
 
 
 def with_bars(assoc: DataFrame, bars: DataFrame) -> DataFrame:
-    """Associations with the values of their bar versions; a version without its bar is lost, so compare counts."""
+    """Associations with the values of their bar versions, joined where they do not carry them; a version without its bar is lost, so compare counts."""
+    if set(BAR) <= set(assoc.columns):
+        return assoc
     return assoc.join(bars.select("canonical_row_version_id", *BAR[1:]), "canonical_row_version_id")
 
 

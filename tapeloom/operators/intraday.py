@@ -60,11 +60,18 @@ def gaps(rows: DataFrame, seconds: int, most: int | None = None) -> DataFrame:
     return found.filter(F.col("_n") <= most).drop("_n")
 
 
-def checks(rows: DataFrame, expected: dict[str, str], seconds: int) -> DataFrame:
-    """Per item and check: check_name, result, mismatch_count.
+#: Checks that need a valid time.
+TIMED = ("TIMEZONE_INSTANT_CONSISTENCY", "MARKET_CALENDAR_DATE_CONSISTENCY", "SESSION_LABEL_CONSISTENCY", "REQUESTED_SESSION_SCOPE", "DUPLICATE_TIMESTAMPS", "MINUTE_BOUNDARY_ALIGNMENT", "DELTA_GRID_ALIGNMENT", "INTERNAL_GAPS")
 
-    expected has the request key by column. Columns that no row fills count as missing; invalid times fail
-    VALID_TIMESTAMPS alone. A duplicate time counts all its rows.
+
+def checks(rows: DataFrame, expected: dict[str, str], seconds: int, chosen: DataFrame | None = None) -> DataFrame:
+    """Per item and check: check_name, result, mismatch_count and details.
+
+    expected has the request key by column. Columns that no row fills count as missing. A row without both its times
+    fails VALID_TIMESTAMPS; where no row has them, the checks of TIMED are INFO and NOT_EVALUATED. A duplicate time counts
+    all its rows, null times equal. A stored label that the clock does not give, and one that the clock calls UNKNOWN, each count
+    once in SESSION_LABEL_CONSISTENCY. details names the labels outside the requested scope with their numbers. chosen, where
+    given, has the items themselves (code, requested_trade_date): one without rows fails NON_EMPTY and has no other check.
     """
     allowed = {"RTH": ("REGULAR",), "ALL": SESSIONS}.get(expected["requested_session"])
     need = ["code", "time_utc", "time_market", "open", "high", "low", "close", "volume", "session", "market_calendar_date"]
@@ -76,12 +83,12 @@ def checks(rows: DataFrame, expected: dict[str, str], seconds: int) -> DataFrame
     rows = segmented(rows, seconds).withColumn("_same", F.count("*").over(Window.partitionBy(*ITEM, "time_utc")))
     found = rows.groupBy(*ITEM).agg(
         sum(F.when(F.count(c) == 0, 1).otherwise(0) for c in need).alias("REQUIRED_COLUMNS"),
-        F.when(F.count("*") == 0, 1).otherwise(0).alias("NON_EMPTY"),
+        F.lit(0).alias("NON_EMPTY"),
         F.count_if(wrong).alias("EXACT_REQUEST_METADATA"),
         F.count_if(~both).alias("VALID_TIMESTAMPS"),
         F.count_if(both & (F.col("time_utc") != F.col("time_market"))).alias("TIMEZONE_INSTANT_CONSISTENCY"),
         F.count_if(both & ~F.col("market_calendar_date").eqNullSafe(mt.market_date(F.col("time_utc")))).alias("MARKET_CALENDAR_DATE_CONSISTENCY"),
-        F.count_if(both & ~F.col("session").eqNullSafe(label)).alias("SESSION_LABEL_CONSISTENCY"),
+        (F.count_if(both & ~F.col("session").eqNullSafe(label)) + F.count_if(both & (label == "UNKNOWN"))).alias("SESSION_LABEL_CONSISTENCY"),
         (F.count_if(~F.coalesce(F.col("session").isin(*allowed), F.lit(False))) if allowed else F.lit(0)).alias("REQUESTED_SESSION_SCOPE"),
         F.count_if(F.col("_same") > 1).alias("DUPLICATE_TIMESTAMPS"),
         F.count_if(F.unix_micros("time_utc") % 60_000_000 != 0).alias("MINUTE_BOUNDARY_ALIGNMENT"),
@@ -89,8 +96,25 @@ def checks(rows: DataFrame, expected: dict[str, str], seconds: int) -> DataFrame
         F.count_if(F.col("step") == "gap").alias("INTERNAL_GAPS"),
     )
     names = [c for c in found.columns if c not in ITEM]
-    result = lambda c: F.lit("INFO") if c == "REQUESTED_SESSION_SCOPE" and not allowed else F.when(F.col(c) == 0, "PASS").otherwise("WARN" if c == "INTERNAL_GAPS" else "FAIL")
-    return found.select(*ITEM, F.inline(F.array(*(F.struct(F.lit(c).alias("check_name"), result(c).alias("result"), F.col(c).cast("long").alias("mismatch_count")) for c in names))))
+    stray = F.lit(False) if not allowed else ~F.coalesce(F.col("session").isin(*allowed), F.lit(False))
+    labels = rows.filter(stray).groupBy(*ITEM, F.coalesce("session", F.lit("None")).alias("label")).agg(F.count("*").alias("n"))  # a few labels for each item
+    listed = labels.groupBy(*ITEM).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("label", "n"))), lambda x: F.concat_ws(": ", x["label"], x["n"].cast("string"))), ", ").alias("labels"))
+    timed = rows.groupBy(*ITEM).agg(F.bool_or(both).alias("timed"))
+    found = found.join(timed, ITEM).join(listed, ITEM, "left")
+    if chosen is not None:
+        found = chosen.select(*ITEM).distinct().join(found, ITEM, "left").withColumn("NON_EMPTY", F.coalesce("NON_EMPTY", F.lit(1)))
+
+    def row(c):
+        bad = F.when(F.col(c) == 0, "PASS").otherwise("WARN" if c == "INTERNAL_GAPS" else "FAIL")
+        if c == "REQUESTED_SESSION_SCOPE" and not allowed:
+            bad = F.lit("INFO")
+        result = F.when(F.col("timed"), bad).otherwise("INFO") if c in TIMED else bad
+        count = F.when(F.col("timed"), F.col(c)).otherwise(0) if c in TIMED else F.col(c)
+        details = F.when(F.col("timed"), F.coalesce("labels", F.lit(""))) if c == "REQUESTED_SESSION_SCOPE" else F.when(F.col("timed"), "") if c in TIMED else F.lit("")
+        return F.struct(F.lit(c).alias("check_name"), result.alias("result"), count.cast("long").alias("mismatch_count"), F.coalesce(details, F.lit("NOT_EVALUATED")).alias("details"))
+
+    every = F.array(*map(row, names))
+    return found.select(*ITEM, F.inline(F.when(F.col("NON_EMPTY") == 0, every).otherwise(F.array(row("NON_EMPTY")))))
 
 
 def session_counts(rows: DataFrame) -> DataFrame:
@@ -121,5 +145,5 @@ def summary(states: DataFrame, check_rows: DataFrame, segment_rows: DataFrame) -
 def audit(bars: DataFrame, chosen: DataFrame, states: DataFrame, expected: dict[str, str], seconds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(checks, segments, summary) of all chosen snapshots, with the items that have none."""
     rows = snapshot_rows(bars, chosen)
-    found, parts = checks(rows, expected, seconds), segments(rows, seconds)
+    found, parts = checks(rows, expected, seconds, chosen), segments(rows, seconds)
     return found, parts, summary(states, found, parts)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tapeloom.guards import require_empty
 from tapeloom.operators.features import positive_zero
 
+#: The type of a label that is not a double.
+KINDS = {"forward_direction": "long"}
 FORWARD = ("forward_return", "forward_direction")
 EXCURSION = ("maximum_favorable_excursion", "maximum_adverse_excursion")
 

@@ -9,10 +9,12 @@ from tapeloom.functions import identity as ids
 from tapeloom.guards import require_empty
 
 SCOPE = ["code", "interval", "adjustment", "requested_session"]
+#: What features and labels read of a bar; an association carries it, so the bars need not be joined again.
+VALUES = ["open", "high", "low", "close", "volume"]
 
 
 def _windows(reqs: DataFrame) -> DataFrame:
-    """One row for each sample and role with its half-open window; market_cutoff bounds what a feature may know."""
+    """One row for each sample and role with its half-open window."""
     cols = ["sample_key", *SCOPE, "anchor_market_calendar_date", "feature_window_close"]
     feature = reqs.select(*cols, F.lit("FEATURE").alias("role"), F.col("feature_window_start").alias("_from"), F.col("feature_window_close").alias("_to"))
     label = reqs.filter("label_window_start is not null").select(*cols, F.lit("LABEL").alias("role"), F.col("label_window_start").alias("_from"), F.col("label_window_close").alias("_to"))
@@ -22,25 +24,33 @@ def _windows(reqs: DataFrame) -> DataFrame:
 def candidates(bars: DataFrame, reqs: DataFrame, as_of=None) -> DataFrame:
     """Bars inside each window with status SELECTED, NOT_MARKET_AVAILABLE or NOT_ARCHIVED.
 
-    Windows are dealt to the UTC days they touch, so the range join is an equi-join on scope and day with a
-    filter; a bar has one day, so no pair comes twice. A feature must be known to the market when its
-    window closes; as_of, where given, asks that the archive had the bar by then.
+    Windows are dealt to stretches of time about as long as themselves (the power of two of seconds that is not
+    shorter), of which each touches two at most, and a bar to its stretch of each length that occurs: an equi-join
+    on scope, length and stretch with a filter, whose pairs are at most a few times those that are kept. A bar has one
+    stretch of a length, so no pair comes twice. A bar must be known to the market when its window closes, in either
+    role; as_of, where given, asks that the archive had the bar by then.
     """
-    days = F.sequence(F.to_date("_from"), F.to_date(F.col("_to") - F.expr("interval 1 microsecond")))
-    w = _windows(reqs).withColumn("_day", F.explode(days))
-    b = bars.select(*SCOPE, "event_time", "market_available_at", "archive_available_at", "market_calendar_date", "canonical_bar_key", "canonical_row_version_id").withColumn("_day", F.to_date("event_time"))
-    pairs = w.join(b, [*SCOPE, "_day"]).filter((F.col("event_time") >= F.col("_from")) & (F.col("event_time") < F.col("_to")))
-    late = (F.col("role") == "FEATURE") & (F.col("market_available_at") > F.col("feature_window_close"))
+    seconds = F.unix_micros("_to") - F.unix_micros("_from")
+    width = F.greatest(F.ceil(F.log2(F.greatest(seconds, F.lit(1)) / 1_000_000)), F.lit(0)).cast("int")
+    stretch = lambda t, k: F.floor(F.unix_micros(t) / (F.lit(1_000_000) * F.pow(F.lit(2.0), k))).cast("long")
+    w = _windows(reqs).withColumn("_width", width)
+    w = w.withColumn("_at", F.explode(F.sequence(stretch(F.col("_from"), F.col("_width")), stretch(F.col("_to") - F.expr("interval 1 microsecond"), F.col("_width")))))
+    values = [c for c in VALUES if c in bars.columns]
+    b = bars.select(*SCOPE, "event_time", "market_available_at", "archive_available_at", "market_calendar_date", "canonical_bar_key", "canonical_row_version_id", *values)
+    lengths = w.select(*SCOPE, "_width").distinct()  # a few for each scope
+    b = b.join(lengths, SCOPE).withColumn("_at", stretch(F.col("event_time"), F.col("_width")))
+    pairs = w.join(b, [*SCOPE, "_width", "_at"]).filter((F.col("event_time") >= F.col("_from")) & (F.col("event_time") < F.col("_to")))
+    late = F.col("market_available_at") > F.col("_to")
     unseen = F.lit(False) if as_of is None else ~F.coalesce(F.col("archive_available_at") <= F.lit(as_of).cast("timestamp"), F.lit(False))
     status = F.when(late, "NOT_MARKET_AVAILABLE").when(unseen, "NOT_ARCHIVED").otherwise("SELECTED")
-    return pairs.withColumn("status", status).drop("_day", "_from", "_to")
+    return pairs.withColumn("status", status).drop("_width", "_at", "_from", "_to")
 
 
 def association(found: DataFrame) -> DataFrame:
     """sample_key, role, position (from 0 by time), bar key and version, times of the selected candidates."""
     w = Window.partitionBy("sample_key", "role").orderBy("event_time", "market_available_at", "canonical_bar_key", "canonical_row_version_id")
     rows = found.filter("status = 'SELECTED'").withColumn("position", (F.row_number().over(w) - 1).cast("long"))
-    return rows.select("sample_key", "role", "position", "canonical_bar_key", "canonical_row_version_id", "code", "event_time", "market_available_at", "archive_available_at", "market_calendar_date", "anchor_market_calendar_date", "feature_window_close")
+    return rows.select("sample_key", "role", "position", "canonical_bar_key", "canonical_row_version_id", "code", "event_time", "market_available_at", "archive_available_at", "market_calendar_date", "anchor_market_calendar_date", "feature_window_close", *(c for c in VALUES if c in found.columns))
 
 
 def sample_versions(assoc: DataFrame) -> DataFrame:
@@ -71,12 +81,12 @@ def gap_facts(gaps: DataFrame) -> DataFrame:
 
 
 def known_gaps(facts: DataFrame, reqs: DataFrame, as_of=None) -> DataFrame:
-    """sample_key, role, gap_ids (sorted) of the gaps that overlap a window and were known by both clocks; ALL takes every session."""
+    """sample_key, role, gap_ids (sorted) of the gaps that overlap a window and were known by its close to the market, and by as_of to the archive; ALL takes every session."""
     w = _windows(reqs).withColumn("_day", F.explode(F.sequence(F.to_date("_from"), F.to_date(F.col("_to") - F.expr("interval 1 microsecond")))))
     g = facts.withColumn("_day", F.explode(F.sequence(F.to_date("missing_from_event_time"), F.to_date("missing_to_event_time"))))
     pairs = w.join(g, ["code", "interval", "adjustment", "_day"]).filter((F.col("requested_session") == "ALL") | (F.col("requested_session") == F.col("session")))
     pairs = pairs.filter((F.col("missing_from_event_time") < F.col("_to")) & (F.col("missing_to_event_time") >= F.col("_from")))
-    pairs = pairs.filter((F.col("role") == "LABEL") | (F.col("market_known_at") <= F.col("feature_window_close")))
+    pairs = pairs.filter(F.col("market_known_at") <= F.col("_to"))
     if as_of is not None:
         pairs = pairs.filter(F.col("archive_known_at") <= F.lit(as_of).cast("timestamp"))
     return pairs.groupBy("sample_key", "role").agg(F.array_sort(F.collect_set("gap_id")).alias("gap_ids"))

@@ -23,10 +23,14 @@ def bars60(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated rows of three overlapping captures of bars60. Each misses some hours; the third reports one unit more volume at 13 UTC."""
+    """Curated rows of three overlapping captures of bars60. Each misses some hours, none has `click` on the 17th; the third reports one unit more volume at 13 UTC.
+
+    There are no files, so the hash of a snapshot's bytes is that of its name.
+    """
     k = F.explode(F.array(*map(F.lit, (0, 1, 2)))).alias("k")
-    b = bars60(spark, sf_dir).select("*", k).filter((F.hour("event_time") + F.col("k")) % 11 != 0)
     day = mt.market_date(F.col("event_time"))
+    b = bars60(spark, sf_dir).select("*", k).filter(((F.hour("event_time") + F.col("k")) % 11 != 0) & ~((F.col("code") == "click") & (F.dayofmonth(day) == 17)))
+    file = F.concat(F.lit("file-"), F.col("k"), F.lit("-"), day.cast("string"))
     return b.select(
         "code",
         F.lit("EQUITY").alias("asset_type"),
@@ -47,15 +51,34 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("1").alias("source_schema_version"),
         F.concat(F.lit("run-"), F.col("k"), F.lit("-"), day.cast("string")).alias("ingestion_run_id"),
         (F.lit("2024-02-01 00:00:00").cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("k"))).alias("ingested_at"),
-        F.concat(F.lit("file-"), F.col("k"), F.lit("-"), day.cast("string")).alias("snapshot_file"),
+        file.alias("snapshot_file"),
+        F.sha2(F.concat(F.lit("bytes of "), file).cast("binary"), 256).alias("physical_snapshot_hash"),
     )
 
 
+def bent(captured: DataFrame) -> DataFrame:
+    """captures() with every kind of fault that an audit looks for, by the hour and day of a bar; some rows come twice, some a half hour or half a minute late."""
+    h, d, t = F.hour("time_utc"), F.dayofmonth("requested_trade_date"), F.col("time_utc")
+    late = F.when((h == 11) & (d % 6 == 2), F.lit(1800)).when((h == 18) & (d % 10 == 0), F.lit(30)).otherwise(F.lit(0))
+    moved = t + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), late)
+    market = F.when((h == 12) & (d % 6 == 3), F.lit(None)).when(d == 26, F.lit(None)).when((h == 14) & (d % 6 == 5), moved + F.expr("interval 1 hour")).otherwise(moved)
+    rows = captured.select("*", h.alias("_h"), d.alias("_d"), moved.alias("_t"), market.cast("timestamp").alias("_m")).withColumns({
+        "market_calendar_date": F.when((F.col("_h") == 15) & (F.col("_d") % 6 == 0), F.date_add("market_calendar_date", 1)).otherwise(F.col("market_calendar_date")),
+        "session": F.when((F.col("_h") == 10) & (F.col("_d") % 6 == 1), F.lit("NIGHT")).otherwise(F.col("session")),
+        "adjustment": F.when((F.col("_h") == 17) & (F.col("_d") % 8 == 0), F.lit("QFQ")).otherwise(F.col("adjustment")),
+        "volume": F.when((F.col("code") == "view") & (F.col("_d") % 9 == 0), F.lit(None).cast("double")).when((F.col("_h") == 9) & (F.col("_d") % 4 == 0), F.lit(-1.0)).otherwise(F.col("volume")),
+        "open": F.when((F.col("_h") == 7) & (F.col("_d") % 3 == 0), F.lit(None).cast("double")).otherwise(F.col("open")),
+        "high": F.when((F.col("_h") == 8) & (F.col("_d") % 3 == 0), F.col("low") - 1).otherwise(F.col("high")),
+    })
+    twice = F.explode(F.when((F.col("_h") == 13) & (F.col("_d") % 6 == 4), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.withColumns({"time_utc": F.col("_t"), "time_market": F.col("_m")}).select("*", twice.alias("_copy")).drop("_h", "_d", "_t", "_m", "_copy")
+
+
 def runs(captured: DataFrame) -> DataFrame:
     """A run for each capture and day, of every status; some captures have none, some name another session."""
     r = captured.select("ingestion_run_id", "requested_trade_date", "interval", "adjustment", "ingested_at").distinct()
     k, d = F.substring("ingestion_run_id", 5, 1).cast("int"), F.dayofmonth("requested_trade_date")
-    status = F.when(k == 0, "SUCCESS").when(k == 1, F.when(d % 2 == 0, "PARTIAL").otherwise("FAILED")).otherwise(F.when(d % 5 == 0, "RUNNING").otherwise("SUCCESS"))
+    status = F.when(k == 0, "SUCCESS").when(k == 1, F.when(d % 8 == 0, "PARTIAL").otherwise("FAILED")).otherwise(F.when(d % 5 == 0, "RUNNING").otherwise("SUCCESS"))
     return r.filter(~((k == 1) & (d % 7 == 0))).select(
         F.col("ingestion_run_id").alias("run_id"),
         "requested_trade_date",

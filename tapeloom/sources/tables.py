@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,6 +32,11 @@ def read_snapshot(spark: SparkSession, file: str, code: str) -> DataFrame:
     return rows.orderBy("time_utc") if "time_utc" in rows.columns else rows
 
 
+def read_raw(spark: SparkSession, root: str) -> DataFrame:
+    """Raw captures of any kind as they were delivered, columns of all files together."""
+    return spark.read.option("mergeSchema", "true").parquet(root)
+
+
 def read_option_contracts(spark: SparkSession, root: str) -> DataFrame:
     return _scan(spark, root, schemas.OPTION_CONTRACTS)
 
@@ -65,29 +71,52 @@ def write_option_volatility(df: DataFrame, path: str, start: str, end: str) -> N
 
 
 def write_calendar(df: DataFrame, path: str) -> None:
-    """Append calendar rows by scope."""
-    _append(df.withColumns({"by_scope": F.col("scope_type"), "by_value": F.col("scope_value")}), path, "by_scope", "by_value")
+    """Append calendar rows by scope and requested range."""
+    parts = {"by_scope": "scope_type", "by_value": "scope_value", "by_start": "requested_start_date", "by_end": "requested_end_date"}
+    _append(df.withColumns({k: F.col(v) for k, v in parts.items()}), path, *parts)
+
+
+def write_raw(df: DataFrame, path: str, run_id: str, **parts: str) -> None:
+    """Append delivered rows as they are, by the parameters of the request and the run."""
+    by = {**parts, "by_run": run_id}
+    _append(df.withColumns({k: F.lit(v) for k, v in by.items()}), path, *by)
 
 
-def write_canonical(df: DataFrame, path: str, order: tuple[str, ...] = ("event_time", "canonical_bar_key")) -> None:
+def write_canonical(df: DataFrame, path: str, order: tuple[str, ...] = ("event_time", "canonical_bar_key"), mode: str = "errorifexists") -> None:
     """Canonical bars or gaps, one sorted run of rows for each interval, adjustment, code and date."""
     keys = [c for c in ("interval", "adjustment", "code", "market_calendar_date") if c in df.columns]
-    df.repartition(*keys).sortWithinPartitions(*keys, *order).write.mode("errorifexists").option("compression", "zstd").partitionBy(*keys).parquet(path)
+    df.repartition(*keys).sortWithinPartitions(*keys, *order).write.mode(mode).option("compression", "zstd").partitionBy(*keys).parquet(path)
 
 
-def write_gaps(df: DataFrame, path: str) -> None:
-    write_canonical(df, path, ("previous_event_time", "gap_id"))
+def write_gaps(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    write_canonical(df, path, ("previous_event_time", "gap_id"), mode)
 
 
-def write_resolution(df: DataFrame, path: str) -> None:
+def write_resolution(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Selected and discarded sources as JSON lines."""
-    df.write.mode("errorifexists").json(path)
+    df.write.mode(mode).json(path)
+
+
+def write_manifest(spark: SparkSession, path: str, facts: dict[str, str]) -> None:
+    """Say that what lies at path is whole: a table of facts, written after everything else."""
+    spark.createDataFrame(sorted(facts.items()), "name string, value string").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """The facts of a finished build, or None where there is none or it was not finished."""
+    try:
+        rows = spark.read.schema("name string, value string").parquet(f"{path}/manifest").collect()  # a few facts
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return dict(map(tuple, rows)) or None
 
 
-def write_dataset(df: DataFrame, path: str) -> None:
+def write_dataset(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A finished dataset: rows in the order of code, feature_window_close and sample_key over all files."""
     order = ("code", "feature_window_close", "sample_key")
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).option("compression", "zstd").parquet(path)
 
 
 def verified_dataset(spark: SparkSession, path: str, expected_id: str, schema: StructType | None = None) -> DataFrame:
