@@ -1,12 +1,14 @@
-"""The dataset job: canonical bars to a split dataset."""
+"""The dataset job: from captures of bars to a split dataset, stopped by the first rule that does not hold."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tapeloom.operators import dataset, features, labels, pit, samples, splits
+from tapeloom.guards import require_empty
+from tapeloom.operators import canonical, coverage, dataset, features, labels, pit, samples, splits
 
 
 @dataclass(frozen=True)
@@ -34,17 +36,69 @@ class Build:
     labels: DataFrame
     assigned: DataFrame
     rows: DataFrame
-    notes: dict[str, str] = field(default_factory=dict)
 
 
-def build(bars: DataFrame, spec: BuildSpec) -> Build:
-    """bars are canonical rows (operators.canonical.canonical_bars)."""
+def build(bars: DataFrame, spec: BuildSpec, store: str | None = None) -> Build:
+    """bars are canonical rows (operators.canonical.canonical_bars).
+
+    The association feeds features, labels and all guards; with store, a folder, it is written there once and read again.
+    """
     reqs = samples.requests(bars, seconds=spec.seconds, feature_bars=spec.feature_bars, label_bars=spec.label_bars, stride=spec.stride)
     found = pit.candidates(bars, reqs, spec.as_of)
     assoc = pit.association(found)
+    if store is not None:
+        assoc.write.mode("overwrite").parquet(f"{store}/association")
+        assoc = assoc.sparkSession.read.schema(assoc.schema).parquet(f"{store}/association")
     gathered = features.gathered(features.with_bars(assoc, bars))
     f = features.execute(gathered, list(spec.features), spec.seconds)
     y = labels.execute(gathered, list(spec.labels), spec.seconds)
     assigned = splits.assigned(dataset.split_samples(reqs, features.sample_status(f), labels.sample_status(y)), spec.split)
-    rows = dataset.rows(assigned, f, y, [s.name for s in spec.features], [s.name for s in spec.labels])
+    kinds = {s.name: labels.KINDS[s.transform] for s in spec.labels if s.transform in labels.KINDS}
+    rows = dataset.rows(assigned, f, y, [s.name for s in spec.features], [s.name for s in spec.labels], kinds)
     return Build(reqs, found, assoc, f, y, assigned, rows)
+
+
+def require_sound(b: Build, bars: DataFrame, symbols: DataFrame, dates: DataFrame) -> None:
+    """All rules of a build: one bar for each event, requests unique and inside the scope, every row in its sample's window and known at its close, labels on the anchor's date, each sample once."""
+    samples.require_unique(bars)
+    samples.require_unique_keys(b.requests)
+    pit.require_same_day_labels(b.association)
+    features.require_row_contract(b.association, b.requests)
+    labels.require_row_contract(b.association, b.requests)
+    splits.require_unique_samples(b.assigned)
+    dataset.require_bound(b.requests, symbols, dates, b.association, b.assigned)
+
+
+@dataclass
+class Dataset:
+    """What a job leaves: the stored dataset, its completion over the scope and one row of balances."""
+
+    dataset_id: str
+    path: str
+    completion: DataFrame
+    diagnostics: DataFrame
+
+
+def run(captures: DataFrame, runs: DataFrame, quality: DataFrame, key: coverage.RequestKey, spec: BuildSpec, symbols: DataFrame, dates: DataFrame, root: str, hashes: DataFrame | None = None) -> Dataset:
+    """The whole job under root: the newest complete snapshot of each item, canonical bars, samples, features, labels, splits, one stored dataset.
+
+    captures are curated bars with snapshot_file; symbols (code) and dates (trade_date) are the scope. Rows that break the
+    contract of a canonical input, captures of one bar that differ, and every rule of require_sound() stop the job before
+    anything but intermediate tables is written.
+    """
+    chosen = coverage.latest_complete_snapshots(captures, runs, quality, key)
+    inputs = canonical.snapshot_inputs(captures, chosen, hashes)
+    require_empty(canonical.violations(inputs, key.interval, key.adjustment).select("code", "requested_trade_date", "time_utc", "violation"), "a row breaks the contract of canonical bars")
+    ranked = canonical.candidates(inputs)
+    canonical.require_no_conflicts(ranked)
+    bars = samples.in_scope(canonical.canonical_bars(ranked), interval=key.interval, adjustment=key.adjustment, session=key.session, symbols=symbols, dates=dates)
+    bars.write.mode("overwrite").parquet(f"{root}/work/bars")
+    bars = bars.sparkSession.read.schema(bars.schema).parquet(f"{root}/work/bars")
+    b = build(bars, spec, f"{root}/work")
+    require_sound(b, bars, symbols, dates)
+    balances = dataset.diagnostics(b.assigned, b.requests)
+    uneven = (F.col("n_rows") != F.col("n_assigned") + F.col("n_purged") + F.col("n_excluded")) | (F.col("n_assigned") != F.col("n_train") + F.col("n_validation") + F.col("n_test"))
+    require_empty(balances.filter(uneven), "the balances of the dataset do not add up")
+    own, path = dataset.materialize(b.rows, f"{root}/datasets")
+    done = dataset.completion(symbols, dates, b.requests, features.sample_status(b.features), labels.sample_status(b.labels))
+    return Dataset(own, path, done, balances)

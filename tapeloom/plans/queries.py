@@ -86,7 +86,7 @@ def bars_head(spark, sf_dir):
 @query
 def bar_quality(spark, sf_dir):
     k = F.substring("ingestion_run_id", 5, 1).cast("long")
-    rows = derived.captures(spark, sf_dir).withColumn("ingest_seq", k * 10**10 + F.unix_seconds("time_utc"))
+    rows = derived.bent(derived.captures(spark, sf_dir)).withColumn("ingest_seq", k * 10**10 + F.unix_seconds("time_utc"))
     return quality.bar_quality(rows)
 
 
@@ -133,7 +133,8 @@ def calendar_normalized(spark, sf_dir):
 @query
 def calendar_quality(spark, sf_dir):
     raw = derived.table(spark, sf_dir, "orders").select(
-        F.lit("MARKET").alias("scope_type"), F.lit("US").alias("scope_value"), F.to_date("o_orderdate").alias("trade_date"), F.col("o_orderstatus").alias("trade_date_type"),
+        F.when(F.col("o_orderkey") % 50 == 0, "OTHER").otherwise("MARKET").alias("scope_type"), F.when(F.col("o_orderkey") % 60 == 0, " ").otherwise("US").alias("scope_value"),
+        F.when(F.col("o_orderkey") % 90 != 0, F.to_date("o_orderdate")).alias("trade_date"), F.when(F.col("o_orderkey") % 70 == 0, "").when(F.col("o_orderkey") % 110 != 0, F.col("o_orderstatus")).alias("trade_date_type"),
         F.lit("feed").alias("source"), F.lit("2024-01-01").cast("timestamp").alias("captured_at"), F.col("o_orderkey").alias("ingest_seq"),
     )
     return quality.calendar_quality(raw, "1995-01-01", "2000-12-31")
@@ -181,8 +182,10 @@ def _contracts(spark, sf_dir):
         key.alias("ingest_seq"),
     )
     at = lambda t: F.lit(t).cast("timestamp")
-    first = normalize.normalize_option_contracts(raw.filter(key % 2 == 0), underlying_code="US.X", captured_at=at("2024-01-02"), source="feed", schema_version="1", run_id="o1")
-    second = normalize.normalize_option_contracts(raw.filter(key % 3 == 0), underlying_code="US.X", captured_at=at("2024-01-03"), source="feed", schema_version="1", run_id="o2")
+    # A first delivery of all contracts, and a second with other names and lots.
+    again = raw.withColumns({"name": F.upper("name"), "lot_size": (F.col("lot_size").cast("int") + 1).cast("string")})
+    first = normalize.normalize_option_contracts(raw, underlying_code="US.X", captured_at=at("2024-01-02"), source="feed", schema_version="1", run_id="o1")
+    second = normalize.normalize_option_contracts(again, underlying_code="US.X", captured_at=at("2024-01-03"), source="feed", schema_version="1", run_id="o2")
     return first.unionByName(second)
 
 
@@ -198,7 +201,12 @@ def option_contracts_latest(spark, sf_dir):
 
 @query
 def option_contract_quality(spark, sf_dir):
-    return quality.option_contract_quality(_contracts(spark, sf_dir))
+    n = F.regexp_extract("option_code", r"(\d{6})$", 1).cast("int") / 1000
+    bent = _contracts(spark, sf_dir).withColumns({
+        "underlying_code": F.when(n % 19 == 0, " ").otherwise(F.col("underlying_code")), "option_type": F.when(n % 23 == 0, "BOTH").when(n % 29 != 0, F.col("option_type")), "strike_price": F.when(n % 31 == 1, F.lit(float("nan"))).otherwise(F.col("strike_price")),
+    })
+    blank = bent.filter(n % 37 == 0).withColumn("option_code", F.lit(" "))
+    return quality.option_contract_quality(bent.unionByName(blank).unionByName(bent.filter(n % 41 == 0)))
 
 
 def _volatility(spark, sf_dir):
@@ -216,7 +224,9 @@ def option_volatility(spark, sf_dir):
 
 @query
 def option_volatility_quality(spark, sf_dir):
-    return quality.option_volatility_quality(_volatility(spark, sf_dir), "1996-01-01", "1996-12-31")
+    rows = _volatility(spark, sf_dir)
+    undated = rows.filter("volatility_status = 3").withColumn("trade_date", F.lit(None).cast("date"))
+    return quality.option_volatility_quality(rows.unionByName(rows.filter("volatility_status = 1")).unionByName(undated), "1995-12-01", "1996-11-30")
 
 
 @query
@@ -226,7 +236,9 @@ def option_volatility_coverage(spark, sf_dir):
 
 @query
 def option_volatility_latest(spark, sf_dir):
-    return latest.latest_volatility(_volatility(spark, sf_dir)).groupBy("option_code").agg(F.count("*").alias("n_days"))
+    first = _volatility(spark, sf_dir)
+    second = first.filter("volatility_status < 3").withColumns({"captured_at": F.lit("2024-01-03").cast("timestamp"), "ingestion_run_id": F.lit("w"), "implied_volatility": F.col("implied_volatility") + 1})
+    return latest.latest_volatility(first.unionByName(second)).select("option_code", "trade_date", _nine("implied_volatility"), "ingestion_run_id", "captured_at")
 
 
 @query
@@ -281,7 +293,17 @@ def latest_completed_dates(spark, sf_dir):
 
 def _items(spark, sf_dir):
     bars, runs, q, days = _state(spark, sf_dir)
-    return coverage.coverage_state(bars, runs, q, KEY, bars.select("code"), days)
+    symbols = bars.select("code").union(spark.createDataFrame([("unseen",)], "code string"))
+    return coverage.coverage_state(bars, runs, q, KEY, symbols, days)
+
+
+@query
+def coverage_totals(spark, sf_dir):
+    whole = spark.sql("SELECT DATE'2024-01-01' AS start, DATE'2024-01-31' AS end")
+    states = _items(spark, sf_dir)[0]
+    covered = coverage.audit_totals(states, coverage.calendar_gaps(whole, whole)).withColumn("calendar", F.lit("whole"))
+    part = spark.sql("SELECT DATE'2024-01-03' AS start, DATE'2024-01-20' AS end")
+    return covered.unionByName(coverage.audit_totals(states, coverage.calendar_gaps(whole, part)).withColumn("calendar", F.lit("part")))
 
 
 @query
@@ -291,8 +313,17 @@ def coverage_audit(spark, sf_dir):
 
 @query
 def bar_inventory(spark, sf_dir):
+    # A second request of the same bars, which no run completes, and legacy rows without a version.
     bars, runs, q, _ = _state(spark, sf_dir)
-    return coverage.inventory(bars, coverage.completed_items(bars, runs, q, KEY))
+    other = bars.filter("code = 'view'").withColumn("adjustment", F.lit("QFQ"))
+    legacy = bars.filter("code = 'click'").withColumn("source_schema_version", F.lit(None).cast("string"))
+    every = bars.unionByName(other).unionByName(legacy)
+    return coverage.inventory(every, coverage.completed_by_request(every, runs, q))
+
+
+@query
+def bar_inventory_totals(spark, sf_dir):
+    return coverage.inventory_totals(derived.captures(spark, sf_dir))
 
 
 @query
@@ -311,9 +342,17 @@ def incremental_starts(spark, sf_dir):
 # Intraday integrity
 
 
-def _audited(spark, sf_dir):
+EXPECTED = {"interval": "60m", "adjustment": "NONE", "requested_session": "ALL", "source_schema_version": "1"}
+
+
+def _chosen(spark, sf_dir):
     bars, runs, q, _ = _state(spark, sf_dir)
-    return intraday.snapshot_rows(bars, coverage.latest_complete_snapshots(bars, runs, q, KEY))
+    return coverage.latest_complete_snapshots(bars, runs, q, KEY)
+
+
+def _audited(spark, sf_dir):
+    """The chosen snapshots' rows with faults of every kind."""
+    return intraday.snapshot_rows(derived.bent(derived.captures(spark, sf_dir)), _chosen(spark, sf_dir))
 
 
 @query
@@ -323,13 +362,19 @@ def intraday_segments(spark, sf_dir):
 
 @query
 def intraday_gaps(spark, sf_dir):
+    return intraday.gaps(_audited(spark, sf_dir), HOUR)
+
+
+@query
+def intraday_gap_details(spark, sf_dir):
     return intraday.gaps(_audited(spark, sf_dir), HOUR, most=2)
 
 
 @query
 def intraday_checks(spark, sf_dir):
-    expected = {"interval": "60m", "adjustment": "NONE", "requested_session": "ALL", "source_schema_version": "1"}
-    return intraday.checks(_audited(spark, sf_dir), expected, HOUR)
+    # An item whose snapshot has no row at all stands for an empty file.
+    chosen = _chosen(spark, sf_dir).select("code", "requested_trade_date").union(spark.sql("SELECT 'unseen', DATE'2024-01-05'"))
+    return intraday.checks(_audited(spark, sf_dir), EXPECTED, HOUR, chosen)
 
 
 @query
@@ -339,10 +384,7 @@ def intraday_sessions(spark, sf_dir):
 
 @query
 def intraday_summary(spark, sf_dir):
-    bars, runs, q, _ = _state(spark, sf_dir)
-    expected = {"interval": "60m", "adjustment": "NONE", "requested_session": "ALL", "source_schema_version": "1"}
-    chosen = coverage.latest_complete_snapshots(bars, runs, q, KEY)
-    return intraday.audit(bars, chosen, _items(spark, sf_dir)[0], expected, HOUR)[2]
+    return intraday.audit(derived.bent(derived.captures(spark, sf_dir)), _chosen(spark, sf_dir), _items(spark, sf_dir)[0], EXPECTED, HOUR)[2]
 
 
 # Canonical reconciliation
@@ -359,10 +401,26 @@ def _canonical(spark, sf_dir):
 @query
 def canonical_violations(spark, sf_dir):
     rows = derived.captures(spark, sf_dir)
-    bent = rows.withColumn("session", F.when(F.col("volume") == 1, "REGULAR").otherwise(F.col("session"))).withColumn("open", F.when(F.col("volume") == 2, F.lit(float("nan"))).otherwise(F.col("open")))
+    v = F.dayofmonth("requested_trade_date")
+    bent = rows.withColumns({
+        "code": F.when(v == 1, " ").otherwise(F.col("code")), "interval": F.when(v == 2, "1m").otherwise(F.col("interval")), "adjustment": F.when(v == 3, "QFQ").otherwise(F.col("adjustment")),
+        "time_market": F.when(v == 5, F.lit(None).cast("timestamp")).otherwise(F.col("time_market")), "market_calendar_date": F.when(v == 6, F.date_add("market_calendar_date", 1)).otherwise(F.col("market_calendar_date")),
+        "session": F.when((v == 7) | (F.col("volume") == 1), "REGULAR").otherwise(F.col("session")), "open": F.when(F.col("volume") == 2, F.lit(float("nan"))).otherwise(F.col("open")),
+        "turnover": F.when(v == 9, F.lit(float("inf"))).when(v == 10, F.lit(1.0)), "time_utc": F.when(v != 4, F.col("time_utc")),
+    })
     return canonical.violations(bent, "60m", "NONE").groupBy("violation").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def canonical_from_snapshots(spark, sf_dir):
+    """Canonical bars of complete snapshots alone, with the end of their runs as the archive's clock."""
+    captured = derived.captures(spark, sf_dir)
+    hashes = captured.select(F.col("snapshot_file").alias("path"), F.sha2(F.concat(F.lit("content of "), "snapshot_file").cast("binary"), 256).alias("sha256")).distinct()
+    ranked = canonical.candidates(canonical.snapshot_inputs(captured.drop("physical_snapshot_hash"), _chosen(spark, sf_dir), hashes))
+    canonical.require_no_conflicts(ranked)
+    return canonical.canonical_bars(ranked).select("canonical_bar_key", "canonical_row_version_id", "code", "event_time", "archive_available_at", "close", "ingestion_run_id")
+
+
 @query
 def canonical_bars(spark, sf_dir):
     return _canonical(spark, sf_dir).select("canonical_bar_key", "canonical_row_version_id", "code", "event_time", "market_available_at", "archive_available_at", "open", "high", "low", "close", "volume", "session")
@@ -386,7 +444,7 @@ def canonical_provenance(spark, sf_dir):
 
 @query
 def canonical_source_count(spark, sf_dir):
-    return _ranked(spark, sf_dir).groupBy("code").agg(F.count_distinct("requested_trade_date", "ingestion_run_id", "snapshot_file").alias("n_sources"))
+    return canonical.source_count(_ranked(spark, sf_dir))
 
 
 @query
@@ -406,8 +464,7 @@ def canonical_gap_boundaries(spark, sf_dir):
 
 @query
 def snapshot_hash_groups(spark, sf_dir):
-    h = canonical.snapshot_hashes(derived.captures(spark, sf_dir))
-    return h.groupBy("code").agg(F.count("*").alias("n_snapshots"), F.count_distinct("logical_source_rows_hash").alias("n_hashes"))
+    return canonical.snapshot_hashes(derived.captures(spark, sf_dir))
 
 
 @query
@@ -459,11 +516,12 @@ def sample_requests(spark, sf_dir):
 
 @query
 def sample_shortfalls(spark, sf_dir):
-    bars = _canonical(spark, sf_dir)
-    return samples.contiguous(bars, HOUR).groupBy("code").agg(
-        F.count_if(F.col("position") == 0).alias("n_segments"), F.count_if((F.col("position") == 0) & (F.col("segment_bars") < 3)).alias("n_short_segments"),
-        F.count_if((F.col("position") >= 2) & (F.col("position") + 2 >= F.col("segment_bars"))).alias("n_unlabelled_anchors"),
-    )
+    return samples.shortfalls(_canonical(spark, sf_dir), seconds=HOUR, feature_bars=3, label_bars=2)
+
+
+@query
+def sample_requests_apart(spark, sf_dir):
+    return samples.requests(_canonical(spark, sf_dir), seconds=HOUR, feature_bars=2, label_bars=1, stride=2).select("sample_key", "code", "feature_window_close", "label_window_close")
 
 
 @query
@@ -476,6 +534,8 @@ def pit_association(spark, sf_dir):
 def pit_diagnostics(spark, sf_dir):
     bars = _canonical(spark, sf_dir)
     reqs = samples.requests(bars, seconds=HOUR, feature_bars=3, label_bars=2)
+    # Windows that close before their last bar is known.
+    reqs = reqs.withColumns({c: F.col(c) - F.expr("interval 30 minutes") for c in ("feature_window_close", "label_window_close")})
     return pit.diagnostics(pit.candidates(bars, reqs, AS_OF), reqs)
 
 
@@ -487,13 +547,13 @@ def pit_known_gaps(spark, sf_dir):
     reqs = bars.select("code", "interval", "adjustment", "requested_session", F.to_date("event_time").alias("anchor_market_calendar_date"), day.alias("feature_window_start"), (day + F.expr("interval 20 hours")).alias("feature_window_close"),
                        (day + F.expr("interval 20 hours")).alias("label_window_start"), (day + F.expr("interval 24 hours")).alias("label_window_close")).distinct()
     reqs = reqs.withColumn("sample_key", F.concat_ws("-", "code", "anchor_market_calendar_date"))
-    known = pit.known_gaps(pit.gap_facts(_bounded_gaps(spark, sf_dir)), reqs, AS_OF)
+    known = pit.known_gaps(pit.gap_facts(_bounded_gaps(spark, sf_dir)), reqs, "2024-02-01 02:30:00")
     return known.withColumn("gap_ids", F.array_join("gap_ids", ","))
 
 
 @query
 def sample_versions(spark, sf_dir):
-    return pit.sample_versions(_build(spark, sf_dir).association).agg(F.count("*").alias("n_samples"), F.count_distinct("sample_version_id").alias("n_versions"))
+    return pit.sample_versions(_build(spark, sf_dir).association)
 
 
 @query
@@ -539,6 +599,15 @@ def split_counts(spark, sf_dir):
     return splits.split_counts(_build(spark, sf_dir).assigned)
 
 
+@query
+def split_edges(spark, sf_dir):
+    """Samples that end near the splits' boundaries, some with incomplete labels, some after the last split."""
+    t = F.col("event_time")
+    some = _canonical(spark, sf_dir).select(F.concat_ws("@", "code", F.date_format(t, "yyyyMMddHH")).alias("sample_key"), (t + F.expr("interval 1 hour")).alias("feature_window_close"),
+                                            F.when(F.hour(t) % 5 == 0, "INCOMPLETE").otherwise("COMPLETE").alias("label_status"), F.when(F.hour(t) % 7 != 0, t + F.expr("interval 6 hours")).alias("actual_label_end_time"))
+    return splits.assigned(some, SPEC.split)
+
+
 @query
 def split_mismatches(spark, sf_dir):
     b = _build(spark, sf_dir)
@@ -550,7 +619,8 @@ def split_mismatches(spark, sf_dir):
 def dataset_rows(spark, sf_dir):
     names = [s.name for s in (*FEATURES, *LABELS)]
     rows = _build(spark, sf_dir).rows
-    return rows.select("code", "sample_key", "feature_window_close", "label_status", *(_nine(n) for n in names), "final_split", "assignment_status")
+    own = (F.col(n) if n == "forward_direction" else _nine(n) for n in names)
+    return rows.select("code", "sample_key", "feature_window_close", "label_status", *own, "final_split", "assignment_status")
 
 
 @query
@@ -563,10 +633,7 @@ def dataset_completion(spark, sf_dir):
 @query
 def dataset_diagnostics(spark, sf_dir):
     b = _build(spark, sf_dir)
-    return b.assigned.groupBy("code").agg(
-        F.count("*").alias("n_rows"), F.count_if(F.col("assignment_status") == "ASSIGNED").alias("n_assigned"), F.count_if(F.col("assignment_status") == "PURGED").alias("n_purged"),
-        F.count_if(F.col("assignment_status") == "EXCLUDED").alias("n_excluded"), F.count_if(F.col("final_split") == "TRAIN").alias("n_train"),
-    )
+    return dataset.diagnostics(b.assigned, b.requests)
 
 
 def _catalog(spark, sf_dir):

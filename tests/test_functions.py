@@ -71,7 +71,7 @@ def test_codes(spark):
 
 
 def test_digest_and_content_id(spark):
-    own = hashlib.sha256("=a\x1f~\x1f=1".encode()).hexdigest()
+    own = hashlib.sha256("1=a\x1f~\x1f1=1".encode()).hexdigest()
     assert values(spark.range(1).select(identity.digest(F.lit("a"), F.lit(None).cast("string"), F.lit(1)))) == [(own,)]
     df = spark.createDataFrame([(i, float(i), None if i % 3 else "x") for i in range(200)], "a long, b double, c string")
     one = identity.content_id(df).first()[0]
