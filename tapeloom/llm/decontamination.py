@@ -12,8 +12,10 @@ starts, so a window is found if any stretch of a few words of it survives unedit
 that no sampled step sees) in any table; the window then begins that much earlier.
 
 A walk that leaves its item says nothing of it. Items too short for a walk are in no table: they are
-searched for exactly, at every place. Of most + 1 pieces of such an item one stands unedited in any
-window within `most` edits, and where one stands the distance is measured, many places at a time.
+searched for exactly, at every place. An edit touches three trigrams at most, so a window within
+`most` edits of an item of m characters holds m - 2 - 3 * most of its trigrams; they are counted for
+many items in one pass over the text, and where there are enough the distance is measured, many
+places at a time. Where that number says too little, of most + 1 pieces of the item one stands unedited.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,12 @@ _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
-#: Code points that one column of the exact search takes: more than a short item and its edits.
-_STRIDE = 128
+#: Code points that one column of the exact search takes.
+_STRIDE = 16
+#: What stands before the first text in the exact search: more than a short item and its edits.
+_LEAD = 128
+#: Least number of trigrams that is worth counting.
+_FEW = 2
 #: What stands between texts in the exact search; no code point.
 _NONE = 0x110000
 
@@ -87,36 +94,81 @@ def edit_distance_within(item: str, window: str, most: int) -> tuple[int, int] |
     return best if best[0] <= most else None
 
 
-def _ends_within(item: str, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ends, edits) of all parts of codes at most `most` edits from item (63 code points at most), by the end.
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
-    codes must begin with a stride of _NONE and be whole strides long.
+
+def _trigrams(codes: np.ndarray) -> np.ndarray:
+    """A 16-bit hash of the trigram from each place but the last two; equal trigrams have equal hashes."""
+    h = codes[:-2] * np.uint32(0x9E3779B1) + codes[1:-1] * np.uint32(0x85EBCA6B) + codes[2:] * np.uint32(0xC2B2AE35)
+    return (h >> np.uint32(16)).astype(np.uint16)
+
+
+def _near_trigrams(items: list[tuple[str, int]], codes: np.ndarray) -> Iterator[np.ndarray]:
+    """For each (item, most), the columns of codes in which a window within most edits may end: enough of the item's trigrams stand there.
+
+    Hash collisions and repeated trigrams only add columns.
     """
-    m = len(item)
-    own = np.frombuffer(item.encode("utf-32-le"), dtype=np.uint32)
+    n = len(codes) // _STRIDE
+    grams, some = _trigrams(codes), max(1, min(64, (1 << 21) // n))
+    for k in range(0, len(items), some):
+        part = items[k : k + some]
+        own = [np.unique(_trigrams(_codes(x))) for x, _ in part]
+        pairs = np.concatenate(own)
+        order = np.argsort(pairs, kind="stable")
+        holders = np.repeat(np.arange(len(part)), [len(x) for x in own])[order]
+        n_holders = np.bincount(pairs, minlength=1 << 16)
+        from_ = np.cumsum(n_holders) - n_holders
+        at = np.flatnonzero((n_holders > 0)[grams])
+        gram = grams[at]
+        times = n_holders[gram]
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        column = np.repeat(at // _STRIDE, times)
+        counts = np.bincount(holders[np.repeat(from_[gram], times) + nth] * n + column, minlength=len(part) * n).reshape(len(part), n)
+        for (item, most), count in zip(part, counts, strict=True):
+            spans = (len(item) + most - 2) // _STRIDE + 2  # columns that a window may touch
+            total = np.convolve(count, np.ones(spans, dtype=np.int64))[spans - 1 :]  # of a column and those behind it
+            begins = total >= len(item) - 2 - 3 * most
+            wanted = np.zeros(n, dtype=bool)
+            for j in range(max(0, len(item) - most - 1) // _STRIDE, min(n, spans)):  # a window is no shorter than len(item) - most
+                wanted[j:] |= begins[: n - j]
+            yield wanted
+
+
+def _near_pieces(item: str, most: int, codes: np.ndarray) -> np.ndarray:
+    """The columns of codes in which a window within most edits of item may end: one of most + 1 pieces of it stands there."""
+    m, own = len(item), _codes(item)
     wanted = np.zeros(len(codes) // _STRIDE, dtype=bool)
     cuts = [m * i // (most + 1) for i in range(most + 2)]
     for a, b in zip(cuts, cuts[1:]):
         if a == b:
-            wanted[1:] = True
-            break
+            return ~wanted
         at = np.flatnonzero(codes[: len(codes) - (b - a) + 1] == own[a])
         for j in range(1, b - a):
             at = at[codes[at + j] == own[a + j]]
-        wanted[at // _STRIDE] = True
-        wanted[np.minimum((at + m + most) // _STRIDE, len(wanted) - 1)] = True
-    wanted[0] = False  # nothing but _NONE stands there
-    masks = np.zeros(_NONE + 1, dtype=np.uint64)
-    for i, c in enumerate(own):
+        for behind in [*range(0, m + most, _STRIDE), m + most]:
+            wanted[np.minimum((at + behind) // _STRIDE, len(wanted) - 1)] = True
+    return wanted
+
+
+def _ends_within(item: str, letters: np.ndarray, alphabet: np.ndarray, most: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ends, edits) of the parts of a text at most `most` edits from item (63 code points at most) that end in a wanted column.
+
+    letters are the text's places in alphabet, len(alphabet) where it has none; they must begin with _LEAD of that and be whole columns long.
+    """
+    m = len(item)
+    masks = np.zeros(len(alphabet) + 1, dtype=np.uint64)
+    for i, c in enumerate(np.searchsorted(alphabet, _codes(item))):
         masks[c] |= np.uint64(1 << i)
     one, top, lead, ends, edits = np.uint64(1), np.uint64(m - 1), m + most, [], []
-    columns = np.flatnonzero(wanted) * _STRIDE - lead
+    columns = np.flatnonzero(wanted) * _STRIDE
+    columns = columns[columns >= _LEAD] - lead  # before _LEAD nothing but _NONE stands
     for k in range(0, len(columns), 4096):
         first = columns[k : k + 4096]
         up, down = np.full(len(first), 2**64 - 1, dtype=np.uint64), np.zeros(len(first), dtype=np.uint64)
         score = np.full(len(first), m, dtype=np.int64)
         for t in range(lead + _STRIDE):
-            eq = masks[codes[first + t]]
+            eq = masks[letters[first + t]]
             diagonal = ((eq & up) + up ^ up) | eq | down
             plus, minus = down | ~(diagonal | up), up & diagonal
             score += (plus >> top & one).astype(np.int64) - (minus >> top & one).astype(np.int64)
@@ -228,26 +280,40 @@ class Index:
             return best
         # Code points with more of _NONE between texts than any short item may have edits.
         chars = np.r_[0, np.cumsum(data & 0xC0 != 0x80)][cuts]
-        gap = 1 + max(int(share * len(self.texts[i])) for i in self.short)
-        origin = _STRIDE + chars[:-1] + gap * np.arange(len(chars) - 1)
+        most = {i: int(share * len(self.texts[i])) for i in self.short}
+        gap = 1 + max(most.values())
+        origin = _LEAD + chars[:-1] + gap * np.arange(len(chars) - 1)
         codes = np.full(-(-(origin[-1] + chars[-1] - chars[-2] + 1) // _STRIDE) * _STRIDE, _NONE, dtype=np.uint32)
-        codes[np.arange(chars[-1]) + np.repeat(origin - chars[:-1], np.diff(chars))] = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
+        codes[np.arange(chars[-1]) + np.repeat(origin - chars[:-1], np.diff(chars))] = _codes(data.tobytes().decode())
         whole = lambda row: data[cuts[row] : cuts[row + 1]].tobytes().decode()
-        for i in self.short:
-            item = self.texts[i]
-            most = int(share * len(item))
-            nearest: dict[int, tuple[int, int]] = {}
-            if len(item) > 63 or len(item) + most >= _STRIDE:  # much white space before a short word, or a share near 1
-                nearest = {row: got for row in range(len(origin)) if (got := edit_distance_within(item, whole(row), most))}
-            else:
-                ends, edits = _ends_within(item, codes, most)
+        # Much white space before a short word, or a share near 1: one text at a time.
+        plain = [i for i in self.short if len(self.texts[i]) > 63 or len(self.texts[i]) + most[i] >= _LEAD]
+        counted = [i for i in self.short if i not in plain and len(self.texts[i]) - 2 - 3 * most[i] >= _FEW]
+        pieces = [i for i in self.short if i not in plain and i not in counted]
+
+        alphabet = np.unique(_codes("".join(self.texts[i] for i in self.short)))
+        place = np.full(_NONE + 1, len(alphabet), dtype=np.int32)
+        place[alphabet] = np.arange(len(alphabet))
+        letters = place[codes]
+
+        def nearest() -> Iterator[tuple[int, dict[int, tuple[int, int]]]]:
+            for i in plain:
+                yield i, {row: got for row in range(len(origin)) if (got := edit_distance_within(self.texts[i], whole(row), most[i]))}
+            columns = chain(_near_trigrams([(self.texts[i], most[i]) for i in counted], codes), (_near_pieces(self.texts[i], most[i], codes) for i in pieces))
+            for i, wanted in zip([*counted, *pieces], columns, strict=True):
+                ends, edits = _ends_within(self.texts[i], letters, alphabet, most[i], wanted)
                 rows = np.searchsorted(origin, ends - 1, "right") - 1
+                got: dict[int, tuple[int, int]] = {}
                 for k in np.lexsort((ends, edits, rows)).tolist():
                     row = int(rows[k])
-                    nearest.setdefault(row, (int(edits[k]), int(min(ends[k] - origin[row], chars[row + 1] - chars[row]))))
-            for row, (edits_, end) in nearest.items():
-                back = edit_distance_within(item[::-1], whole(row)[max(0, end - len(item) - most) : end][::-1], most)
-                best[row, i] = (edits_, end - back[1] if back else max(0, end - len(item)), end)
+                    got.setdefault(row, (int(edits[k]), int(min(ends[k] - origin[row], chars[row + 1] - chars[row]))))
+                yield i, got
+
+        for i, found in nearest():
+            item = self.texts[i]
+            for row, (edits, end) in found.items():
+                back = edit_distance_within(item[::-1], whole(row)[max(0, end - len(item) - most[i]) : end][::-1], most[i])
+                best[row, i] = (edits, end - back[1] if back else max(0, end - len(item)), end)
         return best
 
 
