@@ -13,9 +13,9 @@ NUMBERS = ("open", "high", "low", "close", "volume", "turnover", "last_close", "
 
 
 def keep_last(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each key (null keys are equal): the last ingested."""
+    """One row for each key (null keys are equal): the last ingested; of rows that tie, the one whose columns, in their order, are greatest, null least. Columns must be orderable (no maps)."""
     sequence = [F.desc_nulls_last("ingest_seq")] if "ingest_seq" in df.columns else []
-    w = Window.partitionBy(*keys).orderBy(*sequence, F.desc(F.to_json(F.struct(*df.columns))))
+    w = Window.partitionBy(*keys).orderBy(*sequence, F.desc_nulls_last(F.struct(*df.columns)))
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 

@@ -20,6 +20,11 @@ def instant(t: str) -> str:
     return f"strftime({t}, '%Y-%m-%dT%H:%M:%S.%fZ')"
 
 
+def minute_bars(code: str) -> str:
+    return f"""m0 AS (SELECT CAST({code} AS VARCHAR) AS code, date_trunc('minute', ts) AS t, first(value ORDER BY ts, event_id) AS open, max(value) AS high, min(value) AS low, last(value ORDER BY ts, event_id) AS close, count(*)::DOUBLE AS volume
+  FROM events GROUP BY 1, 2), m AS (SELECT *, CAST(t - INTERVAL 5 HOUR AS DATE) AS day, {session("t")} AS session FROM m0)"""
+
+
 B = """b AS (SELECT event_type AS code, date_trunc('hour', ts) AS t, first(value ORDER BY ts, event_id) AS open, max(value) AS high, min(value) AS low,
   last(value ORDER BY ts, event_id) AS close, count(*)::DOUBLE AS volume FROM events GROUP BY 1, 2)"""
 CAP = f"""{B}, cap AS (SELECT code, t, CAST(t - INTERVAL 5 HOUR AS DATE) AS day, {session("t")} AS session, open, high, low, close,
@@ -231,6 +236,13 @@ ORACLES: dict[str, str] = {
     "sample_segments": f"WITH {SEGMENTS} SELECT code, day AS market_calendar_date, session, t AS first_event_time, n AS segment_bars FROM c3 WHERE pos = 0",
     "sample_requests": f"""WITH {REQUESTS} SELECT sample_key, code, '60m' AS interval, 'NONE' AS adjustment, 'ALL' AS requested_session, day AS anchor_market_calendar_date, f0 AS feature_window_start, f1 AS feature_window_close, l0 AS label_window_start, l1 AS label_window_close FROM reqs""",
     "sample_shortfalls": f"WITH {SEGMENTS} SELECT count(*) FILTER (pos = 0) AS n_segments, count(*) FILTER (pos = 0 AND n < 3) AS n_short_segments, count(*) FILTER (pos >= 2 AND pos + 2 >= n) AS n_unlabelled_anchors FROM c3",
+    "minute_bars": f"""WITH {minute_bars("user_id")} SELECT code, t AS event_time, day AS market_calendar_date, session, open, high, low, close, volume, t + INTERVAL 1 MINUTE AS market_available_at FROM m""",
+    "minute_segments": f"""WITH {minute_bars("event_type")}, s1 AS (SELECT *, CASE WHEN t - lag(t) OVER w = INTERVAL 1 MINUTE THEN 0 ELSE 1 END AS new FROM m WINDOW w AS (PARTITION BY code, day, session ORDER BY t)),
+      s2 AS (SELECT *, sum(new) OVER (PARTITION BY code, day, session ORDER BY t) AS segment FROM s1)
+      SELECT code, day AS market_calendar_date, session, min(t) AS first_event_time, count(*) AS segment_bars FROM s2 GROUP BY code, day, session, segment""",
+    "minute_windows": f"""WITH {minute_bars("event_type")}, x AS (SELECT code || '|' || epoch(t)::BIGINT AS sample_key, count(*) OVER f - 1 AS nf, max(high) OVER (PARTITION BY code ORDER BY t RANGE BETWEEN INTERVAL 29 MINUTE PRECEDING AND INTERVAL 1 MINUTE PRECEDING) AS hf, count(*) OVER l AS nl, max(high) OVER l AS hl FROM m
+      WINDOW f AS (PARTITION BY code ORDER BY t RANGE BETWEEN INTERVAL 29 MINUTE PRECEDING AND CURRENT ROW), l AS (PARTITION BY code ORDER BY t RANGE BETWEEN INTERVAL 1 MINUTE FOLLOWING AND INTERVAL 10 MINUTE FOLLOWING))
+      SELECT sample_key, 'FEATURE' AS role, nf AS n_selected, 1::BIGINT AS n_late, hf AS highest FROM x UNION ALL SELECT sample_key, 'LABEL', nl, 0, hl FROM x WHERE nl > 0""",
     "pit_association": f"""WITH {REQUESTS}, w AS (SELECT sample_key, code, 'FEATURE' AS role, f0 AS a, f1 AS b FROM reqs UNION ALL SELECT sample_key, code, 'LABEL', l0, l1 FROM reqs)
       SELECT sample_key, role, row_number() OVER (PARTITION BY sample_key, role ORDER BY bars.t) - 1 AS position, version AS canonical_row_version_id, bars.t AS event_time FROM w JOIN bars ON bars.code = w.code AND bars.t >= a AND bars.t < b""",
     "pit_diagnostics": f"""WITH {REQUESTS}, w AS (SELECT sample_key, code, 'FEATURE' AS role, f0 AS a, f1 - INTERVAL 30 MINUTE AS b FROM reqs UNION ALL SELECT sample_key, code, 'LABEL', l0, l1 - INTERVAL 30 MINUTE FROM reqs),
@@ -317,6 +329,8 @@ DATES: dict[str, tuple[str, ...]] = {
     "canonical_provenance": ("requested_trade_date",),
     "canonical_gaps": ("market_calendar_date",),
     "sample_segments": ("market_calendar_date",),
+    "minute_bars": ("market_calendar_date",),
+    "minute_segments": ("market_calendar_date",),
     "calendar_gaps": ("start", "end"),
     "sample_requests": ("anchor_market_calendar_date",),
     "split_assignments": ("feature_window_close_date",),

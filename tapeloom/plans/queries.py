@@ -539,6 +539,30 @@ def pit_diagnostics(spark, sf_dir):
     return pit.diagnostics(pit.candidates(bars, reqs, AS_OF), reqs)
 
 
+@query
+def minute_bars(spark, sf_dir):
+    return derived.bars1(spark, sf_dir, "user_id").select("code", "event_time", "market_calendar_date", "session", "open", "high", "low", "close", "volume", "market_available_at")
+
+
+@query
+def minute_segments(spark, sf_dir):
+    rows = samples.contiguous(derived.bars1(spark, sf_dir), 60)
+    return rows.filter("position = 0").select("code", "market_calendar_date", "session", F.col("event_time").alias("first_event_time"), "segment_bars")
+
+
+@query
+def minute_windows(spark, sf_dir):
+    # Each bar asks for the half hour up to it and labels of ten minutes; the feature window closes before its last bar is known.
+    bars = derived.bars1(spark, sf_dir).withColumns({"canonical_bar_key": F.lit("k"), "canonical_row_version_id": F.lit("v")})
+    t, minutes = F.col("event_time"), lambda n: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(n))
+    reqs = bars.select(
+        F.concat_ws("|", "code", F.unix_seconds(t).cast("string")).alias("sample_key"), *pit.SCOPE, F.col("market_calendar_date").alias("anchor_market_calendar_date"), (t - minutes(29)).alias("feature_window_start"),
+        (t + F.expr("interval 30 seconds")).alias("feature_window_close"), (t + minutes(1)).alias("label_window_start"), (t + minutes(11)).alias("label_window_close"),
+    )
+    found = pit.candidates(bars, reqs).groupBy("sample_key", "role")
+    return found.agg(F.count_if(F.col("status") == "SELECTED").alias("n_selected"), F.count_if(F.col("status") == "NOT_MARKET_AVAILABLE").alias("n_late"), F.max(F.when(F.col("status") == "SELECTED", F.col("high"))).alias("highest"))
+
+
 @query
 def pit_known_gaps(spark, sf_dir):
     # Requests of whole days, so that windows hold gaps.

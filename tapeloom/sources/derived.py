@@ -12,14 +12,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bars60(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly bars: code, event_time, open, high, low, close, volume, interval, adjustment, requested_session."""
-    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("code"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
+def _bars(spark: SparkSession, sf_dir: str, code: str, unit: str, interval: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.col(code).cast("string").alias("code"), F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
     order = F.struct("ts", "event_id")
-    bars = e.groupBy("code", F.date_trunc("hour", "ts").alias("event_time")).agg(
+    bars = e.groupBy("code", F.date_trunc(unit, "ts").alias("event_time")).agg(
         F.min_by("value", order).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"), F.max_by("value", order).alias("close"), F.count("*").cast("double").alias("volume")
     )
-    return bars.select("*", F.lit("60m").alias("interval"), F.lit("NONE").alias("adjustment"), F.lit("ALL").alias("requested_session"))
+    return bars.select("*", F.lit(interval).alias("interval"), F.lit("NONE").alias("adjustment"), F.lit("ALL").alias("requested_session"))
+
+
+def bars60(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly bars: code, event_time, open, high, low, close, volume, interval, adjustment, requested_session."""
+    return _bars(spark, sf_dir, "event_type", "hour", "60m")
+
+
+def bars1(spark: SparkSession, sf_dir: str, code: str = "event_type") -> DataFrame:
+    """Bars of one minute by a column of the events, with date, session and the moment the market knows each."""
+    b, t = _bars(spark, sf_dir, code, "minute", "1m"), F.col("event_time")
+    return b.withColumns({"market_calendar_date": mt.market_date(t), "session": mt.session_label(t), "market_available_at": mt.available_at(t, F.lit(60)), "archive_available_at": mt.available_at(t, F.lit(60))})
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
