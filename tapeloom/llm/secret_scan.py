@@ -147,7 +147,7 @@ def redacted(docs: DataFrame, path: str | None = None, mark: str = "[SECRET]", v
     path = path or new_ledger(docs.sparkSession)
     scan(docs, path, version, rules)
     text = F.coalesce(F.col("text"), F.lit(""))
-    taken = set(docs.columns)
+    taken = {c.lower() for c in docs.columns}
     blob, spans = (next(x for x in (name + "_" * n for n in range(len(taken) + 1)) if x not in taken) for name in ("blob", "spans"))
     known = found_blobs(docs.sparkSession, path, version).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
     rows = docs.withColumn(blob, address_of(F.col("text"))).join(known, blob, "left")

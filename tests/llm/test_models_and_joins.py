@@ -431,3 +431,36 @@ def test_sets_do_not_depend_on_batches():
     one = [x.tolist() for x in near_dedup.shingle_sets(pa.array(texts), 4)]
     each = [next(near_dedup.shingle_sets(pa.array([t], pa.string()), 4)).tolist() for t in texts]
     assert one == each and [len(x) for x in one] == [len(shingles(t, 4)) for t in texts]
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path, labelled):
+    """Nulls, repeated and empty rows, a text over several chunks, columns that clash with names used inside, and tables without rows."""
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    item = prose(rng, 30)
+    long = " ".join(prose(rng, 50) for _ in range(2500))
+    texts = [(7001, prose(rng, 40)), (7002, None), (None, prose(rng, 40)), (None, None), (7003, ""), (7004, " \n "), (7005, long), (7006, prose(rng, 9000) + " " + item), (7007, prose(rng, 40)), (7007, prose(rng, 40))]
+    names = ("Blob", "SPANS", "_gone", "digest", "kept", "stays", "score", "batch", "VALUE", "item_id", "predicted")
+    extra = [f"'x' as {c}" for c in names]
+    docs, labels = labelled
+    columns = ["doc_id", "text", "'en' as lang", "'s' as source", "length(text) as n_chars", *extra]
+    odd = spark.createDataFrame(texts, "doc_id long, text string")
+    whole = docs.selectExpr(*columns).union(odd.selectExpr(*columns))
+    for case, rows, marks, items in (("odd", whole, labels, [(0, item), (None, "no id"), (1, None)]), ("none", whole.limit(0), labels.limit(0), [])):
+        sf = tmp_path / case
+        rows.write.parquet(str(sf / "documents.parquet"))
+        marks.withColumn("quality", F.lit(1)).write.parquet(str(sf / "labels.parquet"))
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(str(sf / "benchmark.parquet"))
+        got = spark.read.parquet(str(sf / "documents.parquet"))
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = got.columns
+            stage(spark, got, str(sf)).write.parquet(str(sf / name))
+            got = spark.read.parquet(str(sf / name))
+            assert got.columns == before
+        left = Counter((r.doc_id, r.text) for r in got.collect())
+        if case == "odd":
+            assert all(left[x] == n for x, n in Counter(x for x in texts if x[0] != 7006).items()) and 7006 not in {d for d, _ in left}
+        else:
+            assert not left
+        assert corpus_pipeline.STAGES[-1][1](spark, got, str(sf)).count() >= left.total()
