@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.llm import decontamination, near_dedup, packing, secret_scan, toxicity
-from tapeloom.llm.common import written
+from tapeloom.llm.common import discard, written
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each written and read again."""
+    """All stages over the documents of sf_dir, each written and read again; a stage's table is emptied once the next one is written.
+
+    Defined results: null and empty texts pass all filters; rows without a doc_id stay; repeated rows stay together;
+    an empty documents, labels or benchmark table removes nothing; other columns are kept whatever their names; texts of
+    any length are read whole.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    done: list[DataFrame] = []
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        discard(*done)
+        done = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
