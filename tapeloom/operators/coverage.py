@@ -55,7 +55,7 @@ def present_items(bars: DataFrame, key: RequestKey, dates: DataFrame | None = No
 def snapshot_reasons(bars: DataFrame, runs: DataFrame, quality: DataFrame, key: RequestKey) -> DataFrame:
     """code, requested_trade_date, ingestion_run_id and reason (null: complete) of each captured item: the first rule that fits."""
     items = key.rows(bars).select("code", "requested_trade_date", "ingestion_run_id").distinct()
-    r = runs.select(F.col("run_id").alias("ingestion_run_id"), F.col("status").alias("_status"), F.col("requested_trade_date").alias("_d"), F.col("interval").alias("_i"), F.col("session").alias("_s"), F.col("adjustment").alias("_a"))
+    r = runs.select(F.col("run_id").alias("ingestion_run_id"), F.upper("status").alias("_status"), F.col("requested_trade_date").alias("_d"), F.col("interval").alias("_i"), F.col("session").alias("_s"), F.col("adjustment").alias("_a"))
     bad = failed_runs(quality).select(F.col("run_id").alias("ingestion_run_id"), F.lit(True).alias("_bad"))
     same = F.struct("_d", "_i", "_s", "_a").eqNullSafe(F.struct("requested_trade_date", F.lit(key.interval), F.lit(key.session), F.lit(key.adjustment)))
     reason = (

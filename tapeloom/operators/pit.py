@@ -21,24 +21,32 @@ def _windows(reqs: DataFrame) -> DataFrame:
     return feature.unionByName(label)
 
 
+def _stretch(t, width):
+    """Number of the stretch of 2 ** width seconds that t lies in."""
+    return F.floor(F.unix_micros(t) / (F.lit(1_000_000) * F.pow(F.lit(2.0), width))).cast("long")
+
+
+def _dealt(w: DataFrame) -> DataFrame:
+    """Windows with _width and _at, once for each stretch of time they touch: stretches are about as long as the window (the power of two of seconds that is not shorter), so two at most."""
+    seconds = F.unix_micros("_to") - F.unix_micros("_from")
+    w = w.withColumn("_width", F.greatest(F.ceil(F.log2(F.greatest(seconds, F.lit(1)) / 1_000_000)), F.lit(0)).cast("int"))
+    last = _stretch(F.col("_to") - F.expr("interval 1 microsecond"), F.col("_width"))
+    return w.withColumn("_at", F.explode(F.sequence(_stretch(F.col("_from"), F.col("_width")), last)))
+
+
 def candidates(bars: DataFrame, reqs: DataFrame, as_of=None) -> DataFrame:
     """Bars inside each window with status SELECTED, NOT_MARKET_AVAILABLE or NOT_ARCHIVED.
 
-    Windows are dealt to stretches of time about as long as themselves (the power of two of seconds that is not
-    shorter), of which each touches two at most, and a bar to its stretch of each length that occurs: an equi-join
+    A bar is dealt to its stretch of each length of window that occurs: an equi-join
     on scope, length and stretch with a filter, whose pairs are at most a few times those that are kept. A bar has one
     stretch of a length, so no pair comes twice. A bar must be known to the market when its window closes, in either
     role; as_of, where given, asks that the archive had the bar by then.
     """
-    seconds = F.unix_micros("_to") - F.unix_micros("_from")
-    width = F.greatest(F.ceil(F.log2(F.greatest(seconds, F.lit(1)) / 1_000_000)), F.lit(0)).cast("int")
-    stretch = lambda t, k: F.floor(F.unix_micros(t) / (F.lit(1_000_000) * F.pow(F.lit(2.0), k))).cast("long")
-    w = _windows(reqs).withColumn("_width", width)
-    w = w.withColumn("_at", F.explode(F.sequence(stretch(F.col("_from"), F.col("_width")), stretch(F.col("_to") - F.expr("interval 1 microsecond"), F.col("_width")))))
+    w = _dealt(_windows(reqs))
     values = [c for c in VALUES if c in bars.columns]
     b = bars.select(*SCOPE, "event_time", "market_available_at", "archive_available_at", "market_calendar_date", "canonical_bar_key", "canonical_row_version_id", *values)
     lengths = w.select(*SCOPE, "_width").distinct()  # a few for each scope
-    b = b.join(lengths, SCOPE).withColumn("_at", stretch(F.col("event_time"), F.col("_width")))
+    b = b.join(lengths, SCOPE).withColumn("_at", _stretch(F.col("event_time"), F.col("_width")))
     pairs = w.join(b, [*SCOPE, "_width", "_at"]).filter((F.col("event_time") >= F.col("_from")) & (F.col("event_time") < F.col("_to")))
     late = F.col("market_available_at") > F.col("_to")
     unseen = F.lit(False) if as_of is None else ~F.coalesce(F.col("archive_available_at") <= F.lit(as_of).cast("timestamp"), F.lit(False))
@@ -81,10 +89,15 @@ def gap_facts(gaps: DataFrame) -> DataFrame:
 
 
 def known_gaps(facts: DataFrame, reqs: DataFrame, as_of=None) -> DataFrame:
-    """sample_key, role, gap_ids (sorted) of the gaps that overlap a window and were known by its close to the market, and by as_of to the archive; ALL takes every session."""
-    w = _windows(reqs).withColumn("_day", F.explode(F.sequence(F.to_date("_from"), F.to_date(F.col("_to") - F.expr("interval 1 microsecond")))))
-    g = facts.withColumn("_day", F.explode(F.sequence(F.to_date("missing_from_event_time"), F.to_date("missing_to_event_time"))))
-    pairs = w.join(g, ["code", "interval", "adjustment", "_day"]).filter((F.col("requested_session") == "ALL") | (F.col("requested_session") == F.col("session")))
+    """sample_key, role, gap_ids (sorted) of the gaps that overlap a window and were known by its close to the market, and by as_of to the archive; ALL takes every session.
+
+    Gaps meet windows as bars do in candidates(); a gap is dealt to every stretch it touches, about as many as its missing bars at most.
+    """
+    scope = ["code", "interval", "adjustment"]
+    w = _dealt(_windows(reqs))
+    g = facts.join(w.select(*scope, "_width").distinct(), scope)  # a few lengths for each scope
+    g = g.withColumn("_at", F.explode(F.sequence(_stretch(F.col("missing_from_event_time"), F.col("_width")), _stretch(F.col("missing_to_event_time"), F.col("_width")))))
+    pairs = w.join(g, [*scope, "_width", "_at"]).filter((F.col("requested_session") == "ALL") | (F.col("requested_session") == F.col("session")))
     pairs = pairs.filter((F.col("missing_from_event_time") < F.col("_to")) & (F.col("missing_to_event_time") >= F.col("_from")))
     pairs = pairs.filter(F.col("market_known_at") <= F.col("_to"))
     if as_of is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import identity
 from tapeloom.guards import GuardError
-from tapeloom.operators import canonical, catalog, coverage, dataset, features, intraday, labels, latest, pit, quality, samples, splits
+from tapeloom.operators import canonical, catalog, coverage, coverage_ranges, dataset, features, intraday, labels, latest, normalize, pit, quality, samples, splits
 from tapeloom.plans import batches
 from tapeloom.plans.build import BuildSpec, build, require_sound, run
 from tapeloom.sources import tables
@@ -243,3 +243,134 @@ def test_option_batches_and_failed_symbols(spark, tmp_path):
     assert (row.status, row.failed_items, row.requested_items) == ("PARTIAL", {"B": "no rows"}, ["A", "B"])
     none = batches.collect_bars(bars.limit(0), roots3, run_id="b2", symbols=["A"], **some).first()
     assert (none.status, none.row_count, none.failed_items) == ("FAILED", 0, {"A": "no rows"})
+
+
+def days(spark, *texts, name="trade_date"):
+    return spark.createDataFrame([(x,) for x in texts], "d string").select(F.col("d").cast("date").alias(name))
+
+
+def test_states_of_runs(spark):
+    """Reasons and completion by the runs' states, in either case of letters."""
+    some = (("r1", "2026-07-01", "success"), ("r2", "2026-07-02", "failed"), ("r3", "2026-07-03", "Running"), ("r4", "2026-07-04", "odd"), ("r5", "2026-07-05", "PARTIAL"), ("r6", "2026-07-07", "SUCCESS"))
+    bars = captures(spark, 2, "r1")
+    for run_id, day in (("r2", "2026-07-02"), ("r3", "2026-07-03"), ("r4", "2026-07-04"), ("r5", "2026-07-05"), ("r6", "2026-07-06"), ("r7", "2026-07-07"), (" ", "2026-07-08")):
+        bars = bars.unionByName(captures(spark, 2, run_id, day, file=f"file {run_id}"))
+    args = bars, runs(spark, *some), checks(spark, ("r5", "FAIL"), ("r1", "WARN")), KEY
+    found = values(coverage.snapshot_reasons(*args).select("requested_trade_date", "reason"), "requested_trade_date")
+    assert [r for _, r in found] == [None, "RUN_FAILED", "RUN_RUNNING", "RUN_STATUS_UNKNOWN", "QUALITY_FAIL", "RUN_METADATA_MISMATCH", "ORPHANED_RUN", "RUN_STATUS_UNKNOWN"]
+    done = coverage.completed_items(*args)
+    assert [str(x.requested_trade_date) for x in done.collect()] == ["2026-07-01"]
+    assert coverage.completed_items(*args, days(spark, "2026-07-02")).count() == 0
+    assert coverage.present_items(bars, KEY).count() == 8 and coverage.present_items(bars, KEY, days(spark, "2026-07-02")).count() == 1
+    assert values(coverage.latest_complete_snapshots(*args).select("snapshot_file", "row_count")) == [("f1", 2)]
+    assert coverage.latest_completed_dates(done, "2026-06-30").count() == 0
+    states, why = coverage.coverage_state(*args, spark.createDataFrame([("A",), ("B",)], "code string"), days(spark, "2026-07-01", "2026-07-02"))
+    assert [s for *_, s in values(states, "code", "trade_date")] == ["COMPLETE", "INCOMPLETE", "MISSING", "MISSING"] and why.count() == 7
+    both = spark.createDataFrame([("A",), ("B",)], "code string")
+    starts = coverage.incremental_starts(both, done, days(spark, "2026-07-01", "2026-07-02", "2026-07-06"), "2026-06-01", "2026-07-06")
+    assert [(c, str(s)) for c, s in values(starts.select("code", "start"), "code")] == [("A", "2026-07-02"), ("B", "2026-06-01")]
+    last = coverage.incremental_starts(both, done, days(spark, "2026-07-01", "2026-07-02"), "2026-06-01", "2026-07-01")
+    assert values(last.select("code", F.col("start").isNull()), "code")[0] == ("A", True)
+
+
+def test_filtered_reads(spark):
+    bars = captures(spark, 5).unionByName(captures(spark, 5, "r2", bump=1.0))
+    newest = latest.latest_bars(bars)
+    assert newest.count() == 5 and {r.ingestion_run_id for r in newest.collect()} == {"r2"}  # equal times: the greater run
+    part = latest.load_bars(newest, code="A", interval="1m", adjustment="NONE", start="2026-07-01 13:31:00", end="2026-07-01 13:33:00", trade_date="2026-07-01", session="REGULAR")
+    assert [str(r.time_utc)[11:16] for r in part.collect()] == ["13:31", "13:32", "13:33"] and latest.head(part, 2).count() == 2
+    assert latest.load_bars(newest, session="OVERNIGHT").count() == 0
+    rows = spark.createDataFrame([("MARKET", "US", d, a, b) for d, a, b in (("2026-07-01", "2026-07-01", "2026-07-03"), ("2026-07-03", "2026-07-01", "2026-07-03"), ("2026-07-08", "2026-07-06", "2026-07-10"))] + [("CODE", "US", "2026-07-02", "2026-07-02", "2026-07-02")], "scope_type string, scope_value string, d string, a string, b string").select(
+        "scope_type", "scope_value", *(F.col(x).cast("date").alias(y) for x, y in (("d", "trade_date"), ("a", "requested_start_date"), ("b", "requested_end_date")))
+    )
+    assert [str(x) for x, in values(latest.calendar_dates(rows, "MARKET", "US", "2026-07-01", "2026-07-05"), "trade_date")] == ["2026-07-01", "2026-07-03"]
+    assert [str(x) for x, in values(latest.dates_after(rows, "MARKET", "US", "2026-07-01"), "trade_date")] == ["2026-07-03", "2026-07-08"]
+    assert [(str(a), str(b)) for a, b in values(latest.requested_ranges(rows, "MARKET", "US", "2026-07-03", "2026-07-05"))] == [("2026-07-01", "2026-07-03")]
+    assert [str(r.trade_date) for r in latest.load_calendar(rows, code=" us ").collect()] == ["2026-07-02"]
+    with pytest.raises(ValueError, match="either"):
+        latest.load_calendar(rows, market="US", code="US")
+    contracts = spark.createDataFrame([("O", "2026-07-01", "a"), ("O", "2026-07-02", "a"), ("O", "2026-07-02", "b"), ("P", None, "a")], "option_code string, captured_at string, ingestion_run_id string")
+    assert values(latest.latest_contracts(contracts), "option_code") == [("O", "2026-07-02", "b"), ("P", None, "a")]
+
+
+def test_volatility_dates_and_span(spark):
+    raw = spark.createDataFrame([(None, "1782864000", "0.5"), ("2026-07-02", "0", "0.6"), (None, "soon", "0.7"), ("2026-07-09", None, "0.8")], "timestamp_str string, timestamp string, impvol string")
+    rows = normalize.normalize_option_volatility(raw, option_code="O", start="2026-07-01", end="2026-07-03", source="s", run_id="r")
+    assert [(str(d), v) for d, v in values(rows.select("trade_date", "implied_volatility"), "trade_date")] == [("2026-07-01", 0.5), ("2026-07-02", 0.6)]
+    span = lambda a, b: coverage_ranges.volatility_coverage(rows, a, b).first()
+    assert (span("2026-07-01", "2026-07-02").range_complete, span("2026-07-01", "2026-07-03").range_complete, span("2026-07-01", "2026-07-02").row_count) == (True, False, 2)
+
+
+def test_gaps_and_their_neighbours(spark):
+    bars = canonical_rows(spark, 10).filter(~F.col("event_time").between("2026-07-01 13:33:00", "2026-07-01 13:35:00"))
+    gaps = canonical.gap_ranges(bars, 60)
+    row = canonical.gap_boundaries(bars, gaps).first()
+    assert row.missing_bar_count == 3 and str(row.previous_event_time)[11:16] == "13:32" and str(row.next_event_time)[11:16] == "13:36" and row.previous_canonical_row_version_id != row.next_canonical_row_version_id
+    facts = pit.gap_facts(canonical.gap_boundaries(bars, gaps).unionByName(canonical.gap_boundaries(bars, gaps)))
+    assert facts.count() == 1 and facts.first().market_known_at == row.next_market_available_at
+    with pytest.raises(GuardError):
+        pit.gap_facts(canonical.gap_boundaries(bars, gaps).unionByName(canonical.gap_boundaries(bars, gaps).withColumn("missing_to_event_time", F.col("next_event_time"))))
+    assert samples.contiguous(bars, 60).groupBy("segment").count().orderBy("segment").collect() == [(1, 3), (2, 4)]
+
+
+def test_known_gaps_of_any_length(spark):
+    """Gaps and windows from seconds to days, against every pair."""
+    t = lambda c: F.timestamp_seconds(F.lit(1782864000) + F.col(c))
+    gap_rows = [(f"g{i}", i * 7919 % 200000, i * i * 37 % 50000 + (i % 3) * 40) for i in range(40)]
+    window_rows = [(f"w{i}", i * 5003 % 200000, 1 + i * i * i % 90000) for i in range(60)]
+    facts = spark.createDataFrame(gap_rows, "gap_id string, a long, n long").select(
+        "gap_id", F.lit("A").alias("code"), F.lit("1m").alias("interval"), F.lit("NONE").alias("adjustment"), F.lit("REGULAR").alias("session"), t("a").alias("missing_from_event_time"),
+        F.timestamp_seconds(F.lit(1782864000) + F.col("a") + F.col("n")).alias("missing_to_event_time"), F.lit("2026-01-01").cast("timestamp").alias("market_known_at"), F.lit("2026-01-01").cast("timestamp").alias("archive_known_at"),
+    )
+    reqs = spark.createDataFrame(window_rows, "sample_key string, a long, n long").select(
+        "sample_key", F.lit("A").alias("code"), F.lit("1m").alias("interval"), F.lit("NONE").alias("adjustment"), F.lit("ALL").alias("requested_session"), F.lit("2026-07-01").cast("date").alias("anchor_market_calendar_date"),
+        t("a").alias("feature_window_start"), F.timestamp_seconds(F.lit(1782864000) + F.col("a") + F.col("n")).alias("feature_window_close"), F.lit(None).cast("timestamp").alias("label_window_start"), F.lit(None).cast("timestamp").alias("label_window_close"),
+    )
+    want = {w: sorted(g for g, a, n in gap_rows if a < b + m and a + n >= b) for w, b, m in window_rows}
+    assert {r.sample_key: r.gap_ids for r in pit.known_gaps(facts, reqs).collect()} == {w: g for w, g in want.items() if g}
+
+
+def test_samples_stay_in_their_scope(spark):
+    bars = canonical_rows(spark)
+    reqs = samples.requests(bars, seconds=60, feature_bars=2, label_bars=1)
+    code, other = (spark.createDataFrame([(c,)], "code string") for c in "AB")
+    dataset.require_bound(reqs, code, days(spark, "2026-07-01"), reqs)
+    for args in ((other, days(spark, "2026-07-01")), (code, days(spark, "2026-07-02")), (code, days(spark, "2026-07-01"), reqs.withColumn("sample_key", F.lit("x")))):
+        with pytest.raises(GuardError):
+            dataset.require_bound(reqs, *args)
+    used = pit.association(pit.candidates(bars, reqs))
+    pit.require_same_day_labels(used)
+    with pytest.raises(GuardError):
+        pit.require_same_day_labels(used.withColumn("market_calendar_date", F.date_add("market_calendar_date", 1)))
+    scope_of = dict(interval="1m", adjustment="NONE", session="ALL")
+    assert samples.in_scope(bars, **scope_of, symbols=other).count() == 0 and samples.in_scope(bars, **scope_of, symbols=code, dates=days(spark, "2026-07-01")).count() == bars.count()
+    builds = bars.withColumn("build_id", F.lit("b2")).unionByName(bars.withColumn("build_id", F.lit("b1")))
+    assert values(samples.merged_builds(builds).select("build_ids").distinct()) == [(["b1", "b2"],)]
+    with pytest.raises(GuardError):
+        samples.merged_builds(bars.withColumn("build_id", F.lit("b2")).unionByName(bars.withColumns({"build_id": F.lit("b1"), "close": F.col("close") + 1}))).count()
+
+
+def test_items_of_an_intraday_audit(spark):
+    rows = captures(spark, 3).unionByName(captures(spark, 2, "r2", file="f2").withColumn("session", F.lit("OVERNIGHT")))
+    chosen = spark.createDataFrame([("A", "r1", "f1")], "code string, ingestion_run_id string, snapshot_file string").withColumn("requested_trade_date", F.lit("2026-07-01").cast("date"))
+    counts = intraday.session_counts(rows).first()
+    assert (counts.regular, counts.overnight, counts.pre_market) == (3, 2, 0)
+    assert intraday.snapshot_rows(rows, chosen).count() == 3
+
+
+def test_tables_come_back_as_written(spark, tmp_path):
+    cal = spark.createDataFrame([("MARKET", "US", "2026-07-01", None, None), ("MARKET", "US", "2026-07-02", "2026-07-01", "2026-07-03")], "scope_type string, scope_value string, d string, a string, b string").select(
+        "scope_type", "scope_value", *(F.col(x).cast("date").alias(y) for x, y in (("d", "trade_date"), ("a", "requested_start_date"), ("b", "requested_end_date")))
+    )
+    tables.write_calendar(cal, str(tmp_path / "cal"))
+    got = tables.read_calendar(spark, str(tmp_path / "cal")).select("trade_date", "requested_start_date", "requested_end_date")
+    assert [tuple(map(str, r)) for r in values(got, "trade_date")] == [("2026-07-01",) * 3, ("2026-07-02", "2026-07-01", "2026-07-03")]  # old rows cover their own date
+    tables.write_raw(captures(spark, 3), str(tmp_path / "raw"), "r9", day="2026-07-01")
+    assert tables.read_raw(spark, str(tmp_path / "raw")).filter("by_run = 'r9'").count() == 3
+    one = canonical_rows(spark, 4).select("code", F.col("event_time").alias("feature_window_close"), F.col("canonical_bar_key").alias("sample_key"), "close")
+    tables.write_dataset(one, str(tmp_path / "set"))
+    own = identity.content_id(one).first()[0]
+    assert tables.verified_dataset(spark, str(tmp_path / "set"), own).count() == 4
+    with pytest.raises(ValueError, match="content id"):
+        tables.verified_dataset(spark, str(tmp_path / "set"), "0" * 64)
+    assert tables.read_manifest(spark, str(tmp_path / "set")) is None
