@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import license_scan, packing, quality_rules, secret_scan, sharding, token_counts, url_filter
+from tapeloom.llm import fill_in_middle, license_scan, packing, quality_rules, secret_scan, sharding, token_counts, url_filter
 from tapeloom.llm.decontamination import contaminations
 from tapeloom.llm.near_dedup import near_duplicates
 from tapeloom.llm.toxicity import scored, train
@@ -68,6 +68,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.report(fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
+
+
 _WORDS = r"regexp_extract_all(coalesce({text}, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -169,6 +173,18 @@ SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first
 FROM w LEFT JOIN y USING (doc_id) LEFT JOIN z USING (doc_id) LEFT JOIN s USING (doc_id)
 """
 
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), n AS (
+  SELECT doc_id, t, length(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d
+), f AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM n
+), o AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM f)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN (b - a)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM o
+"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -183,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash_near_dedup,
         op9_license_scan,
         op10_toxicity,
+        op13_fill_in_middle,
     )
 }
 ORACLE_SQL: dict[str, str] = {
@@ -190,4 +207,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_secret_scan": _secret_sql(),
     "op8_minhash_near_dedup": OP8_SQL,
     "op9_license_scan": _license_sql(),
+    "op13_fill_in_middle": OP13_SQL,
 }
