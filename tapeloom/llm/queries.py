@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import fill_in_middle, license_scan, packing, quality_rules, secret_scan, sharding, token_counts, url_filter
+from tapeloom.llm import conversation_trie, fill_in_middle, license_scan, packing, quality_rules, secret_scan, sharding, token_counts, url_filter
+from tapeloom.llm.common import written
 from tapeloom.llm.decontamination import contaminations
 from tapeloom.llm.near_dedup import near_duplicates
 from tapeloom.llm.toxicity import scored, train
@@ -68,6 +69,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = written(conversation_trie.ordered(_table(spark, sf_dir, "conversations")), "turns")
+    turns, members = conversation_trie.rebuilt(given)
+    nodes, endings = conversation_trie.prefix_trie(turns, members)
+    ends = conversation_trie.ends_sha256(endings).withColumnRenamed("node", "ended")
+    nothing = F.sha2(F.lit(b""), 256)
+    return nodes.join(ends, F.col("node") == F.col("ended"), "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", nothing).alias("ends_sha256")
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.report(fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
 
@@ -173,6 +185,31 @@ SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first
 FROM w LEFT JOIN y USING (doc_id) LEFT JOIN z USING (doc_id) LEFT JOIN s USING (doc_id)
 """
 
+OP11_SQL = """
+WITH o AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS r
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), i AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS donor, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda j: ascii(substr(conv_id::VARCHAR, j, 1))::BIGINT) AS bytes FROM o
+), c AS (
+  SELECT conv_id, donor, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295::BIGINT) % 6 AS h FROM i
+), m AS (SELECT c.conv_id, h, donor, count(o.r) AS m FROM c LEFT JOIN o ON o.conv_id = c.donor AND o.r <= c.h GROUP BY ALL
+), b AS (
+  SELECT m.conv_id, o.r AS depth, role, text FROM m JOIN o ON o.conv_id = m.donor AND o.r <= m.h
+  UNION ALL SELECT m.conv_id, o.r - m.h + m.m, role, text FROM m JOIN o ON o.conv_id = m.conv_id AND o.r > m.h
+), k AS (
+  SELECT conv_id, depth, length(text) AS chars, md5(string_agg(length(role) || ':' || length(text) || ':' || role || text, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM b
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM c
+), n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM k GROUP BY ALL
+), p AS (SELECT n.*, q.node AS parent FROM n LEFT JOIN k q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1
+), f AS (SELECT p.*, coalesce(x.n_children, 0) AS n_children FROM p LEFT JOIN (SELECT parent, count(*) AS n_children FROM p WHERE parent IS NOT NULL GROUP BY 1) x ON x.parent = p.node
+), s AS (
+  SELECT k.node, sum(CASE WHEN f.conv_id IS NOT NULL AND f.n_children = 0 THEN 1 ELSE 0 END) OVER w AS leaves, sum(coalesce((f.n_convs - 1) * f.chars, 0)) OVER w AS saved, k.conv_id, k.depth = max(k.depth) OVER (PARTITION BY k.conv_id) AS ends
+  FROM k LEFT JOIN f ON f.node = k.node AND f.conv_id = k.conv_id WINDOW w AS (PARTITION BY k.conv_id ORDER BY k.depth DESC)
+), t AS (SELECT node, sum(leaves)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM s GROUP BY 1)
+SELECT f.conv_id, f.depth, g.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, ends_sha256
+FROM f JOIN t ON t.node = f.node LEFT JOIN n g ON g.node = f.parent
+"""
+
 OP13_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
 ), n AS (
@@ -199,6 +236,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_minhash_near_dedup,
         op9_license_scan,
         op10_toxicity,
+        op11_prefix_trie,
         op13_fill_in_middle,
     )
 }
@@ -207,5 +245,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_secret_scan": _secret_sql(),
     "op8_minhash_near_dedup": OP8_SQL,
     "op9_license_scan": _license_sql(),
+    "op11_prefix_trie": OP11_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }
