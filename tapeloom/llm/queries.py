@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tapeloom.llm import conversation_trie, fill_in_middle, license_scan, packing, quality_rules, secret_scan, sharding, token_counts, url_filter
 from tapeloom.llm.common import written
 from tapeloom.llm.decontamination import contaminations
+from tapeloom.llm.embedding_dedup import near_vectors
 from tapeloom.llm.near_dedup import near_duplicates
 from tapeloom.llm.toxicity import scored, train
 
@@ -80,6 +81,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.report(fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents")))
 
@@ -210,6 +215,21 @@ SELECT f.conv_id, f.depth, g.conv_id AS parent_conv_id, f.n_convs, f.n_children,
 FROM f JOIN t ON t.node = f.node LEFT JOIN n g ON g.node = f.parent
 """
 
+OP12_SQL = """
+WITH RECURSIVE d AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), u AS (SELECT row_number() OVER () AS i, vec_id, v, sqrt(list_inner_product(v, v)) AS size FROM d WHERE list_inner_product(v, v) > 0
+), l AS (
+  SELECT a.i AS i, a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.i <> b.i AND len(a.v) = len(b.v) WHERE list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.9
+), e AS (SELECT DISTINCT a, b FROM l
+), r AS (
+  SELECT a AS v, a AS t FROM e UNION SELECT r.v, e.b FROM r JOIN e ON r.t = e.a
+), m AS (SELECT v, min(t) AS root FROM r GROUP BY 1
+), n AS (SELECT a, count(*) AS n FROM l GROUP BY 1)
+SELECT x.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(m.root, x.vec_id) AS component_id, coalesce(coalesce(m.root, x.vec_id) = x.vec_id, true) AS kept
+FROM embeddings x LEFT JOIN n ON n.a = x.vec_id LEFT JOIN m ON m.v = x.vec_id
+"""
+
 OP13_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
 ), n AS (
@@ -237,6 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_license_scan,
         op10_toxicity,
         op11_prefix_trie,
+        op12_embedding_near_dedup,
         op13_fill_in_middle,
     )
 }
@@ -246,5 +267,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_minhash_near_dedup": OP8_SQL,
     "op9_license_scan": _license_sql(),
     "op11_prefix_trie": OP11_SQL,
+    "op12_embedding_near_dedup": OP12_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }
