@@ -7,12 +7,16 @@ walks soon meet again. A table samples a few steps of one walk; where an item an
 in all of them, the item-sized window there is a candidate, and its edit distance is then measured
 exactly. A walk is short, so that one embedding of a place serves the windows of all items.
 
-Windows are anchored at word starts. Each item enters every table once for each of its own word
-starts, so a window is found if any stretch of a few words of it survives unedited (or with edits
-that no sampled step sees) in any table; the window then begins that much earlier.
-
-A walk that leaves its item says nothing of it. Items too short for a walk are in no table: they are
-searched for exactly, at every place. An edit touches three trigrams at most, so a window within
+Windows are anchored at word starts and, in runs of over _LONG bytes without white space (scripts
+that do not part words, paths, what is glued to other text), at minimizers: of every _WINDOW code
+points in a row the one whose next bytes have the least hash, so any stretch that text and item share
+anchors at the same places. Each item enters every table once for each of its own anchors, so a window
+is found if any stretch of a few words of it survives unedited (or with edits that no sampled step
+sees) in any table; the window then begins that much earlier.
+
+Shorter items have fewer anchors, so their walks are shorter: each class of lengths has walks of its
+own, and as many tables as the target recall asks for in that class. A walk that leaves its item says
+nothing of it. Items of under LEAST code points are in no table: they are searched for exactly, at every place. An edit touches three trigrams at most, so a window within
 `most` edits of an item of m characters holds m - 2 - 3 * most of its trigrams; they are counted for
 many items in one pass over the text, and where there are enough the distance is measured, many
 places at a time. Where that number says too little, of most + 1 pieces of the item one stands unedited.
@@ -20,6 +24,7 @@ places at a time. Where that number says too little, of most + 1 pieces of the i
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -46,17 +51,22 @@ _LEAD = 128
 _FEW = 2
 #: What stands between texts in the exact search; no code point.
 _NONE = 0x110000
+#: Bytes without white space from which on places inside of a run are anchors too, and code points of which one is.
+_LONG, _WINDOW = 16, 8
+#: Code points of the shortest item that has walks.
+LEAST = 44
 
 
 @dataclass(frozen=True)
 class Walks:
-    """Parameters of the LSH: the number of tables, the steps of a walk, the steps sampled and how many of them a first look takes."""
+    """Parameters of the LSH for items of `least` code points and more: the number of tables, the steps of a walk, the steps sampled and how many of them a first look takes."""
 
     tables: int = 4
     steps: int = 44
     sampled: int = 18
     first: int = 9
     seed: int = 11
+    least: int = LEAST
 
     def drawn(self) -> list[tuple[np.ndarray, list[int]]]:
         """For each table, the random bits by (step, byte) and the sampled steps."""
@@ -64,6 +74,10 @@ class Walks:
         return [(rng.integers(0, 2, (self.steps, 256), dtype=np.int32), sorted(rng.choice(self.steps, self.sampled, replace=False).tolist())) for _ in range(self.tables)]
 
 
+#: By length of the item; the tables are what walks_for() starts from.
+CLASSES = (Walks(2, 20, 10, 7, least=LEAST), Walks(2, 28, 12, 8, least=80), Walks(2, 44, 18, 9, least=150))
+
+
 def fold(text: str | None) -> str:
     """What is compared: A-Z lower-cased, white space as spaces."""
     return _FOLD[np.frombuffer((text or "").encode(), dtype=np.uint8)].tobytes().decode()
@@ -94,6 +108,29 @@ def edit_distance_within(item: str, window: str, most: int) -> tuple[int, int] |
     return best if best[0] <= most else None
 
 
+def anchors(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Where windows may begin in data, in which texts begin at each of cuts: word starts, and minimizers of long runs."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    starts, ends = word_spans(data, cuts)
+    long = np.flatnonzero(ends - starts > _LONG)
+    if not len(long):
+        return starts
+    size = ends[long] - starts[long]
+    run = np.repeat(np.arange(len(long)), size)
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + starts[long][run]
+    point = (data[at] & 0xC0) != 0x80
+    at, run = at[point], run[point]
+    if len(at) < _WINDOW:
+        return starts
+    padded = np.r_[data, np.zeros(4, np.uint8)].astype(np.uint32)
+    gram = padded[at] | padded[at + 1] << 8 | padded[at + 2] << 16 | padded[at + 3] << 24
+    hashed = (gram * np.uint32(0x9E3779B1)) ^ (gram * np.uint32(0x85EBCA6B) >> np.uint32(13))
+    windows = np.lib.stride_tricks.sliding_window_view(hashed, _WINDOW)
+    whole = np.flatnonzero(run[_WINDOW - 1 :] == run[: len(run) - _WINDOW + 1])
+    return np.union1d(starts, at[whole + windows[whole].argmin(axis=1)])
+
+
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
@@ -196,54 +233,64 @@ def _embed(data: np.ndarray, places: np.ndarray, bits: np.ndarray, sampled: list
     return places, key, at
 
 
-class Index:
-    """The tables of a block of items; small enough to travel with the tasks."""
+class Tables:
+    """The tables of the items of one class of lengths."""
 
-    def __init__(self, items: list[tuple[int, str]], walks: Walks):
-        self.ids = [i for i, _ in items]
-        self.texts = [fold(t) for _, t in items]
-        raw = [t.encode() for t in self.texts]
-        self.walks, self.drawn = walks, walks.drawn()
+    def __init__(self, walks: Walks, members: np.ndarray, raw: list[bytes], starts: list[np.ndarray]):
+        self.walks, self.drawn, self.tables = walks, walks.drawn(), []
         pad = walks.steps + 1
-        cuts = np.cumsum([0, *(len(x) + pad for x in raw)])
-        data = np.frombuffer(b"".join(x + b"\0" * pad for x in raw), dtype=np.uint8)
-        starts = [word_spans(np.frombuffer(x, dtype=np.uint8), np.array([0, len(x)]))[0] if x else np.zeros(0, np.int64) for x in raw]
-        self.short = [i for i, (x, s) in enumerate(zip(self.texts, starts, strict=True)) if len(s) and len(x) - s[0] < walks.steps]
-        for i in self.short:
-            starts[i] = starts[i][:0]
-        item = np.repeat(np.arange(len(raw)), [len(s) for s in starts])
-        offset = np.concatenate([*starts, np.zeros(0, np.int64)])
-        self.tables = []
+        sizes = np.array([len(raw[i]) for i in members], dtype=np.int64)
+        cuts = np.r_[0, np.cumsum(sizes + pad)]
+        data = np.frombuffer(b"".join(raw[i] + b"\0" * pad for i in members), dtype=np.uint8)
+        item = np.repeat(np.arange(len(members)), [len(starts[i]) for i in members])
+        offset = np.concatenate([*(starts[i] for i in members), np.zeros(0, np.int64)])
         for bits, sampled in self.drawn:
             places = (cuts[item] + offset).astype(np.int64)
             look = np.zeros(1 << _BITS, dtype=bool)
             _, short, _ = _embed(data, places, bits, sampled[: walks.first], walks.first, None)
             _, keys, end = _embed(data, places, bits, sampled, walks.first, None)
-            inside = end <= cuts[item] + np.array([len(x) for x in raw], dtype=np.int64)[item]
-            short, keys, its, offs = short[inside], keys[inside], item[inside], offset[inside]
+            inside = end <= cuts[item] + sizes[item]
+            short, keys, its, offs = short[inside], keys[inside], members[item[inside]], offset[inside]
             look[(short >> np.uint64(64 - _BITS)).astype(np.int64)] = True
             order = np.argsort(keys, kind="stable")
             self.tables.append((look, keys[order], its[order], offs[order]))
 
-    def candidates(self, data: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Rows (place, item, offset in the item) that agree in some table. data must be padded by the steps of a walk."""
-        found = []
+    def candidates(self, data: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
         for (bits, sampled), (look, keys, its, offs) in zip(self.drawn, self.tables, strict=True):
             at, key, _ = _embed(data, places, bits, sampled, self.walks.first, look)
             lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
             n = hi - lo
             which = np.repeat(np.arange(len(at)), n)
             entry = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + lo[which]
-            found.append(np.stack([at[which], its[entry], offs[entry]], axis=1))
-        return np.unique(np.concatenate(found), axis=0)
+            yield np.stack([at[which], its[entry], offs[entry]], axis=1)
+
+
+class Index:
+    """The tables of a block of items; small enough to travel with the tasks. An item belongs to the last class whose `least` it reaches."""
+
+    def __init__(self, items: list[tuple[int, str]], walks: tuple[Walks, ...]):
+        self.ids = [i for i, _ in items]
+        self.texts = [fold(t) for _, t in items]
+        self.steps = max(w.steps for w in walks)
+        raw = [t.encode() for t in self.texts]
+        starts = [anchors(np.frombuffer(x, dtype=np.uint8), np.array([0, len(x)])) for x in raw]
+        sizes = np.array([len(t.strip(" ")) for t in self.texts], dtype=np.int64)
+        kind = np.searchsorted([w.least for w in walks], sizes, "right") - 1
+        self.short = np.flatnonzero((kind < 0) & (sizes > 0)).tolist()
+        self.classes = [Tables(w, np.flatnonzero(kind == k), raw, starts) for k, w in enumerate(walks) if (kind == k).any()]
+
+    def candidates(self, data: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Rows (place, item, offset in the item) that agree in some table. data must be padded by the steps of a walk."""
+        found = [x for c in self.classes for x in c.candidates(data, places)]
+        return np.unique(np.concatenate([np.zeros((0, 3), np.int64), *found]), axis=0)
 
     def matches(self, texts: pa.Array, share: float):
         """(row, item_id, start, end, n_edits) for all windows of texts within share * length edits of an item; the nearest window of each item and text."""
         data, offsets = utf8(texts)
         for a, b in chunks(offsets):
             cuts = offsets[a : b + 1] - offsets[a]
-            part = np.concatenate([_FOLD[data[offsets[a] : offsets[b]]], np.zeros(self.walks.steps + 1, np.uint8)])
-            places = word_spans(part[: cuts[-1]], cuts)[0] if cuts[-1] else np.zeros(0, np.int64)
+            part = np.concatenate([_FOLD[data[offsets[a] : offsets[b]]], np.zeros(self.steps + 1, np.uint8)])
+            places = anchors(part[: cuts[-1]], cuts) if self.classes else np.zeros(0, np.int64)
             hits = self.candidates(part, places)
             best = self._short_matches(part[: cuts[-1]], cuts, share)
             rows = np.searchsorted(cuts, hits[:, 0], "right") - 1
@@ -341,7 +388,7 @@ def _edited(rng: np.random.Generator, text: str, share: float) -> str:
     return "".join(out)
 
 
-def measured_recall(items: list[tuple[int, str]], walks: Walks, share: float, edits: float, copies: int = 2) -> float:
+def measured_recall(items: list[tuple[int, str]], walks: tuple[Walks, ...], share: float, edits: float, copies: int = 2) -> float:
     """The share of randomly edited copies of items, between other words, in which contaminations() would find the item."""
     rng = np.random.default_rng(5)
     texts = [f"other words before {_edited(rng, t, edits)} other words behind" for _, t in items for _ in range(copies)]
@@ -350,24 +397,39 @@ def measured_recall(items: list[tuple[int, str]], walks: Walks, share: float, ed
     return sum((row, i) in found for row, i in enumerate(own)) / max(1, len(own))
 
 
-def walks_for(items: DataFrame, share: float = 0.2, target_recall: float = 0.9, sample: int = 200, walks: Walks = Walks()) -> Walks:
-    """walks with as few tables as reach target_recall on items edited in as many places as share allows, the worst that must be found.
+def recall_by_class(items: list[tuple[int, str]], share: float, target_recall: float, classes: tuple[Walks, ...] = CLASSES) -> list[tuple[Walks, float]]:
+    """For each class of lengths, its walks with as few tables as reach target_recall (2, 4, ... 64), and the recall measured on items that are edited in as many places as share allows; nan without items."""
+    out = []
+    for k, walks in enumerate(classes):
+        until = classes[k + 1].least if k + 1 < len(classes) else 1 << 62
+        own = [(i, t) for i, t in items if walks.least <= len(fold(t).strip(" ")) < until]
+        recall = float("nan")
+        while own and not (recall := measured_recall(own, (walks,), share, share)) >= target_recall and walks.tables < 64:
+            walks = replace(walks, tables=2 * walks.tables)
+        out.append((walks, recall))
+    return out
+
+
+def walks_for(items: DataFrame, share: float = 0.2, target_recall: float = 0.9, sample: int = 100, classes: tuple[Walks, ...] = CLASSES) -> tuple[Walks, ...]:
+    """Walks for every class of lengths that reach target_recall there, on items edited in as many places as share allows, the worst that must be found.
 
-    Measured on at most `sample` items, those with the least hash, long enough for a walk; the number of tables doubles from 2
-    until the target is met, 32 at most. Without such items walks is returned as it is.
+    Measured on at most `sample` items of each class, those with the least hash; a class without items keeps its walks. A class
+    that does not reach the target with 64 tables is reported by a warning with the recall that it has.
     """
-    rows = items.select(F.col("item_id").cast("long"), "text").filter("item_id is not null").filter(F.length("text") > 2 * walks.steps).distinct()
-    some = [tuple(r) for r in rows.orderBy(F.xxhash64("item_id", "text"), "item_id", "text").limit(sample).collect()]
-    if not some:
-        return walks
-    for tables in (2, 4, 8, 16, 32):
-        walks = replace(walks, tables=tables)
-        if measured_recall(some, walks, share, share) >= target_recall:
-            break
-    return walks
-
-
-def contaminations(docs: DataFrame, items: DataFrame, share: float = 0.2, walks: Walks | None = None, target_recall: float = 0.9, block_bytes: int = 4 << 20) -> DataFrame:
+    size = F.length(F.trim("text"))
+    kind = F.lit(0)
+    for k, c in enumerate(classes):
+        kind = F.when(size >= c.least, k + 1).otherwise(kind)
+    rows = items.filter("item_id is not null").select(F.col("item_id").cast("long"), "text", kind.alias("kind")).distinct()
+    some = [tuple(r) for k in range(len(classes)) for r in rows.filter(F.col("kind") == k + 1).orderBy(F.xxhash64("item_id", "text"), "item_id", "text").limit(sample).select("item_id", "text").collect()]
+    found = recall_by_class(some, share, target_recall, classes)
+    for walks, recall in found:
+        if recall < target_recall:
+            warnings.warn(f"items of {walks.least} code points and more: measured recall {recall:.2f} with {walks.tables} tables, target {target_recall}", stacklevel=2)
+    return tuple(w for w, _ in found)
+
+
+def contaminations(docs: DataFrame, items: DataFrame, share: float = 0.2, walks: tuple[Walks, ...] | None = None, target_recall: float = 0.9, block_bytes: int = 4 << 20) -> DataFrame:
     """All (document, item) pairs where a window of the document lies within share * length edits of the item.
 
     docs needs doc_id and text, items needs item_id and text; other columns are not read. Without walks, walks_for() takes
@@ -375,7 +437,8 @@ def contaminations(docs: DataFrame, items: DataFrame, share: float = 0.2, walks:
     matches of a block are written before the next one's index is built, so neither driver nor tasks hold more than
     one block. Returns doc_id, item_id, start and end (code points of the text, end exclusive), n_edits and
     item_length: for each row of docs and item the nearest window. Case of A-Z and kind of white space do not count as edits.
-    Items shorter than a walk are found exactly and at every place, inside words too.
+    An exact passage is found at every place, inside words and in scripts that do not part words too; items of under LEAST
+    code points are found wherever they are within share edits, longer ones with target_recall at least in their class of lengths.
 
     Defined results: null and empty texts, and items of no text or id, match nothing; a null doc_id is
     returned as it is; repeated rows are returned as often as they occur; ties go to the first window; a text of any
@@ -403,7 +466,7 @@ def contaminations(docs: DataFrame, items: DataFrame, share: float = 0.2, walks:
     return reduce(DataFrame.unionByName, parts)
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, share: float = 0.2, walks: Walks | None = None, target_recall: float = 0.9, block_bytes: int = 4 << 20) -> DataFrame:
+def decontaminated(docs: DataFrame, items: DataFrame, share: float = 0.2, walks: tuple[Walks, ...] | None = None, target_recall: float = 0.9, block_bytes: int = 4 << 20) -> DataFrame:
     """The rows of docs in which contaminations() finds nothing, with all their columns, whatever their names and ids; no shuffle. What a block of items leaves is written before the next one's index is built."""
     text = docs.columns.index("text")
     walks = walks or walks_for(items, share, target_recall)

@@ -174,7 +174,7 @@ def test_tables_follow_the_target_recall(spark):
     items = [(i, prose(rng, rng.choice([10, 16, 25]))) for i in range(20)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     few, many = (decontamination.walks_for(bench, target_recall=t) for t in (0.2, 0.97))
-    assert few.tables < many.tables
+    assert all(a.tables <= b.tables for a, b in zip(few, many, strict=True)) and sum(w.tables for w in few) < sum(w.tables for w in many)
     texts = [prose(rng, 8) + " " + decontamination._edited(np.random.default_rng(d), items[d % 20][1], (0, 0.05, 0.1, 0.15, 0.2)[d // 20 % 5]) + " " + prose(rng, 8) for d in range(100)]
     truth = {(d, i) for d, t in enumerate(texts) for i, item in items if edit_distance(decontamination.fold(item), decontamination.fold(t)) <= int(0.2 * len(item))}
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -208,6 +208,53 @@ def test_short_items_are_found_exactly(spark):
     assert {r.doc_id for r in decontamination.decontaminated(docs, bench).collect()} == set(range(len(texts))) - {d for d, _ in want}
 
 
+def test_items_in_scripts_without_spaces_and_inside_words(spark):
+    """Exact items are found between other letters of their script, glued to other text and behind a sign; edited ones with the target recall."""
+    rng = random.Random(12)
+    scripts = {"漢": [chr(c) for c in range(0x4E00, 0x5200)], "ก": [chr(c) for c in range(0x0E01, 0x0E2F)], "a": list("abcdefghijklmnopqrstuvwxyz0123456789")}
+    word = lambda k, n: "".join(rng.choice(scripts[k]) for _ in range(n))
+    items = [(100 * g + j, word(k, n)) for g, (k, n) in enumerate(itertools.product(scripts, (44, 60, 100, 200))) for j in range(12)]
+    items += [(5000 + j, word("a", 20) + " " + word("a", 30)) for j in range(12)]  # the inner word start is near the end
+    exact, edited = [], []
+    for i, t in items:
+        k = "a" if t[0].isascii() else "ก" if t[0] < "\u0fff" else "漢"
+        exact += [(i, word(k, 70) + t + word(k, 50)), (i, "pre/" + t.upper() + "."), (i, word(k, 7) + t)]
+        edited.append((i, word(k, 30) + decontamination._edited(np.random.default_rng(i), t, 0.1) + word(k, 30)))
+    texts = exact + edited + [(None, word(k, 4000)) for k in scripts]
+    docs = spark.createDataFrame([(d, t) for d, (_, t) in enumerate(texts)], "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.item_id) for r in decontamination.contaminations(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(d, i) for d, (i, _) in enumerate(exact)} <= found
+    near = {(d, i) for d, (i, _) in enumerate(edited, len(exact))}
+    assert len(near & found) >= 0.9 * len(near)
+    assert {i for d, i in found if texts[d][0] is None} == set()
+
+
+def test_every_class_of_lengths_meets_the_target():
+    """Items edited in 20 % of their places, by length from the shortest that has walks."""
+    rng = random.Random(13)
+    sized = lambda n: (prose(rng, n // 5 + 2))[:n]
+    items = [(k, sized(n)) for k, n in enumerate(n for n in (44, 50, 60, 79, 80, 100, 120, 149, 150, 200, 300) for _ in range(25))]
+    found = decontamination.recall_by_class(items, 0.2, 0.9)
+    assert [w.least for w, _ in found] == [44, 80, 150] and all(recall >= 0.9 for _, recall in found)
+    walks = tuple(w for w, _ in found)
+    for n in (44, 60, 80, 120, 160, 300):
+        own = [(i, sized(n)) for i in range(60)]
+        assert decontamination.measured_recall(own, walks, 0.2, 0.2) >= 0.85  # 120 copies of each length, which the tables were not chosen for
+
+
+def test_anchors_agree_inside_any_text():
+    rng = random.Random(14)
+    for alphabet in ("abcdefgh", "漢字仮名交じり文", "aé漢"):
+        text = "".join(rng.choice(alphabet) for _ in range(80))
+        own = decontamination.anchors(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+        before = "".join(rng.choice(alphabet) for _ in range(37))
+        raw = (before + text + before).encode()
+        there = decontamination.anchors(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])) - len(before.encode())
+        inside = own[(own > 0) & (own < len(text.encode()) - 40)]
+        assert len(inside) > 3 and set(inside.tolist()) <= set(there.tolist())
+    assert decontamination.anchors(np.zeros(0, np.uint8), np.array([0, 0])).tolist() == []
+
+
 def edit_distance_whole(a, b):
     row = list(range(len(b) + 1))
     for i, c in enumerate(a, 1):
