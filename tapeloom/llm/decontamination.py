@@ -55,6 +55,8 @@ _NONE = 0x110000
 _LONG, _WINDOW = 16, 8
 #: Code points of the shortest item that has walks.
 LEAST = 44
+#: Lengths from which the recall is measured on its own: it must reach the target in each band, not on the average of a class.
+BANDS = (44, 60, 80, 110, 150, 200, 300)
 
 
 @dataclass(frozen=True)
@@ -397,14 +399,30 @@ def measured_recall(items: list[tuple[int, str]], walks: tuple[Walks, ...], shar
     return sum((row, i) in found for row, i in enumerate(own)) / max(1, len(own))
 
 
+def recall_by_band(items: list[tuple[int, str]], walks: tuple[Walks, ...], share: float, edits: float) -> dict[int, tuple[float, int]]:
+    """measured_recall() of the items of each band of lengths and the copies measured, by the band's least length."""
+    bands: dict[int, list[tuple[int, str]]] = {}
+    for i, t in items:
+        if (size := len(fold(t).strip(" "))) >= BANDS[0]:
+            bands.setdefault(max(b for b in BANDS if b <= size), []).append((i, t))
+    return {b: (measured_recall(bands[b], walks, share, edits, copies=4), 4 * len(bands[b])) for b in sorted(bands)}
+
+
 def recall_by_class(items: list[tuple[int, str]], share: float, target_recall: float, classes: tuple[Walks, ...] = CLASSES) -> list[tuple[Walks, float]]:
-    """For each class of lengths, its walks with as few tables as reach target_recall (2, 4, ... 64), and the recall measured on items that are edited in as many places as share allows; nan without items."""
+    """For each class of lengths, its walks and the least recall of a band in it, on items that are edited in as many places as share allows; nan without items.
+
+    Tables are as few (2, 4, ... 64) as bring every band to target_recall by more than the standard error of what was measured.
+    """
     out = []
     for k, walks in enumerate(classes):
         until = classes[k + 1].least if k + 1 < len(classes) else 1 << 62
         own = [(i, t) for i, t in items if walks.least <= len(fold(t).strip(" ")) < until]
         recall = float("nan")
-        while own and not (recall := measured_recall(own, (walks,), share, share)) >= target_recall and walks.tables < 64:
+        while own:
+            found = recall_by_band(own, (walks,), share, share)
+            recall = min(r for r, _ in found.values())
+            if walks.tables >= 64 or all(r - (r * (1 - r) / n) ** 0.5 >= target_recall for r, n in found.values()):
+                break
             walks = replace(walks, tables=2 * walks.tables)
         out.append((walks, recall))
     return out

@@ -234,7 +234,7 @@ def test_every_class_of_lengths_meets_the_target():
     rng = random.Random(13)
     sized = lambda n: (prose(rng, n // 5 + 2))[:n]
     items = [(k, sized(n)) for k, n in enumerate(n for n in (44, 50, 60, 79, 80, 100, 120, 149, 150, 200, 300) for _ in range(25))]
-    found = decontamination.recall_by_class(items, 0.2, 0.9)
+    found = decontamination.recall_by_class(items, 0.2, 0.9)  # the least of the bands of a class
     assert [w.least for w, _ in found] == [44, 80, 150] and all(recall >= 0.9 for _, recall in found)
     walks = tuple(w for w, _ in found)
     for n in (44, 60, 80, 120, 160, 300):
