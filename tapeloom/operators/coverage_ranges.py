@@ -9,16 +9,21 @@ from tapeloom.functions import market_time as mt
 
 
 def merge_ranges(df: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, start, end: overlapping and day-adjacent ranges of each key joined. Ranges with a null or reversed end are left out."""
-    w = Window.partitionBy(*keys).orderBy("start", "end")
+    """keys, start, end: overlapping and day-adjacent ranges of each key joined. Ranges with a null or reversed end are left out.
+
+    Of the ranges that begin on one day only the longest matters, so they are reduced to one for each key and day before anything
+    is ordered: what a task orders is bounded by the days of the calendar, however many ranges a key has.
+    """
+    w = Window.partitionBy(*keys).orderBy("start")
     reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    rows = df.filter(F.col("start") <= F.col("end")).withColumn("_new", F.when(F.col("start") <= F.date_add(reach, 1), 0).otherwise(1))
+    longest = df.filter(F.col("start") <= F.col("end")).groupBy(*keys, "start").agg(F.max("end").alias("end"))
+    rows = longest.withColumn("_new", F.when(F.col("start") <= F.date_add(reach, 1), 0).otherwise(1))
     rows = rows.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
 def missing_ranges(wanted: DataFrame, merged: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, start, end: the parts of each key's wanted range (one row for each key) that no merged range covers."""
+    """keys, start, end: the parts of each key's wanted range (one row for each key) that no merged range covers. Merged ranges of a key lie a day apart at least, so the calendar bounds their number."""
     have = merged.select(*keys, F.col("start").alias("_a"), F.col("end").alias("_b"))
     rows = wanted.filter(F.col("start") <= F.col("end")).join(have, keys, "left")
     outside = (F.col("_b") < F.col("start")) | (F.col("_a") > F.col("end"))

@@ -23,30 +23,60 @@ def latest_volatility(df: DataFrame) -> DataFrame:
     return _newest(df, ["option_code", "trade_date", "source"], [F.desc_nulls_last("captured_at"), F.desc_nulls_last("ingestion_run_id")])
 
 
+#: Days are counted from this many before 1970, so that every date has a number from 0; numbers have fewer bits than this.
+_DAYS_BEFORE, _BITS = 1 << 20, 23
+
+
+def _day(c: str) -> Column:
+    return (F.unix_date(c) + _DAYS_BEFORE).cast("long")
+
+
+def _dyadic(first: Column, last: Column) -> Column:
+    """The fewest aligned spans of 2 ** level days that make up first..last, as (level, span); two of a level at most, none of a reversed or null range."""
+
+    def at(level: Column) -> Column:
+        size = F.pow(F.lit(2), level).cast("long")
+        a, e = F.ceil(first / size), F.floor((last + 1) / size)
+        left, right = F.when((a < e) & (a % 2 == 1), a), F.when((a < e) & (e % 2 == 1), e - 1)
+        return F.transform(F.array_compact(F.array(left, right)), lambda n: F.struct(level.alias("level"), n.alias("span")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(_BITS)), at))
+
+
 def latest_calendar(rows: DataFrame) -> DataFrame:
-    """For every date ever seen, the rows of the newest capture whose requested range covers it; a date that this capture lacks is withdrawn."""
+    """For every date ever seen, the rows of the newest capture whose requested range covers it; a date that this capture lacks is withdrawn.
+
+    Ranges are cut in aligned spans of days, each of which keeps its newest capture; a date then looks at the _BITS + 1 spans
+    that hold it. So the work grows with the dates plus the captures, times a logarithm, and no task sees a whole scope.
+    """
     scope = ["scope_type", "scope_value", "source"]
     rows = rows.withColumns({"_a": F.coalesce("requested_start_date", "trade_date"), "_b": F.coalesce("requested_end_date", "trade_date")})
+    capture = F.struct("captured_at", "ingestion_run_id")  # nulls are the least
     captures = rows.select(*scope, "ingestion_run_id", "captured_at", "_a", "_b").distinct()
-    dates = rows.select(*scope, "trade_date").distinct()
-    # Captures are few against dates, and each date keeps one: the range is checked inside the scope.
-    covering = dates.join(captures, scope).filter(F.col("trade_date").between(F.col("_a"), F.col("_b")))
-    chosen = _newest(covering, [*scope, "trade_date"], [F.desc_nulls_last("captured_at"), F.desc_nulls_last("ingestion_run_id")])
-    chosen = chosen.select(*scope, "trade_date", "ingestion_run_id", F.col("captured_at").alias("_captured"))
+    spans = captures.select(*scope, capture.alias("capture"), F.explode(_dyadic(_day("_a"), _day("_b"))).alias("s")).groupBy(*scope, "s.level", "s.span").agg(F.max("capture").alias("capture"))
+    level = F.explode(F.sequence(F.lit(0), F.lit(_BITS)))
+    dates = rows.select(*scope, "trade_date").distinct().select(*scope, "trade_date", level.alias("level"))
+    dates = dates.withColumn("span", F.floor(_day("trade_date") / F.pow(F.lit(2), F.col("level"))))
+    chosen = dates.join(spans, [*scope, "level", "span"]).groupBy(*scope, "trade_date").agg(F.max("capture").alias("capture"))
+    chosen = chosen.select(*scope, "trade_date", "capture.ingestion_run_id", F.col("capture.captured_at").alias("_captured"))
     out = rows.join(chosen, [*scope, "trade_date", "ingestion_run_id"]).filter(F.col("captured_at").eqNullSafe(F.col("_captured")))
     return out.drop("_a", "_b", "_captured")
 
 
 def load_bars(latest: DataFrame, *, code=None, interval=None, adjustment=None, start=None, end=None, trade_date=None, session=None) -> DataFrame:
-    """Filtered latest bars in the order of time_utc; start and end (of time_market) are included. The filters on date and session stand above the view, as an older capture must not come back."""
+    """Filtered latest bars in the order of time_utc; start and end (of time_market) are included. The filters on date and session stand above the view, as an older capture must not come back.
+
+    start and end also hold for time_utc, which is the same instant and a key of the view, so Spark pushes them to the scan; a
+    bar without time_market is outside of every range.
+    """
     df = latest
     for column, value in (("code", code), ("interval", interval), ("adjustment", adjustment), ("requested_trade_date", trade_date), ("session", session)):
         if value is not None:
             df = df.filter(F.col(column) == value)
     if start is not None:
-        df = df.filter(F.col("time_market") >= F.lit(start))
+        df = df.filter((F.col("time_market") >= F.lit(start)) & (F.col("time_utc") >= F.lit(start).cast("timestamp")))
     if end is not None:
-        df = df.filter(F.col("time_market") <= F.lit(end))
+        df = df.filter((F.col("time_market") <= F.lit(end)) & (F.col("time_utc") <= F.lit(end).cast("timestamp")))
     return df.orderBy("time_utc", "code", "interval", "adjustment")
 
 

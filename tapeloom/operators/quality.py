@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions import codes
 from tapeloom.operators.coverage_ranges import volatility_coverage
+from tapeloom.operators.ordered import steps_back
 
 
 def _extra(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,17 +60,16 @@ def bar_quality(df: DataFrame, sequence: str = "ingest_seq") -> DataFrame:
         return bad
     o, h, low, c = (_no_nan(x) for x in ("open", "high", "low", "close"))
     wrong = (h < F.greatest(o, c, low)) | (low > F.least(o, c, h))
-    back = F.lag("time_utc").over(Window.partitionBy("code").orderBy(sequence)) > F.col("time_utc")
+    back = steps_back(df, ["code"], F.col(sequence), F.col("time_utc")).filter("code is not null")
     counts = (
-        df.withColumn("_back", back)
-        .agg(
+        df.agg(
             *_structure(),
             _bad(F.coalesce(wrong, F.lit(False))).alias("ohlc_consistency"),
             _bad(F.coalesce(_no_nan("volume") < 0, F.lit(True))).alias("non_negative_volume"),
-            F.count_distinct(F.when(F.col("_back"), F.col("code"))).alias("time_monotonic_by_code"),
             _bad(o.isNull() | h.isNull() | low.isNull() | c.isNull()).alias("non_null_prices"),
         )
         .join(_extra(df, ["code", "interval", "adjustment", "time_utc"]).withColumnRenamed("n", "duplicate_bars"))  # one row each
+        .join(back.agg(F.count_if(F.col("n") > 0).alias("time_monotonic_by_code")))
     )
     order = ("non_empty", "required_columns", "duplicate_bars", "ohlc_consistency", "non_negative_volume", "time_monotonic_by_code", "non_null_prices")
     return _results(counts, dict.fromkeys(order, "FAIL"))
@@ -122,22 +122,21 @@ def calendar_quality(df: DataFrame, start: str, end: str, sequence: str = "inges
     """The calendar suite; trade_date_type_known reports the sorted list of unknown types."""
     if (bad := _unusable(df, CALENDAR_COLUMNS)) is not None:
         return bad
-    back = F.lag("trade_date").over(Window.partitionBy("scope_type", "scope_value").orderBy(sequence)) > F.col("trade_date")
+    back = steps_back(df, ["scope_type", "scope_value"], F.col(sequence), F.col("trade_date"))
     outside = F.coalesce(~F.col("trade_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")), F.lit(False))
     known = ("WHOLE", "MORNING", "AFTERNOON")
     counts = (
-        df.withColumn("_back", back)
-        .agg(
+        df.agg(
             *_structure(),
             _bad(F.col("trade_date").isNull()).alias("trade_date_valid"),
             _bad(outside).alias("trade_date_in_requested_range"),
             _bad(F.coalesce(~F.col("scope_type").isin("MARKET", "CODE"), F.lit(True))).alias("scope_type_valid"),
             _bad(F.coalesce(F.trim("scope_value") == "", F.lit(True))).alias("scope_value_non_empty"),
-            _bad(F.coalesce("_back", F.lit(False))).alias("trade_date_ascending"),
             _bad(F.coalesce(F.col("trade_date_type") == "", F.lit(True))).alias("trade_date_type_non_empty"),
             F.array_join(F.array_sort(F.collect_set(F.when(~F.col("trade_date_type").isin(*known), F.col("trade_date_type")))), ", ").alias("unknown"),
         )
         .join(_extra(df, ["scope_type", "scope_value", "trade_date", "source", "captured_at"]).withColumnRenamed("n", "duplicate_trading_calendar"))
+        .join(back.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("trade_date_ascending")))
     )
     names = ("non_empty", "required_columns", "trade_date_valid", "trade_date_in_requested_range", "scope_type_valid", "scope_value_non_empty", "duplicate_trading_calendar", "trade_date_ascending", "trade_date_type_non_empty")
     last = counts.filter("non_empty = 0").select(F.lit("trade_date_type_known").alias("check_name"), F.when(F.col("unknown") == "", "PASS").otherwise("WARN").alias("result"), F.when(F.col("unknown") == "", "all known").otherwise(F.col("unknown")).alias("actual"))

@@ -30,7 +30,7 @@ B = """b AS (SELECT event_type AS code, date_trunc('hour', ts) AS t, first(value
 CAP = f"""{B}, cap AS (SELECT code, t, CAST(t - INTERVAL 5 HOUR AS DATE) AS day, {session("t")} AS session, open, high, low, close,
   volume + CASE WHEN k = 2 AND hour(t) = 13 THEN 1 ELSE 0 END AS volume, k, 'run-' || k || '-' || CAST(t - INTERVAL 5 HOUR AS DATE) AS run,
   TIMESTAMP '2024-02-01' + k * INTERVAL 1 HOUR AS ingested_at, 'file-' || k || '-' || CAST(t - INTERVAL 5 HOUR AS DATE) AS file, sha256('bytes of file-' || k || '-' || CAST(t - INTERVAL 5 HOUR AS DATE)) AS hash
-  FROM b, (VALUES (0), (1), (2)) v(k) WHERE (hour(t) + k) % 11 <> 0 AND NOT (code = 'click' AND day(CAST(t - INTERVAL 5 HOUR AS DATE)) = 17)),
+  FROM b, (VALUES (0), (1), (2)) v(k) WHERE (hour(t) + k) % 11 <> 0),
 bent0 AS (SELECT *, hour(t) AS h, day(day) AS d, t + CASE WHEN hour(t) = 11 AND day(day) % 6 = 2 THEN INTERVAL 30 MINUTE WHEN hour(t) = 18 AND day(day) % 10 = 0 THEN INTERVAL 30 SECOND ELSE INTERVAL 0 SECOND END AS nt FROM cap),
 bent AS (SELECT code, day, run, file, k, ingested_at, nt AS t, CASE WHEN (h = 12 AND d % 6 = 3) OR d = 26 THEN NULL WHEN h = 14 AND d % 6 = 5 THEN nt + INTERVAL 1 HOUR ELSE nt END AS tm, CASE WHEN h = 15 AND d % 6 = 0 THEN day + 1 ELSE day END AS mday,
   CASE WHEN h = 10 AND d % 6 = 1 THEN 'NIGHT' ELSE session END AS session, CASE WHEN h = 17 AND d % 8 = 0 THEN 'QFQ' ELSE 'NONE' END AS adj, CASE WHEN h = 7 AND d % 3 = 0 THEN NULL ELSE open END AS open, CASE WHEN h = 8 AND d % 3 = 0 THEN low - 1 ELSE high END AS high, low, close,

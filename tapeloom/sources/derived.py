@@ -33,13 +33,13 @@ def bars1(spark: SparkSession, sf_dir: str, code: str = "event_type") -> DataFra
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated rows of three overlapping captures of bars60. Each misses some hours, none has `click` on the 17th; the third reports one unit more volume at 13 UTC.
+    """Curated rows of three overlapping captures of bars60. Each misses some hours, together they have every bar; the third reports one unit more volume at 13 UTC.
 
     There are no files, so the hash of a snapshot's bytes is that of its name.
     """
     k = F.explode(F.array(*map(F.lit, (0, 1, 2)))).alias("k")
     day = mt.market_date(F.col("event_time"))
-    b = bars60(spark, sf_dir).select("*", k).filter(((F.hour("event_time") + F.col("k")) % 11 != 0) & ~((F.col("code") == "click") & (F.dayofmonth(day) == 17)))
+    b = bars60(spark, sf_dir).select("*", k).filter((F.hour("event_time") + F.col("k")) % 11 != 0)
     file = F.concat(F.lit("file-"), F.col("k"), F.lit("-"), day.cast("string"))
     return b.select(
         "code",
