@@ -4,8 +4,8 @@ The embedding (Chakraborty, Goldenberg and Koucky 2016) walks over a text: at st
 character under its pointer and moves on by one or by none, as a random bit of (t, character) says.
 Texts at a small edit distance get embeddings at a small Hamming distance, since after an edit both
 walks soon meet again. A table samples a few steps of one walk; where an item and a document agree
-in all of them, the item-sized window there is a candidate, and its edit distance is then measured
-exactly. A walk is short, so that one embedding of a place serves the windows of all items.
+in all of them, the item-sized window there is a candidate. If it has enough of the item's grams,
+its edit distance is measured exactly. A walk is short, so that one embedding of a place serves the windows of all items.
 
 Windows are anchored at word starts and, in runs of over _LONG bytes without white space (scripts
 that do not part words, paths, what is glued to other text), at minimizers: of every _WINDOW code
@@ -137,12 +137,19 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
 
-def _trigrams(codes: np.ndarray) -> np.ndarray:
-    """A 16-bit hash of the trigram from each place but the last two; equal trigrams have equal hashes."""
-    h = codes[:-2] * np.uint32(0x9E3779B1) + codes[1:-1] * np.uint32(0x85EBCA6B) + codes[2:] * np.uint32(0xC2B2AE35)
+def _grams(codes: np.ndarray, size: int) -> np.ndarray:
+    """A 16-bit hash of the `size` code points from each place but the last ones; equal grams have equal hashes."""
+    n = max(0, len(codes) - size + 1)
+    h = np.zeros(n, dtype=np.uint32)
+    for i, odd in zip(range(size), (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)):
+        h += codes[i : i + n] * np.uint32(odd)
     return (h >> np.uint32(16)).astype(np.uint16)
 
 
+def _trigrams(codes: np.ndarray) -> np.ndarray:
+    return _grams(codes, 3)
+
+
 def _near_trigrams(items: list[tuple[str, int]], codes: np.ndarray) -> Iterator[np.ndarray]:
     """For each (item, most), the columns of codes in which a window within most edits may end: enough of the item's trigrams stand there.
 
@@ -279,8 +286,18 @@ class Index:
         sizes = np.array([len(t.strip(" ")) for t in self.texts], dtype=np.int64)
         kind = np.searchsorted([w.least for w in walks], sizes, "right") - 1
         self.short = np.flatnonzero((kind < 0) & (sizes > 0)).tolist()
+        self.grams = [{size: np.unique(_grams(_codes(t), size), return_counts=True) for size in (3, 4) if len(t) >= size} for t in self.texts]
         self.classes = [Tables(w, np.flatnonzero(kind == k), raw, starts) for k, w in enumerate(walks) if (kind == k).any()]
 
+    def may_hold(self, item: int, window: str, most: int) -> bool:
+        """Whether window has as many of the item's grams of 3 and of 4 characters as one within `most` edits must have; an edit touches as many as a gram is long, and equal hashes only add."""
+        codes = _codes(window)
+        for size, (gram, times) in self.grams[item].items():
+            least = len(self.texts[item]) - size + 1 - size * most
+            if least > 0 and np.minimum(np.bincount(_grams(codes, size), minlength=1 << 16)[gram], times).sum() < least:
+                return False
+        return True
+
     def candidates(self, data: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Rows (place, item, offset in the item) that agree in some table. data must be padded by the steps of a walk."""
         found = [x for c in self.classes for x in c.candidates(data, places)]
@@ -313,6 +330,8 @@ class Index:
                 if row not in folded:
                     folded = {row: part[cuts[row] : cuts[row + 1]].tobytes().decode()}
                 window = folded[row][low:high]
+                if not self.may_hold(item, window, most):
+                    continue
                 if got := edit_distance_within(text, window, most):
                     edits, end = got
                     back = edit_distance_within(text[::-1], window[:end][::-1], most)
