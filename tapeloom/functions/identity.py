@@ -40,8 +40,10 @@ def content_id(df: DataFrame, columns: list[str] | None = None, prefix: int = PR
     """One row with content_id: the same for the same rows in any order and partitioning, with repeated rows counted.
 
     Digests are counted, then hashed per prefix, and the prefixes' hashes by shorter and shorter prefixes (PREFIX digits less
-    each time), so no task sees more than one prefix. Ids of different prefix lengths are different ids.
+    each time), so no task sees more than one prefix. Ids of different prefix lengths are different ids. prefix is a multiple of PREFIX.
     """
+    if prefix < PREFIX or prefix % PREFIX:
+        raise ValueError(f"prefix must be a multiple of {PREFIX}, not {prefix}")
     rows = df.select(row_digest(df, columns).alias("d")).groupBy("d").agg(F.count("*").alias("n"))
     leaves = rows.select(F.substring("d", 1, prefix).alias("prefix"), F.concat_ws(":", "d", F.col("n").cast("string")).alias("leaf"))
     nodes = leaves.groupBy("prefix").agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("leaf"))), 256).alias("node"))
@@ -51,6 +53,17 @@ def content_id(df: DataFrame, columns: list[str] | None = None, prefix: int = PR
     return nodes.agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat("prefix", "node")))), 256).alias("content_id"))  # at most 16 ** PREFIX nodes
 
 
+def content_ids(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """by, n_rows and content_id of each group's rows in the given columns: what content_id() says of that group alone. Null keys are one key."""
+    keys = [f"_k{i}" for i in range(len(by))]
+    named = [F.col(c).alias(k) for c, k in zip(by, keys, strict=True)]
+    rows = df.select(*named, row_digest(df, columns).alias("d")).groupBy(*keys, "d").agg(F.count("*").alias("n"))
+    leaves = rows.select(*keys, "n", F.substring("d", 1, PREFIX).alias("prefix"), F.concat_ws(":", "d", F.col("n").cast("string")).alias("leaf"))
+    nodes = leaves.groupBy(*keys, "prefix").agg(F.sum("n").alias("n"), F.sha2(F.concat_ws("", F.array_sort(F.collect_list("leaf"))), 256).alias("node"))
+    top = nodes.groupBy(*keys).agg(F.sum("n").alias("n_rows"), F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat("prefix", "node")))), 256).alias("content_id"))
+    return top.select(*(F.col(k).alias(c) for c, k in zip(by, keys, strict=True)), "n_rows", "content_id")
+
+
 def instant_text(c: Column) -> Column:
     """An instant to the microsecond, in UTC."""
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

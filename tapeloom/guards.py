@@ -2,13 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 class GuardError(ValueError):
     """A rule that must hold for all rows does not."""
 
 
+class Stages:
+    """Tables of a job, each computed once, written under a folder of the run and read again; rules are counted while a table is written.
+
+    A rule is a condition under which a row breaks it. Its count only decides between none and some, as a task that runs twice
+    may count twice; rows to show are looked up in the stored table, and only after a rule has failed.
+    """
+
+    def __init__(self, root: str):
+        self.root, self.names = root, []
+
+    def stored(self, df: DataFrame, name: str, rules: dict[str, Column] | None = None, shown: list[str] | None = None) -> DataFrame:
+        """df, written as table `name`; raises GuardError with the first of rules (message: condition) that a row breaks, and some of its rows (columns `shown`)."""
+        if name in self.names:
+            raise ValueError(f"stage {name} was written before")
+        self.names.append(name)
+        path, broken = f"{self.root}/{name}", {}
+        if rules:
+            seen = Observation(f"{name} of {self.root}")
+            df.observe(seen, *(F.count_if(c).alias(f"r{i}") for i, c in enumerate(rules.values()))).write.parquet(path)
+            broken = {m: c for i, (m, c) in enumerate(rules.items()) if seen.get.get(f"r{i}")}
+        else:
+            df.write.parquet(path)
+        out = df.sparkSession.read.schema(df.schema).parquet(path)
+        for message, condition in broken.items():
+            require_empty(out.filter(condition).select(*(shown or out.columns)), message)
+            raise GuardError(message)
+        return out
+
+
 def require_empty(violations: DataFrame, message: str, shown: int = 20) -> None:
     """Raise GuardError with at most `shown` rows if violations has any."""
     rows = violations.limit(shown).collect()

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tapeloom import schemas
 from tapeloom.functions import identity as ids
@@ -27,14 +30,14 @@ def snapshot_inputs(bars: DataFrame, chosen: DataFrame, hashes: DataFrame | None
     return rows if hashes is None else rows.join(hashes.select(F.col("path").alias("snapshot_file"), F.col("sha256").alias("physical_snapshot_hash")), "snapshot_file")
 
 
-def violations(rows: DataFrame, interval: str, adjustment: str) -> DataFrame:
-    """Rows that break the contract of a canonical input, each with its first broken rule."""
+def broken_rule(rows: DataFrame, interval: str, adjustment: str) -> Column:
+    """The first rule of the contract of a canonical input that a row breaks, or null."""
     bad_number = ~(finite(F.col("open")) & finite(F.col("high")) & finite(F.col("low")) & finite(F.col("close")) & finite(F.col("volume")))
     optional = F.lit(False)
     for c in schemas.BAR_VALUES[5:]:
         if c in rows.columns:
             optional = optional | (F.col(c).isNotNull() & ~finite(F.col(c)))
-    rule = (
+    return (
         F.when(F.coalesce(F.trim("code"), F.lit("")) == "", "code")
         .when(~F.col("interval").eqNullSafe(F.lit(interval)), "interval")
         .when(~F.col("adjustment").eqNullSafe(F.lit(adjustment)), "adjustment")
@@ -45,7 +48,16 @@ def violations(rows: DataFrame, interval: str, adjustment: str) -> DataFrame:
         .when(bad_number, "number")
         .when(optional, "optional number")
     )
-    return rows.withColumn("violation", rule).filter("violation is not null")
+
+
+def violations(rows: DataFrame, interval: str, adjustment: str) -> DataFrame:
+    """Rows that break the contract of a canonical input, each with its first broken rule."""
+    return rows.withColumn("violation", broken_rule(rows, interval, adjustment)).filter("violation is not null")
+
+
+def values_digest(rows: DataFrame) -> Column:
+    """Digest of the values in which captures of one bar must agree."""
+    return ids.row_digest(rows, [c for c in (*schemas.BAR_VALUES, *schemas.BAR_CLASS) if c in rows.columns])
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -158,12 +170,12 @@ def materialize(spark: SparkSession, bars: DataFrame, gaps: DataFrame, root: str
     tables.write_gaps(gaps, f"{path}/gaps", mode="overwrite")
     if chosen is not None:
         tables.write_resolution(chosen, f"{path}/resolution", mode="overwrite")
-    tables.write_manifest(spark, path, {f"{k}_id": v for k, v in parts.items()} | {"build_id": build, "n_bars": str(bars.count()), "n_gaps": str(gaps.count())})
+    tables.write_manifest(spark, path, {f"{k}_id": v for k, v in parts.items()} | {"build_id": build, "bars_schema": bars.schema.json(), "n_bars": str(bars.count()), "n_gaps": str(gaps.count())})
     return build, path
 
 
 def verified_build(spark: SparkSession, path: str, schema, build: str, seconds: int | None = None, builder: str = "1") -> DataFrame:
-    """Bars of a build; raises unless the manifest, the bars' content id and count, their keys and versions, and (with seconds) the gaps, content and spans, are those derived again."""
+    """Bars of a build, with the given schema or the one of its manifest; raises unless the manifest, the bars' content id and count, their keys and versions, and (with seconds) the gaps, content and spans, are those derived again."""
     from tapeloom.sources import tables
 
     facts = tables.read_manifest(spark, path)
@@ -171,6 +183,7 @@ def verified_build(spark: SparkSession, path: str, schema, build: str, seconds:
         raise ValueError(f"{path} has no manifest: the build was not finished")
     if build != facts["build_id"] or build != ids.text_digest(*(f"{k[:-3]}={v}" for k, v in sorted(facts.items()) if k.endswith("_id") and k != "build_id")):
         raise ValueError(f"{path} is not the build {build}")
+    schema = schema or StructType.fromJson(json.loads(facts["bars_schema"]))
     bars = spark.read.schema(schema).parquet(f"{path}/bars").select(*schema.names)
     found = ids.content_id(bars).first()[0]
     if found != facts["bars_id"] or bars.count() != int(facts["n_bars"]):

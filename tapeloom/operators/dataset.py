@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,19 +60,57 @@ def diagnostics(assigned: DataFrame, reqs: DataFrame) -> DataFrame:
 
 
 def require_bound(reqs: DataFrame, symbols: DataFrame, dates: DataFrame, *sample_tables: DataFrame) -> None:
-    """Requests lie in the scope, and every table of samples has just the requested ones."""
+    """Requests lie in the scope, and every table of samples has just the requested ones: none that was not requested, and all that were."""
     outside = reqs.join(symbols.select("code"), "code", "left_anti").select("sample_key").union(
         reqs.join(dates.select(F.col("trade_date").alias("anchor_market_calendar_date")), "anchor_market_calendar_date", "left_anti").select("sample_key")
     )
     require_empty(outside, "a request lies outside the scope")
     for t in sample_tables:
-        require_empty(t.select("sample_key").join(reqs, "sample_key", "left_anti"), "a sample was not requested")
+        both = t.select("sample_key").distinct().withColumn("n", F.lit(1)).unionByName(reqs.select("sample_key").distinct().withColumn("n", F.lit(-1))).groupBy("sample_key").agg(F.sum("n").alias("n"))
+        require_empty(both.filter("n <> 0"), "a sample was not requested, or a requested one is lost")
+
+
+def ledger(reqs: DataFrame, symbols: DataFrame, dates: DataFrame, assoc: DataFrame, features: DataFrame, labels: DataFrame, assigned: DataFrame) -> DataFrame:
+    """One row for each sample that any table of a job names, with what each table has of it; one aggregation over all of them.
+
+    sample_key, n_requests, in_scope (code and anchor date are those of symbols and dates), n_feature_rows and n_label_rows of the association, positions (of the
+    feature rows: the last and 1), n_features, n_complete_features, n_labels, n_assigned.
+    """
+    known = reqs.select("sample_key", "code", F.col("anchor_market_calendar_date").alias("trade_date"))
+    known = known.join(symbols.select("code").distinct().withColumn("_s", F.lit(True)), "code", "left").join(dates.select("trade_date").distinct().withColumn("_d", F.lit(True)), "trade_date", "left")
+    parts = [
+        known.select("sample_key", F.lit("request").alias("source"), (F.col("_s").isNotNull() & F.col("_d").isNotNull()).alias("good"), F.lit(None).cast("long").alias("position")),
+        assoc.select("sample_key", F.col("role").alias("source"), F.lit(True).alias("good"), "position"),
+        features.select("sample_key", F.lit("feature").alias("source"), (F.col("status") == "COMPLETE").alias("good"), F.lit(None).cast("long").alias("position")),
+        labels.select("sample_key", F.lit("label").alias("source"), F.lit(True).alias("good"), F.lit(None).cast("long").alias("position")),
+        assigned.select("sample_key", F.lit("assigned").alias("source"), F.lit(True).alias("good"), F.lit(None).cast("long").alias("position")),
+    ]
+    rows, source = reduce(DataFrame.unionByName, parts), F.col("source")
+    n = lambda s: F.count_if(source == s)
+    return rows.groupBy("sample_key").agg(
+        n("request").alias("n_requests"), F.coalesce(F.bool_and(F.when(source == "request", F.col("good"))), F.lit(False)).alias("in_scope"), n("FEATURE").alias("n_feature_rows"), n("LABEL").alias("n_label_rows"),
+        F.coalesce(F.max(F.when(source == "FEATURE", F.col("position"))) + 1, F.lit(0)).alias("positions"), n("feature").alias("n_features"), F.count_if((source == "feature") & F.col("good")).alias("n_complete_features"),
+        n("label").alias("n_labels"), n("assigned").alias("n_assigned"),
+    )
+
+
+def ledger_rules(n_features: int, n_labels: int) -> dict:
+    """What each row of a ledger must keep, as conditions under which it does not. Lost samples break them as well as ones that were never requested."""
+    return {
+        "a sample was not requested": F.col("n_requests") == 0,
+        "two requests have one key": F.col("n_requests") > 1,
+        "a request lies outside the scope": ~F.col("in_scope"),
+        "positions of a sample have gaps": F.col("positions") != F.col("n_feature_rows"),
+        "a sample lacks features or has some twice": F.col("n_features") != n_features,
+        "a sample lacks labels or has some twice": F.col("n_labels") != n_labels,
+        "a sample comes twice, or is lost, or has incomplete features": F.col("n_assigned") != F.when(F.col("n_complete_features") == n_features, 1).otherwise(0),
+    }
 
 
-def materialize(df: DataFrame, root: str) -> tuple[str, str]:
+def materialize(df: DataFrame, root: str, facts: dict[str, str] | None = None) -> tuple[str, str]:
     """Write a dataset once under the id of its content; a finished one of the same content is verified and used again. Returns (id, path).
 
-    The manifest (id, rows, assigned and purged rows) is written last; without it a dataset is unfinished and written again.
+    The manifest (id, rows, assigned and purged rows, and the job's facts) is written last; without it a dataset is unfinished and written again.
     """
     from tapeloom.sources import tables
 
@@ -81,7 +121,7 @@ def materialize(df: DataFrame, root: str) -> tuple[str, str]:
         tables.verified_dataset(spark, f"{path}/rows", own, df.schema)
         return own, path
     tables.write_dataset(df, f"{path}/rows", mode="overwrite")
-    tables.write_manifest(spark, path, {"dataset_id": own} | _balances(df))
+    tables.write_manifest(spark, path, {"dataset_id": own} | _balances(df) | (facts or {}))
     return own, path
 
 

@@ -43,6 +43,12 @@ def require_row_contract(resolved: DataFrame, reqs: DataFrame) -> None:
     require_empty(r.filter(~F.coalesce(good, F.lit(False))).select("sample_key", "event_time"), "a label row breaks its sample's contract")
 
 
+def needed(assoc: DataFrame, seconds: int) -> DataFrame:
+    """The rows of an association that labels read: those of label windows, and the anchor's bar, one interval before the feature window's close."""
+    anchor = F.unix_micros("feature_window_close") - F.unix_micros("event_time") == seconds * 1_000_000
+    return assoc.filter((F.col("role") == "LABEL") | anchor)
+
+
 def execute(samples: DataFrame, specs: list[LabelSpec], seconds: int) -> DataFrame:
     """One row for each sample and spec: sample_key, name, status, reason_code, value, end_time (availability of the last bar consumed).
 

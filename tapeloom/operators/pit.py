@@ -51,14 +51,24 @@ def candidates(bars: DataFrame, reqs: DataFrame, as_of=None) -> DataFrame:
     late = F.col("market_available_at") > F.col("_to")
     unseen = F.lit(False) if as_of is None else ~F.coalesce(F.col("archive_available_at") <= F.lit(as_of).cast("timestamp"), F.lit(False))
     status = F.when(late, "NOT_MARKET_AVAILABLE").when(unseen, "NOT_ARCHIVED").otherwise("SELECTED")
-    return pairs.withColumn("status", status).drop("_width", "_at", "_from", "_to")
+    return pairs.withColumns({"status": status, "window_from": F.col("_from"), "window_to": F.col("_to")}).drop("_width", "_at", "_from", "_to")
 
 
 def association(found: DataFrame) -> DataFrame:
     """sample_key, role, position (from 0 by time), bar key and version, times of the selected candidates."""
     w = Window.partitionBy("sample_key", "role").orderBy("event_time", "market_available_at", "canonical_bar_key", "canonical_row_version_id")
     rows = found.filter("status = 'SELECTED'").withColumn("position", (F.row_number().over(w) - 1).cast("long"))
-    return rows.select("sample_key", "role", "position", "canonical_bar_key", "canonical_row_version_id", "code", "event_time", "market_available_at", "archive_available_at", "market_calendar_date", "anchor_market_calendar_date", "feature_window_close", *(c for c in VALUES if c in found.columns))
+    return rows.select("sample_key", "role", "position", "canonical_bar_key", "canonical_row_version_id", "code", "event_time", "market_available_at", "archive_available_at", "market_calendar_date", "anchor_market_calendar_date", "feature_window_close", *(c for c in ("window_from", "window_to", *VALUES) if c in found.columns))
+
+
+def row_rules() -> dict:
+    """What each row of an association must keep, as conditions under which it does not: it lies in its window, was known to the market when the window closed, and a label lies on the anchor's date."""
+    known = F.coalesce(F.col("market_available_at") <= F.col("window_to"), F.col("market_available_at").isNull())
+    inside = (F.col("event_time") >= F.col("window_from")) & (F.col("event_time") < F.col("window_to"))
+    return {
+        "a row breaks its sample's contract": ~F.coalesce(inside & known, F.lit(False)),
+        "a label crosses the anchor's market date": (F.col("role") == "LABEL") & ~F.col("market_calendar_date").eqNullSafe(F.col("anchor_market_calendar_date")),
+    }
 
 
 def sample_versions(assoc: DataFrame) -> DataFrame:
@@ -105,7 +115,38 @@ def known_gaps(facts: DataFrame, reqs: DataFrame, as_of=None) -> DataFrame:
     return pairs.groupBy("sample_key", "role").agg(F.array_sort(F.collect_set("gap_id")).alias("gap_ids"))
 
 
-def require_pins(assoc: DataFrame, pins: DataFrame) -> None:
-    """Stored pins (canonical_row_version_id) are exactly the versions used."""
-    used, stored = assoc.select("canonical_row_version_id").distinct(), pins.select("canonical_row_version_id").distinct()
-    require_empty(used.exceptAll(stored).union(stored.exceptAll(used)), "pins are not the versions used")
+#: What names the snapshot that a bar came from.
+SOURCE = ["ingestion_run_id", "physical_snapshot_hash", "source_schema_version", "requested_trade_date", "requested_session"]
+
+
+def version_pins(assoc: DataFrame, merged: DataFrame) -> DataFrame:
+    """build_id, canonical_row_version_id and the version's source: a row for each used version and each build that holds it. merged comes from samples.reconciled()."""
+    used = assoc.select("canonical_row_version_id").distinct()
+    own = merged.select("canonical_row_version_id", *(c for c in SOURCE if c in merged.columns), F.explode("build_ids").alias("build_id"))
+    return own.join(used, "canonical_row_version_id", "left_semi").select("build_id", "canonical_row_version_id", *own.columns[1:-1])
+
+
+def build_pins(pins: DataFrame, build_ids: DataFrame) -> DataFrame:
+    """A row for each considered build (build_ids) and each source of it that was used, with the number of its versions and an id of them; a build of which nothing was used has one row without a source."""
+    source = [c for c in SOURCE if c in pins.columns]
+    found = ids.content_ids(pins, ["build_id", *source], ["canonical_row_version_id"])
+    every = build_ids.select("build_id").distinct().join(found, "build_id", "left")
+    return every.select("build_id", *source, F.coalesce("n_rows", F.lit(0)).alias("n_row_versions"), F.col("content_id").alias("versions_id"))
+
+
+def gap_references(gaps: DataFrame, build_ids: DataFrame) -> DataFrame:
+    """One row for each considered build: gap_range_count and gap_content_id of its gaps (with build_id); no gaps have an id of their own, which is null."""
+    found = ids.content_ids(gaps, ["build_id"], ["gap_id", "missing_bar_count"])
+    every = build_ids.select("build_id").distinct().join(found, "build_id", "left")
+    return every.select("build_id", F.coalesce("n_rows", F.lit(0)).alias("gap_range_count"), F.col("content_id").alias("gap_content_id"))
+
+
+def require_pins(assoc: DataFrame, pins: DataFrame, merged: DataFrame | None = None) -> None:
+    """Stored pins are exactly the versions used, checked both ways in one aggregation; with merged (from samples.reconciled()) for each build, with their sources."""
+    if merged is None:
+        used, stored = (x.select("canonical_row_version_id").distinct() for x in (assoc, pins))
+    else:
+        used = version_pins(assoc, merged)
+        stored = pins.select(*used.columns).distinct()
+    sides = used.withColumn("_side", F.lit(1)).unionByName(stored.withColumn("_side", F.lit(-1)))
+    require_empty(sides.groupBy(*used.columns).agg(F.sum("_side").alias("n")).filter("n <> 0"), "pins are not the versions used")

@@ -21,6 +21,28 @@ def merged_builds(builds: DataFrame, key: str = "canonical_row_version_id") -> D
     return d.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_d", "build_id").join(every, key)
 
 
+#: Where a snapshot lies says nothing of what a bar is.
+MOVABLE = ("snapshot_file",)
+
+
+def reconciled(builds: DataFrame) -> DataFrame:
+    """Rows of several canonical builds (column build_id), one for each canonical_bar_key, with the sorted build_ids that hold it and n_contents.
+
+    n_contents is 1 where all builds agree in every column but build_id and those of MOVABLE: version, values, times and
+    sources. Where they differ nothing chooses a winner: call require_reconciled(), or count n_contents > 1 while the result
+    is written. One aggregation by key; a key has as many rows as there are builds, and the row of the least build stands.
+    """
+    values = [c for c in builds.columns if c != "build_id"]
+    content = ids.row_digest(builds, [c for c in values if c not in MOVABLE])
+    d = builds.select(F.col("canonical_bar_key").alias("_key"), "build_id", F.struct(*values).alias("_row"), content.alias("_d"))
+    one = d.groupBy("_key").agg(F.min_by("_row", F.struct("build_id", "_row")).alias("_row"), F.array_sort(F.collect_set("build_id")).alias("build_ids"), F.size(F.collect_set("_d")).alias("n_contents"))
+    return one.select("_row.*", "build_ids", "n_contents")
+
+
+def require_reconciled(merged: DataFrame) -> None:
+    require_empty(merged.filter("n_contents > 1").select("canonical_bar_key", "build_ids"), "builds differ in one bar")
+
+
 def require_unique(bars: DataFrame) -> None:
     """One bar for each event slot."""
     require_empty(bars.groupBy("code", "interval", "adjustment", "requested_session", "event_time").count().filter("count > 1"), "two bars of one event")

@@ -136,6 +136,9 @@ WD = "(dayofweek({d}) + 6) % 7"
 NEXT_WD = "CASE (dayofweek({d}) + 6) % 7 WHEN 5 THEN {d} + 2 WHEN 6 THEN {d} + 1 ELSE {d} END"
 PREV_WD = "CASE (dayofweek({d}) + 6) % 7 WHEN 5 THEN {d} - 1 WHEN 6 THEN {d} - 2 ELSE {d} END"
 
+#: Which of the three overlapping builds hold a bar.
+IN_BUILD = "(b.build_id = 'b1' AND hour(t) < 16) OR (b.build_id = 'b2' AND hour(t) >= 8) OR (b.build_id = 'b3' AND hour(t) = 23)"
+
 ROW_HASH = digest("'time_utc:timestamp'", "t::VARCHAR", "'market_calendar_date:date'", "day::VARCHAR", "'session:string'", "session", *(x for c in ("open", "high", "low", "close", "volume") for x in (f"'{c}:double'", f"{c}::VARCHAR")))
 DIGEST_ROW = digest("'code:string'", "code", "'session:string'", "session", "'key:string'", "key")
 
@@ -232,6 +235,20 @@ ORACLES: dict[str, str] = {
       SELECT sha256(string_agg(p || h, '' ORDER BY p)) AS content_id FROM n""",
     "scope_bars": f"WITH {RANKED} SELECT code, t AS event_time, close FROM bars WHERE code IN ('click', 'view') AND dayofweek(day) BETWEEN 1 AND 5",
     "merged_builds": f"WITH {RANKED} SELECT code, t AS event_time, close, version AS canonical_row_version_id, CASE WHEN hour(t) < 8 THEN 'b1' WHEN hour(t) < 16 THEN 'b1,b2' ELSE 'b2' END AS build_ids FROM bars",
+    "builds_reconciled": f"""WITH {RANKED} SELECT key AS canonical_bar_key, CASE WHEN hour(t) < 8 THEN 'b1' WHEN hour(t) < 16 THEN 'b1,b2' WHEN hour(t) < 23 THEN 'b2' ELSE 'b2,b3' END AS build_ids, CASE WHEN hour(t) = 13 THEN 2 ELSE 1 END::BIGINT AS n_contents, low FROM bars""",
+    "build_pins": f"""WITH {REQUESTS}, u AS (SELECT DISTINCT bars.version, bars.run, bars.hash, bars.day, bars.t FROM reqs JOIN bars ON bars.code = reqs.code AND bars.t >= f0 AND bars.t < l1),
+      v AS (SELECT b.build_id, u.* FROM u JOIN (VALUES ('b1'), ('b2'), ('b3')) b(build_id) ON {IN_BUILD}), d AS (SELECT build_id, run, hash, day, {digest("'canonical_row_version_id:string'", "version")} AS d FROM v),
+      n AS (SELECT build_id, run, hash, day, substr(d, 1, 4) AS p, count(*) AS n, sha256(string_agg(d || ':1', '' ORDER BY d)) AS h FROM d GROUP BY ALL),
+      x AS (SELECT build_id, run, hash, day, sum(n)::BIGINT AS n, sha256(string_agg(p || h, '' ORDER BY p)) AS id FROM n GROUP BY 1, 2, 3, 4)
+      SELECT b.build_id, run AS ingestion_run_id, hash AS physical_snapshot_hash, CASE WHEN n IS NOT NULL THEN '1' END AS source_schema_version, day::VARCHAR AS requested_trade_date, CASE WHEN n IS NOT NULL THEN 'ALL' END AS requested_session, coalesce(n, 0) AS n_row_versions, id AS versions_id
+      FROM (VALUES ('b1'), ('b2'), ('b3')) b(build_id) LEFT JOIN x ON x.build_id = b.build_id""",
+    "gap_references": f"""WITH {RANKED}, e AS (SELECT b.build_id, bars.* FROM bars JOIN (VALUES ('b1'), ('b2'), ('b3')) b(build_id) ON {IN_BUILD}), g0 AS (SELECT *, lag(t) OVER (PARTITION BY build_id, code, day, session ORDER BY t) AS before FROM e),
+      g AS (SELECT build_id, {digest("'gap'", "'MARKET_BARS'", "code", "'60m'", "'NONE'", "day::VARCHAR", "session", instant("before"), instant("t"))} AS gap_id, (epoch(t) - epoch(before))::BIGINT // 3600 - 1 AS missing FROM g0 WHERE epoch(t) - epoch(before) > 3600),
+      d AS (SELECT build_id, {digest("'gap_id:string'", "gap_id", "'missing_bar_count:bigint'", "missing::VARCHAR")} AS d FROM g), n AS (SELECT build_id, substr(d, 1, 4) AS p, count(*) AS n, sha256(string_agg(d || ':1', '' ORDER BY d)) AS h FROM d GROUP BY 1, 2),
+      x AS (SELECT build_id, sum(n)::BIGINT AS n, sha256(string_agg(p || h, '' ORDER BY p)) AS id FROM n GROUP BY 1)
+      SELECT b.build_id, coalesce(n, 0) AS gap_range_count, id AS gap_content_id FROM (VALUES ('b1'), ('b2'), ('b3')) b(build_id) LEFT JOIN x ON x.build_id = b.build_id""",
+    "sample_ledger": f"""WITH {REQUESTS} SELECT sample_key, 1::BIGINT AS n_requests, code <> 'view' AND dayofweek(day) BETWEEN 1 AND 5 AS in_scope, 3::BIGINT AS n_feature_rows, 2::BIGINT AS n_label_rows, 3::BIGINT AS positions, 8::BIGINT AS n_features, 8::BIGINT AS n_complete_features, 4::BIGINT AS n_labels,
+      CASE WHEN code = 'click' THEN 0 ELSE 1 END::BIGINT AS n_assigned FROM reqs""",
     "calendar_gaps": f"""WITH {CAL}, r AS (SELECT DISTINCT a, b FROM cal WHERE run = 'cal-2') SELECT DATE '1995-01-01' AS start, a - 1 AS "end" FROM r UNION ALL SELECT b + 1, DATE '2001-12-31' FROM r""",
     "sample_segments": f"WITH {SEGMENTS} SELECT code, day AS market_calendar_date, session, t AS first_event_time, n AS segment_bars FROM c3 WHERE pos = 0",
     "sample_requests": f"""WITH {REQUESTS} SELECT sample_key, code, '60m' AS interval, 'NONE' AS adjustment, 'ALL' AS requested_session, day AS anchor_market_calendar_date, f0 AS feature_window_start, f1 AS feature_window_close, l0 AS label_window_start, l1 AS label_window_close FROM reqs""",

@@ -85,7 +85,7 @@ def canonical_rows(spark, n=10):
 def test_every_rule_of_a_build(spark):
     bars = canonical_rows(spark).cache()
     b = build(bars, SPEC)
-    b = dataclasses.replace(b, requests=b.requests.cache(), association=b.association.cache(), assigned=b.assigned.cache())
+    b = dataclasses.replace(b, **{x: getattr(b, x).cache() for x in ("requests", "association", "features", "labels", "assigned")})
     symbols, dates = scope(spark)
     require_sound(b, bars, symbols, dates)
     late = lambda c: F.col(c) + F.expr("interval 1 day")
