@@ -4,10 +4,11 @@ A block of a template is any stretch of so many tokens of a text that the templa
 missing or foreign, across line breaks; it counts as the set of its tokens. Tokens are ordered by how
 many documents have them, rarest first. To contain a share of a template's tokens a block must hold one
 of the first few of them in that order: these prefixes are an inverted list (token, template), and the
-words of all texts are joined to it (prefix filter). Around such a place there must be enough of the
-template's tokens at all (length filter), as many as are still possible behind the shared one in the order
-(positional filter); then the overlap of every block at the place is counted exactly. The work on a text
-grows with the rare tokens in it, not with the number of templates. All of it is DataFrame expressions.
+words of all texts are joined to it (prefix filter; a token so far back in the order that too few are behind
+it is in no prefix, which is the positional filter). Around such places there must be enough of the template's
+tokens at all (length filter); then the greatest overlap of a block is found exactly, by a running sum over the
+places of the template's tokens. The work on a text grows with the rare tokens in it, not with the
+number of templates or the square of its notices. All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -76,29 +77,52 @@ def _address(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
+def regions(docs: DataFrame, rare: list[str], around: int) -> DataFrame:
+    """blob, lo, part and found: the stretches of each text that lie less than `around` tokens from a rare token, where they begin, and the rare tokens in them; stretches that would touch are one."""
+    at = F.filter(F.transform("w", lambda x, i: F.when(x.isin(rare), i)), lambda x: x.isNotNull())
+    some = docs.select("text", words_of_text(F.col("text")).alias("w")).withColumn("at", at).filter(F.size("at") > 0)
+    first = F.transform("at", lambda x, i: F.when((i == 0) | (x - F.get("at", F.greatest(i - 1, F.lit(0))) >= 2 * around), x))
+    last = F.transform("at", lambda x, i: F.when((i == F.size("at") - 1) | (F.get("at", i + 1) - x >= 2 * around), x))
+    some = some.withColumns({"first": F.array_compact(first), "last": F.array_compact(last)})
+    cut = F.zip_with("first", "last", lambda a, z: F.struct(F.greatest(a - around + 1, F.lit(0)).alias("lo"), (z + around).alias("hi")))
+    parts = F.transform(cut, lambda r: F.struct(r["lo"].alias("lo"), F.slice("w", r["lo"] + 1, r["hi"] - r["lo"]).alias("part")))
+    each = some.select(_address(F.col("text")).alias("blob"), F.explode(parts).alias("r")).select("blob", "r.lo", "r.part")
+    return each.withColumn("found", F.array_distinct(F.filter("part", lambda x: x.isin(rare))))
+
+
 def matches(docs: DataFrame, templates: list[Template]) -> DataFrame:
-    """blob, label and containment: the greatest of each template in a block of each text of docs, named by its SHA-256, where it meets the threshold."""
+    """blob, label and containment: the greatest of each template in a block of each text of docs, named by its SHA-256, where it meets the threshold.
+
+    A text is cut to the regions around its prefix tokens. A region carries its tokens once, through one shuffle in which copies
+    of a text meet, to the templates that its prefix tokens name. There the best block is found in one pass over the places of
+    the template's tokens: a place at p, whose token stood last at q, is the first of its token in the blocks that begin behind q and
+    behind p - block, up to p; so it adds one from there to p, and the greatest running sum is the greatest overlap. The
+    work on a region is in proportion to its length and templates, however many notices it holds.
+    """
     spark = docs.sparkSession
-    listed = [(token, rank, list(t.tokens), t.least, t.block, t.label) for t in templates for rank, token in enumerate(t.prefix)]
-    index = spark.createDataFrame(listed, "token string, rank int, tokens array<string>, least int, block int, label string")
-    if sum(len(t.tokens) for t in templates) <= BROADCAST_TOKENS:
-        index = F.broadcast(index)
+    bounded = (lambda df: F.broadcast(df)) if sum(len(t.tokens) for t in templates) <= BROADCAST_TOKENS else (lambda df: df)
+    index = bounded(spark.createDataFrame([(token, i) for i, t in enumerate(templates) for token in t.prefix], "token string, id int"))
+    known = bounded(spark.createDataFrame([(i, list(t.tokens), t.least, t.block, t.label) for i, t in enumerate(templates)], "id int, tokens array<string>, least int, block int, label string"))
     rare = sorted({token for t in templates for token in t.prefix})
-    at = F.filter(F.transform("w", lambda x, i: F.when(x.isin(rare), F.struct(i.alias("at"), x.alias("token")))), lambda x: x.isNotNull())
-    some = docs.select("text", words_of_text(F.col("text")).alias("w")).withColumn("hits", at).filter(F.size("hits") > 0)
-    met = some.select(_address(F.col("text")).alias("blob"), "w", F.explode("hits").alias("hit")).select("blob", "w", "hit.at", "hit.token").join(index, "token")
-    begin = F.greatest(F.col("at") - F.col("block") + 1, F.lit(0))
-    around = met.select("blob", "label", "rank", "tokens", "least", "block", F.slice("w", begin + 1, F.col("at") + F.col("block") - begin).alias("part"))
-    enough = (F.size(F.array_intersect("part", "tokens")) >= F.col("least")) & (F.size("tokens") - F.col("rank") >= F.col("least"))
-    hits = F.filter(F.transform("part", lambda x, i: F.when(F.array_contains("tokens", x), F.struct(i.alias("at"), x.alias("token")))), lambda x: x.isNotNull())
-    placed = around.filter(enough).select("blob", "label", "least", "block", F.size("tokens").alias("n"), hits.alias("hits"))
-
-    def overlap(x, k):
-        inside = F.filter(F.slice("hits", k + 1, F.col("block")), lambda y: y["at"] < x["at"] + F.col("block"))
-        return F.size(F.array_distinct(F.transform(inside, lambda y: y["token"])))
-
-    best = placed.withColumn("o", F.array_max(F.transform("hits", overlap)))
-    return best.filter(F.col("o") >= F.col("least")).select("blob", "label", (F.col("o") / F.col("n")).alias("containment")).groupBy("blob", "label").agg(F.max("containment").alias("containment"))
+    each = regions(docs, rare, max((t.block for t in templates), default=1))
+    named = each.select("blob", "lo", "part", F.posexplode("found").alias("nth", "token")).withColumn("part", F.when(F.col("nth") == 0, F.col("part"))).join(index, "token")
+    met = named.groupBy("blob", "lo").agg(F.first("part", ignorenulls=True).alias("part"), F.collect_set("id").alias("ids"))  # at most as many as templates
+    met = met.select("blob", "part", F.explode("ids").alias("id")).join(known, "id")
+    place = F.transform("part", lambda x, i: F.struct(F.array_position("tokens", x).alias("k"), i.alias("at")))
+    met = met.filter(F.size(F.array_intersect("part", "tokens")) >= F.col("least"))
+    placed = met.withColumn("places", F.sort_array(F.filter(place, lambda x: x["k"] > 0))).drop("part")
+
+    def steps(x, i):
+        before = F.get("places", F.greatest(i - 1, F.lit(0)))
+        behind = F.greatest(x["at"] - F.col("block"), F.when((i > 0) & (before["k"] == x["k"]), before["at"]))
+        return F.array(F.struct((behind + 1).alias("at"), F.lit(1).alias("d")), F.struct((x["at"] + 1).alias("at"), F.lit(-1).alias("d")))
+
+    line = placed.withColumn("steps", F.sort_array(F.flatten(F.transform("places", steps))))
+    none = F.struct(F.lit(0).alias("n"), F.lit(0).alias("top"))
+    most = F.aggregate("steps", none, lambda a, x: F.struct((a["n"] + x["d"]).alias("n"), F.greatest(a["top"], a["n"] + x["d"]).alias("top")), lambda a: a["top"])
+    best = line.select("blob", "label", "least", F.size("tokens").alias("n"), most.alias("o"))
+    # The filter stands above the aggregation: below it, Spark would push it into the join with `places` written out inside the lambdas, where it would be made again for every place.
+    return best.groupBy("blob", "label").agg(F.max(F.when(F.col("o") >= F.col("least"), F.col("o") / F.col("n"))).alias("containment")).filter("containment is not null")
 
 
 def licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:

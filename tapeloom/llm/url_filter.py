@@ -98,19 +98,6 @@ class UrlModel:
         return self.regression.transform(_vectors(df, self.settings)).withColumn("score", vector_to_array("chance")[1]).drop("features", "raw", "chance", "guess")
 
 
-@dataclass(frozen=True)
-class UrlModel:
-    """Logistic regression, and the chance from which it blocks."""
-
-    regression: LogisticRegressionModel
-    threshold: float
-    settings: Settings
-
-    def scored(self, df: DataFrame) -> DataFrame:
-        """df (host, path, ...) with score, the chance of block."""
-        return self.regression.transform(_vectors(df, self.settings)).withColumn("score", vector_to_array("chance")[1]).drop("features", "raw", "chance", "guess")
-
-
 def fit(labelled: DataFrame, s: Settings = Settings()) -> UrlModel:
     """Learn from the train part of a labelled table (host, path, label, part); the validation part gives the threshold.
 

@@ -298,3 +298,15 @@ def test_overflow_walks_clockwise():
     counts[10], counts[20], counts[30] = 5, 1, 1
     got = sharding.ranges(counts, [(15, 0), (25, 1), (35, 2)], [3, 2, 2])
     assert sorted(got) == [(10, 0, 3, 0, 0, 0), (10, 3, 4, 1, 1, 0), (10, 4, 5, 2, 1, 0), (20, 0, 1, 1, 0, 1), (30, 0, 1, 2, 0, 2)]
+
+
+def test_many_notices_in_one_text(spark):
+    """Texts with many notices, some far apart, in one pass; each place of a token costs the same however many there are."""
+    rng = random.Random(4)
+    mit = [t for label, t in license_scan.TEMPLATES if label == "mit"]
+    lost = lambda t, share: " ".join(w for w in t.split() if rng.random() > share)
+    texts = ["\n".join(lost(rng.choice(mit), 0.25) + " filler" * rng.choice([0, 3, 400]) for _ in range(12)) for _ in range(4)]
+    texts += [" ".join(rng.choice(mit[1].split()) for _ in range(600)), ("x\n" + "\n".join(mit) + "\n") * 200, "filler " * 30_000 + mit[2] + " filler" * 30_000]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    plain = {i: plain_licenses(t)[5:] for i, t in enumerate(texts[:5])}
+    assert {i: got[i] for i in plain} == plain and got[5] == ("mit", 1.0) == got[6]
