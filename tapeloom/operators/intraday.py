@@ -70,7 +70,8 @@ def checks(rows: DataFrame, expected: dict[str, str], seconds: int, chosen: Data
     expected has the request key by column. Columns that no row fills count as missing. A row without both its times
     fails VALID_TIMESTAMPS; where no row has them, the checks of TIMED are INFO and NOT_EVALUATED. A duplicate time counts
     all its rows, null times equal. A stored label that the clock does not give, and one that the clock calls UNKNOWN, each count
-    once in SESSION_LABEL_CONSISTENCY. details names the labels outside the requested scope with their numbers. chosen, where
+    once in SESSION_LABEL_CONSISTENCY. details names the labels outside the requested scope with their numbers, most frequent first; a
+    scope other than RTH and ALL is not evaluated and says so. The rows are read in one pass. chosen, where
     given, has the items themselves (code, requested_trade_date): one without rows fails NON_EMPTY and has no other check.
     """
     allowed = {"RTH": ("REGULAR",), "ALL": SESSIONS}.get(expected["requested_session"])
@@ -81,6 +82,7 @@ def checks(rows: DataFrame, expected: dict[str, str], seconds: int, chosen: Data
     both = F.col("time_utc").isNotNull() & F.col("time_market").isNotNull()
     label = mt.session_label(F.col("time_utc"))
     rows = segmented(rows, seconds).withColumn("_same", F.count("*").over(Window.partitionBy(*ITEM, "time_utc")))
+    stray = F.lit(False) if not allowed else ~F.coalesce(F.col("session").isin(*allowed), F.lit(False))
     found = rows.groupBy(*ITEM).agg(
         sum(F.when(F.count(c) == 0, 1).otherwise(0) for c in need).alias("REQUIRED_COLUMNS"),
         F.lit(0).alias("NON_EMPTY"),
@@ -94,13 +96,12 @@ def checks(rows: DataFrame, expected: dict[str, str], seconds: int, chosen: Data
         F.count_if(F.unix_micros("time_utc") % 60_000_000 != 0).alias("MINUTE_BOUNDARY_ALIGNMENT"),
         F.count_if(F.col("step") == "off").alias("DELTA_GRID_ALIGNMENT"),
         F.count_if(F.col("step") == "gap").alias("INTERNAL_GAPS"),
+        F.bool_or(both).alias("timed"),
+        F.collect_list(F.when(stray, F.coalesce("session", F.lit("None")))).alias("strays"),  # the bars of one item at most
     )
-    names = [c for c in found.columns if c not in ITEM]
-    stray = F.lit(False) if not allowed else ~F.coalesce(F.col("session").isin(*allowed), F.lit(False))
-    labels = rows.filter(stray).groupBy(*ITEM, F.coalesce("session", F.lit("None")).alias("label")).agg(F.count("*").alias("n"))  # a few labels for each item
-    listed = labels.groupBy(*ITEM).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("label", "n"))), lambda x: F.concat_ws(": ", x["label"], x["n"].cast("string"))), ", ").alias("labels"))
-    timed = rows.groupBy(*ITEM).agg(F.bool_or(both).alias("timed"))
-    found = found.join(timed, ITEM).join(listed, ITEM, "left")
+    names = [c for c in found.columns if c not in (*ITEM, "timed", "strays")]
+    counted = F.transform(F.array_distinct("strays"), lambda x: F.struct((-F.size(F.filter("strays", lambda y: y == x))).alias("n"), x.alias("label")))
+    found = found.withColumn("labels", F.array_join(F.transform(F.array_sort(counted), lambda x: F.concat_ws(": ", x["label"], (-x["n"]).cast("string"))), ", "))
     if chosen is not None:
         found = chosen.select(*ITEM).distinct().join(found, ITEM, "left").withColumn("NON_EMPTY", F.coalesce("NON_EMPTY", F.lit(1)))
 
@@ -110,7 +111,8 @@ def checks(rows: DataFrame, expected: dict[str, str], seconds: int, chosen: Data
             bad = F.lit("INFO")
         result = F.when(F.col("timed"), bad).otherwise("INFO") if c in TIMED else bad
         count = F.when(F.col("timed"), F.col(c)).otherwise(0) if c in TIMED else F.col(c)
-        details = F.when(F.col("timed"), F.coalesce("labels", F.lit(""))) if c == "REQUESTED_SESSION_SCOPE" else F.when(F.col("timed"), "") if c in TIMED else F.lit("")
+        scope = F.coalesce("labels", F.lit("")) if allowed else F.lit("SESSION_SCOPE_NOT_EVALUATED")
+        details = F.when(F.col("timed"), scope) if c == "REQUESTED_SESSION_SCOPE" else F.when(F.col("timed"), "") if c in TIMED else F.lit("")
         return F.struct(F.lit(c).alias("check_name"), result.alias("result"), count.cast("long").alias("mismatch_count"), F.coalesce(details, F.lit("NOT_EVALUATED")).alias("details"))
 
     every = F.array(*map(row, names))

@@ -129,9 +129,10 @@ def verified_dataset(spark: SparkSession, path: str, expected_id: str, schema: S
 
 
 def upsert_latest(rows: DataFrame, key: str = "run_id", order: str = "recorded_at") -> DataFrame:
-    """The table that delete-and-insert by key would leave: of an append-only log, each key's latest row; nulls in order lose, ties go to the greater row."""
-    rest = F.to_json(F.struct(*rows.columns))
-    w = Window.partitionBy(key).orderBy(F.desc_nulls_last(order), F.desc(rest))
+    """The table that delete-and-insert by key would leave: of an append-only log, each key's latest row; nulls in order lose, ties go to the greater row (columns in the order of their names, maps by their sorted entries)."""
+    plain = lambda c, kind: F.array_sort(F.map_entries(c)) if kind.startswith("map") else F.col(c)
+    rest = [F.desc_nulls_last(plain(c, kind)) for c, kind in sorted(rows.dtypes) if c not in (key, order)]
+    w = Window.partitionBy(key).orderBy(F.desc_nulls_last(order), *rest)
     return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 

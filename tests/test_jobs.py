@@ -192,6 +192,16 @@ def test_snapshot_without_valid_times(spark):
     assert got["VALID_TIMESTAMPS"] == ("FAIL", 3, "") and all(got[c] == ("INFO", 0, "NOT_EVALUATED") for c in intraday.TIMED)
     odd = {r.check_name: (r.result, r.details) for r in intraday.checks(captures(spark, 3).withColumn("session", F.lit("X")), expected, 60).collect()}
     assert odd["REQUESTED_SESSION_SCOPE"] == ("FAIL", "X: 3")
+    mixed = captures(spark, 6).withColumn("session", F.when(F.minute("time_utc") == 30, "A").when(F.minute("time_utc") == 31, F.lit(None)).when(F.minute("time_utc") < 35, "Z").otherwise("REGULAR"))
+    assert {r.check_name: r.details for r in intraday.checks(mixed, expected, 60).collect()}["REQUESTED_SESSION_SCOPE"] == "Z: 3, A: 1, None: 1"
+    other = {r.check_name: (r.result, r.details) for r in intraday.checks(mixed, expected | {"requested_session": "ETH"}, 60).collect()}
+    assert other["REQUESTED_SESSION_SCOPE"] == ("INFO", "SESSION_SCOPE_NOT_EVALUATED")
+
+
+def test_latest_runs_break_ties_by_their_columns(spark):
+    rows = [("r", 1, {"a": "1", "b": "2"}, "x"), ("r", 1, {"b": "2", "a": "1"}, "y"), ("r", 0, {"z": "9"}, "z"), ("r", None, {"z": "9"}, "zz"), ("s", None, None, None)]
+    got = tables.upsert_latest(spark.createDataFrame(rows, "run_id string, recorded_at int, failed_items map<string,string>, status string"))
+    assert [(r.run_id, r.status) for r in got.orderBy("run_id").collect()] == [("r", "y"), ("s", None)]
 
 
 def test_gaps_are_known_at_their_windows_close(spark):
