@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for the tables of one run under spark.checkpoint.dir, which driver and executors share. Only a local session may do without that setting and gets a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="tapeloom-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 class GuardError(ValueError):
     """A rule that must hold for all rows does not."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions import codes, identity
 from tapeloom.functions import market_time as mt
+from tapeloom.guards import Stages, work_folder
 from tapeloom.operators import canonical, catalog, coverage, dataset, features, intraday, labels, latest, normalize, pit, quality, samples, splits
 from tapeloom.operators.coverage_ranges import merge_ranges, missing_ranges, volatility_coverage
 from tapeloom.plans.build import BuildSpec, build
@@ -480,6 +481,11 @@ def _build(spark, sf_dir):
     return build(_canonical(spark, sf_dir), SPEC)
 
 
+def _stored_build(spark, sf_dir):
+    """The same with every table computed once and stored, for what stands on several of them."""
+    return build(_canonical(spark, sf_dir), SPEC, Stages(work_folder(spark, "dataset")))
+
+
 @query
 def scope_bars(spark, sf_dir):
     bars = _canonical(spark, sf_dir)
@@ -528,7 +534,7 @@ def gap_references(spark, sf_dir):
 @query
 def sample_ledger(spark, sf_dir):
     # Some symbols and days are out of the scope, and samples of one symbol were lost on the way to their split.
-    b, bars = _build(spark, sf_dir), derived.captures(spark, sf_dir)
+    b, bars = _stored_build(spark, sf_dir), derived.captures(spark, sf_dir)
     symbols, lost = bars.select("code").filter("code <> 'view'"), b.assigned.filter("code <> 'click'")
     return dataset.ledger(b.requests, symbols, derived.trading_days(bars), b.association, b.features, b.labels, lost)
 
@@ -620,7 +626,7 @@ def sample_versions(spark, sf_dir):
 
 @query
 def feature_values(spark, sf_dir):
-    return _build(spark, sf_dir).features.select("sample_key", "name", "status", _nine("value"), "n_consumed")
+    return _stored_build(spark, sf_dir).features.select("sample_key", "name", "status", _nine("value"), "n_consumed")
 
 
 @query
@@ -637,7 +643,7 @@ def feature_reasons(spark, sf_dir):
 
 @query
 def label_values(spark, sf_dir):
-    return _build(spark, sf_dir).labels.select("sample_key", "name", "status", _nine("value"), "end_time")
+    return _stored_build(spark, sf_dir).labels.select("sample_key", "name", "status", _nine("value"), "end_time")
 
 
 @query
@@ -653,12 +659,12 @@ def label_reasons(spark, sf_dir):
 
 @query
 def split_assignments(spark, sf_dir):
-    return _build(spark, sf_dir).assigned.select("sample_key", "feature_window_close", "actual_label_end_time", "feature_window_close_date", "nominal_split", "final_split", "assignment_status", "reason_code", "purge_boundary")
+    return _stored_build(spark, sf_dir).assigned.select("sample_key", "feature_window_close", "actual_label_end_time", "feature_window_close_date", "nominal_split", "final_split", "assignment_status", "reason_code", "purge_boundary")
 
 
 @query
 def split_counts(spark, sf_dir):
-    return splits.split_counts(_build(spark, sf_dir).assigned)
+    return splits.split_counts(_stored_build(spark, sf_dir).assigned)
 
 
 @query
@@ -672,7 +678,7 @@ def split_edges(spark, sf_dir):
 
 @query
 def split_mismatches(spark, sf_dir):
-    b = _build(spark, sf_dir)
+    b = _stored_build(spark, sf_dir)
     bent = b.rows.withColumn("final_split", F.when(F.col("code") == "view", "TEST").otherwise(F.col("final_split")))
     return splits.mismatches(bent, SPEC.split).select("sample_key", "code", "final_split")
 
@@ -680,26 +686,26 @@ def split_mismatches(spark, sf_dir):
 @query
 def dataset_rows(spark, sf_dir):
     names = [s.name for s in (*FEATURES, *LABELS)]
-    rows = _build(spark, sf_dir).rows
+    rows = _stored_build(spark, sf_dir).rows
     own = (F.col(n) if n == "forward_direction" else _nine(n) for n in names)
     return rows.select("code", "sample_key", "feature_window_close", "label_status", *own, "final_split", "assignment_status")
 
 
 @query
 def dataset_completion(spark, sf_dir):
-    b = _build(spark, sf_dir)
+    b = _stored_build(spark, sf_dir)
     bars = derived.captures(spark, sf_dir)
     return dataset.completion(bars.select("code"), derived.trading_days(bars), b.requests, features.sample_status(b.features), labels.sample_status(b.labels))
 
 
 @query
 def dataset_diagnostics(spark, sf_dir):
-    b = _build(spark, sf_dir)
+    b = _stored_build(spark, sf_dir)
     return dataset.diagnostics(b.assigned, b.requests)
 
 
 def _catalog(spark, sf_dir):
-    return catalog.entries(_build(spark, sf_dir).rows.withColumn("dataset_id", F.concat_ws("-", F.lit("ds"), F.to_date("feature_window_close"))))
+    return catalog.entries(_stored_build(spark, sf_dir).rows.withColumn("dataset_id", F.concat_ws("-", F.lit("ds"), F.to_date("feature_window_close"))))
 
 
 @query
@@ -721,5 +727,5 @@ def catalog_lookup(spark, sf_dir):
 
 @query
 def dataset_page(spark, sf_dir):
-    rows = _build(spark, sf_dir).rows.select("code", "feature_window_close", "sample_key", "label_status")
+    rows = _stored_build(spark, sf_dir).rows.select("code", "feature_window_close", "sample_key", "label_status")
     return dataset.page(rows.withColumn("feature_window_close", F.date_format("feature_window_close", "yyyy-MM-dd HH:mm:ss")), 5, 20)
