@@ -1,4 +1,4 @@
-"""Operators for preparing training data: ten methods, each over whole Spark tables.
+"""Operators for preparing training data: thirteen methods, each over whole Spark tables.
 
 Nothing outside this subpackage imports it.
 """
