@@ -53,15 +53,31 @@ def content_id(df: DataFrame, columns: list[str] | None = None, prefix: int = PR
     return nodes.agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat("prefix", "node")))), 256).alias("content_id"))  # at most 16 ** PREFIX nodes
 
 
-def content_ids(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    """by, n_rows and content_id of each group's rows in the given columns: what content_id() says of that group alone. Null keys are one key."""
+def nodes(df: DataFrame, by: list[str], columns: list[str] | None = None) -> DataFrame:
+    """by, prefix, n_rows and node: the lower level of the content ids of each group's rows, one row for each prefix of digests that occurs. Null keys are one key.
+
+    Stored beside a table, nodes say which groups and prefixes of it have changed, and a part of its groups can be verified alone.
+    """
     keys = [f"_k{i}" for i in range(len(by))]
     named = [F.col(c).alias(k) for c, k in zip(by, keys, strict=True)]
     rows = df.select(*named, row_digest(df, columns).alias("d")).groupBy(*keys, "d").agg(F.count("*").alias("n"))
     leaves = rows.select(*keys, "n", F.substring("d", 1, PREFIX).alias("prefix"), F.concat_ws(":", "d", F.col("n").cast("string")).alias("leaf"))
-    nodes = leaves.groupBy(*keys, "prefix").agg(F.sum("n").alias("n"), F.sha2(F.concat_ws("", F.array_sort(F.collect_list("leaf"))), 256).alias("node"))
-    top = nodes.groupBy(*keys).agg(F.sum("n").alias("n_rows"), F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat("prefix", "node")))), 256).alias("content_id"))
-    return top.select(*(F.col(k).alias(c) for c, k in zip(by, keys, strict=True)), "n_rows", "content_id")
+    found = leaves.groupBy(*keys, "prefix").agg(F.sum("n").alias("n_rows"), F.sha2(F.concat_ws("", F.array_sort(F.collect_list("leaf"))), 256).alias("node"))
+    return found.select(*(F.col(k).alias(c) for c, k in zip(by, keys, strict=True)), "prefix", "n_rows", "node")
+
+
+def content_ids(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """by, n_rows and content_id of each group's rows in the given columns: what content_id() says of that group alone. Null keys are one key."""
+    top = nodes(df, by, columns).groupBy(*by)
+    return top.agg(F.sum("n_rows").alias("n_rows"), F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat("prefix", "node")))), 256).alias("content_id"))
+
+
+def altered(stored: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """by, prefix, n_stored and n_found of the nodes that differ; a node that one side lacks has no rows there. One aggregation over both sides, in which nulls are one key."""
+    both = stored.select(*by, "prefix", "n_rows", "node", F.lit(True).alias("_stored")).unionByName(found.select(*by, "prefix", "n_rows", "node", F.lit(False).alias("_stored")))
+    side = lambda s: F.coalesce(F.sum(F.when(F.col("_stored") == s, F.col("n_rows"))), F.lit(0))
+    met = both.groupBy(*by, "prefix").agg(side(True).alias("n_stored"), side(False).alias("n_found"), F.count("*").alias("_n"), (F.min("node") != F.max("node")).alias("_differs"))
+    return met.filter((F.col("_n") != 2) | F.col("_differs")).drop("_n", "_differs")
 
 
 def instant_text(c: Column) -> Column:

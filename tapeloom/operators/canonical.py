@@ -16,6 +16,8 @@ from tapeloom.guards import require_empty
 
 GROUP = ["code", "interval", "adjustment", "market_calendar_date", "session"]
 SOURCE = ["ingestion_run_id", "snapshot_file"]
+#: A part of a stored build: one folder of its bars, whose nodes are stored beside it.
+PART = ["interval", "adjustment", "code", "market_calendar_date"]
 
 
 def _plain(c: str, kind: str):
@@ -24,10 +26,17 @@ def _plain(c: str, kind: str):
 
 
 def snapshot_inputs(bars: DataFrame, chosen: DataFrame, hashes: DataFrame | None = None) -> DataFrame:
-    """Rows of the chosen snapshots with the run's end and, where hashes (path, sha256) are given, the file's hash."""
+    """Rows of the chosen snapshots with the run's end and, where hashes (path, sha256) are given, the file's hash; null where a file has none."""
     keys = ["code", "requested_trade_date", *SOURCE]
     rows = bars.join(chosen.select(*keys, "run_finished_at"), keys)
-    return rows if hashes is None else rows.join(hashes.select(F.col("path").alias("snapshot_file"), F.col("sha256").alias("physical_snapshot_hash")), "snapshot_file")
+    return rows if hashes is None else rows.drop("physical_snapshot_hash").join(hashes.select(F.col("path").alias("snapshot_file"), F.col("sha256").alias("physical_snapshot_hash")), "snapshot_file", "left")
+
+
+def require_unchanged(before: DataFrame, after: DataFrame) -> None:
+    """Two hashings (path, sha256) of the same files: raises with files that changed, came or went between them."""
+    both = before.select("path", "sha256", F.lit(1).alias("side")).unionByName(after.select("path", "sha256", F.lit(2).alias("side")))
+    met = both.groupBy("path").agg(F.count_distinct("sha256").alias("n_contents"), F.count_distinct("side").alias("n_sides"))
+    require_empty(met.filter("n_contents <> 1 or n_sides <> 2"), "a file changed while it was read")
 
 
 def broken_rule(rows: DataFrame, interval: str, adjustment: str) -> Column:
@@ -151,13 +160,14 @@ def gap_boundaries(bars: DataFrame, gaps: DataFrame) -> DataFrame:
 def materialize(spark: SparkSession, bars: DataFrame, gaps: DataFrame, root: str, ranked: DataFrame | None = None) -> tuple[str, str]:
     """Write bars, gaps and (from ranked candidates) the resolution under the id of their content; returns (id, path).
 
-    The manifest, one row with the content ids and row counts of all tables, is written last: a build without it is
-    unfinished and written again, a finished one is verified and used again.
+    The nodes of the bars' parts (PART) are stored beside them. The manifest, one row with the content ids and row counts of
+    all tables, is written last: a build without it is unfinished and written again, a finished one is verified and used again.
     """
     from tapeloom.sources import tables
 
     gap_columns = [c for c in gaps.columns if c != "gap_id"]
-    parts = {"bars": ids.content_id(bars).first()[0], "gaps": ids.content_id(gaps, ["gap_id", *gap_columns]).first()[0]}
+    nodes = ids.nodes(bars, PART)
+    parts = {"bars": ids.content_id(bars).first()[0], "gaps": ids.content_id(gaps, ["gap_id", *gap_columns]).first()[0], "nodes": ids.content_id(nodes).first()[0]}
     chosen = resolution(ranked) if ranked is not None else None
     if chosen is not None:
         parts["resolution"] = ids.content_id(chosen).first()[0]
@@ -168,14 +178,15 @@ def materialize(spark: SparkSession, bars: DataFrame, gaps: DataFrame, root: str
         return build, path
     tables.write_canonical(bars, f"{path}/bars", mode="overwrite")
     tables.write_gaps(gaps, f"{path}/gaps", mode="overwrite")
+    nodes.write.mode("overwrite").parquet(f"{path}/nodes")
     if chosen is not None:
         tables.write_resolution(chosen, f"{path}/resolution", mode="overwrite")
     tables.write_manifest(spark, path, {f"{k}_id": v for k, v in parts.items()} | {"build_id": build, "bars_schema": bars.schema.json(), "n_bars": str(bars.count()), "n_gaps": str(gaps.count())})
     return build, path
 
 
-def verified_build(spark: SparkSession, path: str, schema, build: str, seconds: int | None = None, builder: str = "1") -> DataFrame:
-    """Bars of a build, with the given schema or the one of its manifest; raises unless the manifest, the bars' content id and count, their keys and versions, and (with seconds) the gaps, content and spans, are those derived again."""
+def _manifest(spark: SparkSession, path: str, build: str) -> dict[str, str]:
+    """The facts of a finished build; raises unless its ids make up the given one."""
     from tapeloom.sources import tables
 
     facts = tables.read_manifest(spark, path)
@@ -183,10 +194,44 @@ def verified_build(spark: SparkSession, path: str, schema, build: str, seconds:
         raise ValueError(f"{path} has no manifest: the build was not finished")
     if build != facts["build_id"] or build != ids.text_digest(*(f"{k[:-3]}={v}" for k, v in sorted(facts.items()) if k.endswith("_id") and k != "build_id")):
         raise ValueError(f"{path} is not the build {build}")
+    return facts
+
+
+def _stored_nodes(spark: SparkSession, path: str, facts: dict[str, str]) -> DataFrame:
+    """The nodes of a build; raises unless they are those of its manifest."""
+    bars = StructType.fromJson(json.loads(facts["bars_schema"]))
+    schema = StructType([bars[c] for c in PART]).add("prefix", "string").add("n_rows", "long").add("node", "string")
+    nodes = spark.read.schema(schema).parquet(f"{path}/nodes")
+    if ids.content_id(nodes).first()[0] != facts["nodes_id"]:
+        raise ValueError(f"nodes of {path} are not those of its manifest")
+    return nodes
+
+
+def altered_parts(spark: SparkSession, path: str, build: str) -> DataFrame:
+    """PART, prefix, n_stored, n_found: where the bars of a finished build are no longer those that were written, and how many rows lie there."""
+    facts = _manifest(spark, path, build)
+    schema = StructType.fromJson(json.loads(facts["bars_schema"]))
+    bars = spark.read.schema(schema).parquet(f"{path}/bars").select(*schema.names)
+    return ids.altered(_stored_nodes(spark, path, facts), ids.nodes(bars, PART), PART)
+
+
+def verified_parts(spark: SparkSession, path: str, build: str, some: Column) -> DataFrame:
+    """The bars of a build in the parts that meet `some`, a condition on columns of PART. Only their folders are read, and only their nodes compared; raises where they differ."""
+    facts = _manifest(spark, path, build)
+    schema = StructType.fromJson(json.loads(facts["bars_schema"]))
+    bars = spark.read.schema(schema).parquet(f"{path}/bars").select(*schema.names).filter(some)
+    require_empty(ids.altered(_stored_nodes(spark, path, facts).filter(some), ids.nodes(bars, PART), PART), f"bars of {path} are not those that were written")
+    return bars
+
+
+def verified_build(spark: SparkSession, path: str, schema, build: str, seconds: int | None = None, builder: str = "1") -> DataFrame:
+    """Bars of a build, with the given schema or the one of its manifest; raises unless the manifest, the bars' content id (with the parts that differ) and count, their keys and versions, and (with seconds) the gaps, content and spans, are those derived again."""
+    facts = _manifest(spark, path, build)
     schema = schema or StructType.fromJson(json.loads(facts["bars_schema"]))
     bars = spark.read.schema(schema).parquet(f"{path}/bars").select(*schema.names)
     found = ids.content_id(bars).first()[0]
     if found != facts["bars_id"] or bars.count() != int(facts["n_bars"]):
+        require_empty(altered_parts(spark, path, build), f"content id {found} of {path} is not that of its manifest; parts that differ")
         raise ValueError(f"content id {found} of {path} is not that of its manifest")
     key = ids.bar_key(F.col("code"), F.col("interval"), F.col("adjustment"), F.col("event_time"))
     require_empty(bars.filter(~F.col("canonical_bar_key").eqNullSafe(key)), "stored key is not the recomputed one")

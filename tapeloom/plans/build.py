@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tapeloom.functions import identity
 from tapeloom.guards import Stages, require_empty
 from tapeloom.operators import canonical, coverage, dataset, features, labels, pit, samples, splits
+from tapeloom.sources import tables
 
 
 @dataclass(frozen=True)
@@ -92,13 +93,17 @@ class Canonical:
     path: str
 
 
-def canonical_build(captures: DataFrame, runs: DataFrame, quality: DataFrame, key: coverage.RequestKey, seconds: int, root: str, hashes: DataFrame | None = None) -> Canonical:
+def canonical_build(captures: DataFrame, runs: DataFrame, quality: DataFrame, key: coverage.RequestKey, seconds: int, root: str, hashes: DataFrame | None = None, files: str | None = None) -> Canonical:
     """The newest complete snapshot of each item, reconciled and stored as one canonical build under root.
 
     The ranking is computed and written once; while that is done, rows that break the contract of a canonical input and events whose captures
     differ are counted, and the first of either stops the job. Bars, gaps and resolution come from the stored ranking.
+    Where files names the folder of the captures' snapshots, their bytes are hashed before they are read and once more
+    after the ranking is stored: a file that changed meanwhile, or has no hash, stops the job.
     """
     stages = Stages(f"{root}/work/{uuid.uuid4().hex}")
+    if files is not None:
+        hashes = stages.stored(tables.file_hashes(captures.sparkSession, files), "files")
     chosen = coverage.latest_complete_snapshots(captures, runs, quality, key)
     inputs = canonical.snapshot_inputs(captures, chosen, hashes)
     ranked = canonical.candidates(inputs.withColumn("_broken", canonical.broken_rule(inputs, key.interval, key.adjustment)))
@@ -106,7 +111,11 @@ def canonical_build(captures: DataFrame, runs: DataFrame, quality: DataFrame, ke
     content = canonical.values_digest(ranked)
     ranked = ranked.withColumn("_d", content).withColumn("_differs", F.min("_d").over(same) != F.max("_d").over(same)).drop("_d")
     rules = {"a row breaks the contract of canonical bars": F.col("_broken").isNotNull(), "captures of one bar differ": F.col("_differs")}
+    if hashes is not None:
+        rules["the file of a row was not hashed"] = F.col("physical_snapshot_hash").isNull()
     ranked = stages.stored(ranked, "ranked", rules, ["code", "requested_trade_date", "time_utc", "snapshot_file", "_broken"]).drop("_broken", "_differs")
+    if files is not None:
+        canonical.require_unchanged(hashes, tables.file_hashes(captures.sparkSession, files))
     bars = canonical.canonical_bars(ranked)
     return Canonical(*canonical.materialize(captures.sparkSession, bars, canonical.gap_ranges(bars, seconds), f"{root}/canonical", ranked))
 
@@ -149,10 +158,10 @@ def run_builds(spark: SparkSession, builds: list[Canonical], key: coverage.Reque
     return Dataset(own, path, done, balances, used, pins, versions, references, known, tuple(stages.names))
 
 
-def run(captures: DataFrame, runs: DataFrame, quality: DataFrame, key: coverage.RequestKey, spec: BuildSpec, symbols: DataFrame, dates: DataFrame, root: str, hashes: DataFrame | None = None, builds: tuple[Canonical, ...] = ()) -> Dataset:
+def run(captures: DataFrame, runs: DataFrame, quality: DataFrame, key: coverage.RequestKey, spec: BuildSpec, symbols: DataFrame, dates: DataFrame, root: str, hashes: DataFrame | None = None, builds: tuple[Canonical, ...] = (), files: str | None = None) -> Dataset:
     """The whole job under root: a canonical build of the newest complete snapshots (canonical_build), joined with stored builds where some are given, and a dataset of them all (run_builds).
 
     captures are curated bars with snapshot_file; symbols (code) and dates (trade_date) are the scope.
     """
-    own = canonical_build(captures, runs, quality, key, spec.seconds, root, hashes)
+    own = canonical_build(captures, runs, quality, key, spec.seconds, root, hashes, files)
     return run_builds(captures.sparkSession, [own, *builds], key, spec, symbols, dates, root)

@@ -312,8 +312,24 @@ ORACLES: dict[str, str] = {
       e4 AS (SELECT *, CASE WHEN nominal IS NULL THEN 'FEATURE_CLOSE_AFTER_TEST_END' WHEN label_status = 'INCOMPLETE' THEN 'INCOMPLETE_LABEL' WHEN y >= edge THEN 'ACTUAL_LABEL_END_CROSSES_' || nominal || '_BOUNDARY' END AS reason FROM e3)
       SELECT sample_key, feature_window_close, label_status, y AS actual_label_end_time, d AS feature_window_close_date, nominal AS nominal_split, reason AS reason_code, CASE WHEN reason IS NULL THEN 'ASSIGNED' WHEN reason LIKE 'ACTUAL%' THEN 'PURGED' ELSE 'EXCLUDED' END AS assignment_status,
       CASE WHEN reason IS NULL THEN nominal END AS final_split, CASE WHEN reason LIKE 'ACTUAL%' THEN edge END AS purge_boundary FROM e4""",
+    "stored_bars": f"WITH {CAP} SELECT code, t AS time_utc, '60m' AS interval, day AS requested_trade_date, run AS ingestion_run_id, close, volume, NULL::DOUBLE AS turnover, 64 AS n_digits FROM cap",
+    "stored_calendar": f"WITH {CAL} SELECT d AS trade_date, kind AS trade_date_type, a AS requested_start_date, b AS requested_end_date, stamp AS captured_at, run AS ingestion_run_id FROM cal",
+    "bar_batches": f"""WITH {B}, x AS (SELECT *, CAST(t - INTERVAL 5 HOUR AS DATE) AS day FROM b)
+      SELECT CASE WHEN day = DATE '2024-01-10' THEN 'r1' ELSE 'r2' END AS run_id, day::VARCHAR AS requested_trade_date, count(*) AS row_count, string_agg(DISTINCT upper(code), ',' ORDER BY upper(code)) AS symbols, CASE WHEN day = DATE '2024-01-10' THEN '' ELSE 'UNSEEN' END AS failed,
+      CASE WHEN day = DATE '2024-01-10' THEN 'SUCCESS' ELSE 'PARTIAL' END AS status FROM x WHERE day IN (DATE '2024-01-10', DATE '2024-01-11') GROUP BY day""",
+    "stored_build_parts": f"WITH {RANKED} SELECT key AS canonical_bar_key, code, t AS event_time, close FROM bars WHERE code = 'view' AND day BETWEEN DATE '2024-01-08' AND DATE '2024-01-19'",
+    "stored_build_altered": f"WITH {RANKED} SELECT code, day AS market_calendar_date, count(*) AS n_stored, count(*) AS n_found FROM bars WHERE code = 'view' AND day(day) % 5 = 0 GROUP BY 1, 2",
+    "catalog_indexed_search": f"""WITH {SPLITS}, e AS (SELECT code || '-' || weekofyear(CAST(feature_window_close AS DATE)) AS dataset_id, code, count(*) AS row_count, bool_or(CAST(feature_window_close AS DATE) = DATE '2024-01-10') AS dated FROM sp GROUP BY 1, 2),
+      one AS (SELECT dataset_id, row_count, (SELECT count(*) FROM e WHERE code = 'click') AS matched_count FROM e WHERE code = 'click' ORDER BY dataset_id LIMIT 2 OFFSET 1)
+      SELECT 'symbol' AS search, * FROM one UNION ALL SELECT 'date', dataset_id, row_count, count(*) OVER () FROM e WHERE dated
+      UNION ALL SELECT 'both', dataset_id, row_count, count(*) OVER () FROM e WHERE dated AND code = 'view' UNION ALL SELECT 'id', dataset_id, row_count, NULL FROM e WHERE dataset_id = 'view-3'""",
+    "catalog_of_datasets": f"""WITH {SPLITS} SELECT count(*) AS row_count, string_agg(DISTINCT code, ',' ORDER BY code) AS symbols, min(feature_window_close) AS first_close, max(feature_window_close) AS last_close, count(*) FILTER (status = 'ASSIGNED') AS assigned_count
+      FROM sp WHERE final IN ('TRAIN', 'VALIDATION') GROUP BY final""",
 }
 
+# What was written comes back as it was.
+ORACLES |= {"stored_option_contracts": ORACLES["option_contracts"], "stored_option_volatility": ORACLES["option_volatility"], "stored_build": ORACLES["canonical_bars"]}
+
 #: Columns that hold dates, by query; both sides return them as text.
 DATES: dict[str, tuple[str, ...]] = {
     "bars_normalized": ("market_calendar_date", "occurrence_date",),
@@ -356,6 +372,11 @@ DATES: dict[str, tuple[str, ...]] = {
     "snapshot_hash_groups": ("requested_trade_date",),
     "intraday_gap_details": ("requested_trade_date",),
     "split_edges": ("feature_window_close_date",),
+    "stored_bars": ("requested_trade_date",),
+    "stored_calendar": ("trade_date", "requested_start_date", "requested_end_date",),
+    "stored_option_contracts": ("expiry_date",),
+    "stored_option_volatility": ("trade_date",),
+    "stored_build_altered": ("market_calendar_date",),
 }
 for _name, _columns in DATES.items():
     _casts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in _columns)

@@ -12,8 +12,9 @@ from tapeloom.functions import market_time as mt
 from tapeloom.guards import Stages, work_folder
 from tapeloom.operators import canonical, catalog, coverage, dataset, features, intraday, labels, latest, normalize, pit, quality, samples, splits
 from tapeloom.operators.coverage_ranges import merge_ranges, missing_ranges, volatility_coverage
+from tapeloom.plans import batches
 from tapeloom.plans.build import BuildSpec, build
-from tapeloom.sources import derived
+from tapeloom.sources import derived, tables
 
 KEY = coverage.RequestKey()
 HOUR = 3600
@@ -729,3 +730,98 @@ def catalog_lookup(spark, sf_dir):
 def dataset_page(spark, sf_dir):
     rows = _stored_build(spark, sf_dir).rows.select("code", "feature_window_close", "sample_key", "label_status")
     return dataset.page(rows.withColumn("feature_window_close", F.date_format("feature_window_close", "yyyy-MM-dd HH:mm:ss")), 5, 20)
+
+
+# What is written comes back: sinks, verified reads, and what they notice
+
+
+@query
+def stored_bars(spark, sf_dir):
+    root = work_folder(spark, "bars")
+    tables.write_bars(derived.captures(spark, sf_dir).drop("snapshot_file", "physical_snapshot_hash"), root)
+    rows, hashes = tables.read_bars_with_file(spark, root), tables.file_hashes(spark, root)
+    read = rows.join(hashes, rows["snapshot_file"] == hashes["path"], "left")
+    return read.select("code", "time_utc", "interval", "requested_trade_date", "ingestion_run_id", "close", "volume", "turnover", F.length("sha256").alias("n_digits"))
+
+
+@query
+def stored_calendar(spark, sf_dir):
+    root = work_folder(spark, "calendar")
+    tables.write_calendar(derived.calendar(spark, sf_dir), root)
+    return tables.read_calendar(spark, root).select("trade_date", "trade_date_type", "requested_start_date", "requested_end_date", "captured_at", "ingestion_run_id")
+
+
+@query
+def stored_option_contracts(spark, sf_dir):
+    root = work_folder(spark, "contracts")
+    tables.write_option_contracts(_contracts(spark, sf_dir), root)
+    return tables.read_option_contracts(spark, root).select("option_code", "option_name", "underlying_code", "option_type", "strike_price", "expiry_date", "lot_size", "suspension", "captured_at")
+
+
+@query
+def stored_option_volatility(spark, sf_dir):
+    root = work_folder(spark, "volatility")
+    tables.write_option_volatility(_volatility(spark, sf_dir), root, "1996-01-01", "1996-12-31")
+    return tables.read_option_volatility(spark, root).select("option_code", "trade_date", "implied_volatility", _nine("historical_volatility"), "volatility_status")
+
+
+@query
+def bar_batches(spark, sf_dir):
+    """The batches of two days; the second asks for a symbol that has no rows."""
+    roots = batches.Roots(*(work_folder(spark, x) for x in ("raw", "curated", "runs", "quality")))
+    raw = derived.bars60(spark, sf_dir).select("code", F.date_format(mt.market_local(F.col("event_time")), "yyyy-MM-dd HH:mm:ss").alias("time_key"), "open", "high", "low", "close", "volume")
+    for run_id, day, asked in (("r1", "2024-01-10", None), ("r2", "2024-01-11", ["CLICK", "VIEW", "UNSEEN"])):
+        some = raw.filter(F.to_date("time_key") == day)
+        batches.collect_bars(some, roots, run_id=run_id, trade_date=day, interval="60m", session="ALL", adjustment="NONE", source="feed", schema_version="1", symbols=asked)
+    log = tables.upsert_latest(spark.read.parquet(roots.runs))
+    return log.select("run_id", "requested_trade_date", "row_count", F.array_join("successful_items", ",").alias("symbols"), F.array_join(F.map_keys("failed_items"), ",").alias("failed"), "status")
+
+
+def _stored_canonical(spark, sf_dir, name):
+    root = work_folder(spark, name)
+    ranked = Stages(f"{root}/work").stored(_ranked(spark, sf_dir), "ranked")
+    bars = canonical.canonical_bars(ranked)
+    return bars, *canonical.materialize(spark, bars, canonical.gap_ranges(bars, HOUR), root, ranked)
+
+
+@query
+def stored_build(spark, sf_dir):
+    _, own, path = _stored_canonical(spark, sf_dir, "build")
+    read = canonical.verified_build(spark, path, None, own, HOUR)
+    return read.select("canonical_bar_key", "canonical_row_version_id", "code", "event_time", "market_available_at", "archive_available_at", "open", "high", "low", "close", "volume", "session")
+
+
+@query
+def stored_build_parts(spark, sf_dir):
+    _, own, path = _stored_canonical(spark, sf_dir, "parts")
+    read = canonical.verified_parts(spark, path, own, (F.col("code") == "view") & F.col("market_calendar_date").between("2024-01-08", "2024-01-19"))
+    return read.select("canonical_bar_key", "code", "event_time", "close")
+
+
+@query
+def stored_build_altered(spark, sf_dir):
+    """A build in which every bar of some days of one symbol was changed after it was finished."""
+    bars, own, path = _stored_canonical(spark, sf_dir, "altered")
+    some = (F.col("code") == "view") & (F.dayofmonth("market_calendar_date") % 5 == 0)
+    tables.write_canonical(bars.withColumn("volume", F.when(some, F.col("volume") + 1).otherwise(F.col("volume"))), f"{path}/bars", mode="overwrite")
+    return canonical.altered_parts(spark, path, own).groupBy("code", "market_calendar_date").agg(F.sum("n_stored").alias("n_stored"), F.sum("n_found").alias("n_found"))
+
+
+@query
+def catalog_indexed_search(spark, sf_dir):
+    """A catalog of datasets by symbol and week: a page of one symbol, one date, both, and one entry by its id."""
+    names = F.concat_ws("-", "code", F.weekofyear("feature_window_close").cast("string"))
+    _, path = catalog.materialize(catalog.entries(_stored_build(spark, sf_dir).rows.withColumn("dataset_id", names)), work_folder(spark, "catalog"))
+    found = [catalog.indexed_search(spark, path, **w) for w in ({"symbol": "click", "offset": 1, "limit": 2}, {"date": "2024-01-10"}, {"symbol": "view", "date": "2024-01-10"})]
+    found.append(catalog.indexed_lookup(spark, path, "view-3").withColumn("matched_count", F.lit(None).cast("long")))
+    parts = [f.select(F.lit(k).alias("search"), "dataset_id", "row_count", "matched_count") for k, f in zip(("symbol", "date", "both", "id"), found, strict=True)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query
+def catalog_of_datasets(spark, sf_dir):
+    """Datasets of the first two splits, stored and verified in one scan."""
+    rows, root = _stored_build(spark, sf_dir).rows, work_folder(spark, "datasets")
+    for split in ("TRAIN", "VALIDATION"):
+        dataset.materialize(rows.filter(F.col("final_split") == split), root)
+    return catalog.of_datasets(spark, root).select("row_count", F.array_join("symbols", ",").alias("symbols"), "first_close", "last_close", "assigned_count")

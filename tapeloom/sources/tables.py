@@ -149,6 +149,35 @@ def inventory_totals(files: DataFrame) -> DataFrame:
     )
 
 
-def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """path and SHA-256 of every file's bytes; a file must fit into one row."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+def file_hashes(spark: SparkSession, path: str, row_bytes: int = 64 << 20) -> DataFrame:
+    """path (as _metadata.file_path has it), size and SHA-256 of every file's bytes under path, whatever its size; empty files are left out, as scans leave them out.
+
+    A file of at most row_bytes is one row of a scan; a longer one is read by its task in blocks, never whole, through the
+    file system that its path names (Arrow's local, HDFS or object store systems).
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    own = F.col("_metadata.file_path").alias("path")
+    short = files.filter(F.col("length") <= row_bytes).select(own, F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    # The scan of lengths reads no content. One file is one row; they are dealt out before they are read.
+    long = files.filter(F.col("length") > row_bytes).select(own, F.col("length").alias("size")).repartition("path")
+    return short.unionByName(long.mapInPandas(_streamed, "path string, size long, sha256 string"))
+
+
+def _streamed(batches):
+    """SHA-256 of each file of the batches, read in blocks of 8 MiB."""
+    import hashlib
+    from urllib.parse import unquote, urlsplit
+
+    from pyarrow import fs
+
+    for files in batches:
+        digests = []
+        for uri in files["path"]:
+            parts = urlsplit(uri)
+            system, at = (fs.LocalFileSystem(), unquote(parts.path)) if parts.scheme in ("", "file") else fs.FileSystem.from_uri(uri)
+            whole = hashlib.sha256()
+            with system.open_input_stream(at) as stream:
+                while block := stream.read(8 << 20):
+                    whole.update(block)
+            digests.append(whole.hexdigest())
+        yield files.assign(sha256=digests)

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-SOME = ("bars_normalized", "bar_quality", "calendar_latest", "ranges_missing", "option_contracts", "incomplete_reasons", "coverage_audit", "intraday_summary", "canonical_conflicts", "canonical_gaps", "content_ids", "pit_known_gaps", "feature_reasons", "label_reasons", "split_counts", "catalog_entries", "bar_inventory", "coverage_totals", "intraday_checks", "canonical_from_snapshots", "builds_reconciled", "build_pins", "gap_references", "sample_ledger", "snapshot_hash_groups", "split_edges", "sample_versions", "pit_diagnostics", "option_contract_quality", "option_volatility_quality", "calendar_quality", "minute_bars", "minute_segments", "minute_windows", "option_contracts_latest", "calendar_normalized", "option_volatility")
+SOME = ("bars_normalized", "bar_quality", "calendar_latest", "ranges_missing", "option_contracts", "incomplete_reasons", "coverage_audit", "intraday_summary", "canonical_conflicts", "canonical_gaps", "content_ids", "pit_known_gaps", "feature_reasons", "label_reasons", "split_counts", "catalog_entries", "bar_inventory", "coverage_totals", "intraday_checks", "canonical_from_snapshots", "builds_reconciled", "build_pins", "gap_references", "sample_ledger", "snapshot_hash_groups", "split_edges", "sample_versions", "pit_diagnostics", "option_contract_quality", "option_volatility_quality", "calendar_quality", "minute_bars", "minute_segments", "minute_windows", "option_contracts_latest", "calendar_normalized", "option_volatility", "stored_bars", "bar_batches", "stored_build_altered")
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +37,7 @@ def test_same_rows(spark, duck, name):
 
 def test_every_market_query_has_sql():
     own = {k for k in entry.queries() if not (k.startswith("op") and k[2].isdigit()) and k != "pipeline"}
-    assert len(own) == 86 and own <= entry.oracle_sql().keys()
+    assert len(own) == 96 and own <= entry.oracle_sql().keys()
 
 
 def test_entry_has_rows(spark):
